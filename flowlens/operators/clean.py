@@ -52,16 +52,25 @@ def clean_rows(
     return dedup(drop_invalid(df, numeric, label), ignore)
 
 
+STEPS = [("nulls", "n0", "n1"), ("infinite", "n1", "n2"), ("duplicates", "n2", "n3")]
+
+
 def clean_audit(
-    df: DataFrame, numeric: Sequence[str], label: str = K.LABEL, loss_limit: float = K.LOSS_LIMIT
+    df: DataFrame,
+    numeric: Sequence[str],
+    label: str = K.LABEL,
+    loss_limit: float = K.LOSS_LIMIT,
+    cleaned: DataFrame | None = None,
 ) -> DataFrame:
     """Rows left after each cleaning step, rows each step removed, and steps that removed too many.
 
     The first step takes rows without a value (NULL, or NaN as in ``drop_nulls``), the second those
     with an infinite one, the third copies.
 
-    One pass and one shuffle. A row's own values say how far it gets; rows that drop out early are
-    blanked first, so they collapse map-side instead of travelling with all their columns.
+    With the cleaned table at hand (written, so that counting it is cheap) this is one pass without
+    a shuffle. Otherwise it is one pass and one shuffle: a row's own values say how far it gets, and
+    rows that drop out early are blanked first, so they collapse map-side instead of travelling with
+    all their columns.
     """
     state = (
         F.when(~(all_values(numeric) & F.col(label).isNotNull()), 0)
@@ -69,34 +78,29 @@ def clean_audit(
         .otherwise(2)
     )
     judged = df.withColumn("__state", state)
-    blanked = [F.when(F.col("__state") == 2, F.col(c)).alias(c) for c in df.columns]
-    groups = judged.select("__state", *blanked).groupBy("__state", *df.columns).agg(F.count("*").alias("__n"))
-    n = F.col("__n")
+    if cleaned is not None:
+        groups = judged.groupBy("__state").agg(F.count("*").alias("__n"))
+        distinct = F.lit(cleaned.count())
+    else:
+        blanked = [F.when(F.col("__state") == 2, F.col(c)).alias(c) for c in df.columns]
+        groups = judged.select("__state", *blanked).groupBy("__state", *df.columns).agg(F.count("*").alias("__n"))
+        distinct = F.count_if(F.col("__state") == 2)
 
     def total(floor: int):
-        return F.coalesce(F.sum(F.when(F.col("__state") >= floor, n)), F.lit(0))
-
-    counts = groups.agg(
-        total(0).alias("n0"),
-        total(1).alias("n1"),
-        total(2).alias("n2"),
-        F.count_if(F.col("__state") == 2).alias("n3"),
-    )
-    steps = [("nulls", "n0", "n1"), ("infinite", "n1", "n2"), ("duplicates", "n2", "n3")]
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i + 1).alias("step_no"),
-                        F.lit(name).alias("step"),
-                        F.col(before).alias("rows_before"),
-                        F.col(after).alias("rows_after"),
-                        (F.col(before) - F.col(after)).alias("removed"),
-                        (F.col(before) - F.col(after) > F.col(before) * F.lit(loss_limit)).alias("excessive"),
-                    )
-                    for i, (name, before, after) in enumerate(steps)
-                ]
+        return F.coalesce(F.sum(F.when(F.col("__state") >= floor, F.col("__n"))), F.lit(0))
+
+    counts = groups.agg(total(0).alias("n0"), total(1).alias("n1"), total(2).alias("n2"), distinct.alias("n3"))
+    rows = []
+    for i, (name, before, after) in enumerate(STEPS):
+        removed = F.col(before) - F.col(after)
+        rows.append(
+            F.struct(
+                F.lit(i + 1).alias("step_no"),
+                F.lit(name).alias("step"),
+                F.col(before).alias("rows_before"),
+                F.col(after).alias("rows_after"),
+                removed.alias("removed"),
+                (removed > F.col(before) * F.lit(loss_limit)).alias("excessive"),
             )
         )
-    )
+    return counts.select(F.inline(F.array(*rows)))
