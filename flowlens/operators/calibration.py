@@ -50,7 +50,8 @@ def calibrate_grid(
     steps = df.sparkSession.createDataFrame(
         [(i, cuts[i - 1] if i else None) for i in range(len(cuts) + 1)], "level int, threshold double"
     )
-    full = steps.join(counts, "level", "left").na.fill(0, ["pos", "neg"])
+    # counts has at most one row per level, so broadcasting it is safe at any size of the data
+    full = steps.join(F.broadcast(counts), "level", "left").na.fill(0, ["pos", "neg"])
     above = Window.orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.orderBy(F.desc("level")).rowsBetween(1, Window.unboundedFollowing)
     cells = full.select(

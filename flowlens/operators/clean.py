@@ -33,7 +33,7 @@ def drop_nan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def dedup(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
-    """Distinct rows. Columns in ``ignore`` do not count; of equal rows the smallest of them is kept.
+    """Distinct rows. Columns in ``ignore`` do not count; of equal rows their smallest values are kept.
 
     Copies collapse in the map-side aggregate, so a row repeated any number of times sends one row
     per task through the shuffle.
@@ -41,6 +41,8 @@ def dedup(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     if not ignore:
         return df.dropDuplicates()
     content = [c for c in df.columns if c not in ignore]
+    if len(ignore) == 1:
+        return df.groupBy(*content).agg(F.min(ignore[0]).alias(ignore[0])).select(*df.columns)
     kept = df.groupBy(*content).agg(F.min(F.struct(*ignore)).alias("kept"))
     return kept.select(*[F.col(f"kept.{c}").alias(c) if c in ignore else F.col(c) for c in df.columns])
 

@@ -49,17 +49,18 @@ def benign_rows(spark: SparkSession, layout: Layout, benign: str) -> DataFrame:
 def fit_report(model: PipelineModel, rows: DataFrame, seconds: float, params: Mapping) -> dict:
     assigned = model.transform(rows)
     summary = cluster_summary(distance_to_centroid(assigned, centroid_table(rows.sparkSession, model)))
-    sizes = {r[K.CLUSTER]: r for r in summary.collect()}  # one row per cluster
+    ends = summary.agg(F.min("min_dist").alias("lo"), F.max("max_dist").alias("hi")).first()
+    trained = model.stages[-1].summary
     return {
         "training_time_seconds": round(seconds, 4),
         **params,
         "init_mode": "k-means||",
-        "wssse": sum(r["wssse"] for r in sizes.values()),
+        "wssse": trained.trainingCost,
         "silhouette_score": silhouette(assigned),
-        "cluster_sizes": [sizes[i]["size"] if i in sizes else 0 for i in range(max(sizes, default=-1) + 1)],
-        "min_distance": min((r["min_dist"] for r in sizes.values()), default=None),
-        "max_distance": max((r["max_dist"] for r in sizes.values()), default=None),
-        "num_training_records": sum(r["size"] for r in sizes.values()),
+        "cluster_sizes": list(trained.clusterSizes),
+        "min_distance": ends["lo"],
+        "max_distance": ends["hi"],
+        "num_training_records": sum(trained.clusterSizes),
     }
 
 

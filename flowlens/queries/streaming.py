@@ -95,7 +95,7 @@ def linear_score(rows):
     return rows.withColumns(
         {
             "prediction": F.when(F.col("value") > 2 * CUT, 2.0).when(F.col("value") > CUT, 1.0).otherwise(0.0),
-            "distanceToCentroid": F.col("value") / 2,
+            "distanceToCentroid": F.col("value"),
             "is_anomaly": flag_anomaly(F.col("value"), CUT),
             "label": F.col("event_type"),
         }
@@ -121,7 +121,7 @@ def sink_paths(spark):
     "stream_sink_scores",
     f"""SELECT CAST(event_id AS DOUBLE) AS event_id, event_type AS label,
     CASE WHEN value > {2 * CUT} THEN CAST(2 AS DOUBLE) WHEN value > {CUT} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction,
-    value / 2 AS "distanceToCentroid", CASE WHEN value > {CUT} THEN 1 ELSE 0 END AS is_anomaly FROM events""",
+    value AS "distanceToCentroid", CASE WHEN value > {CUT} THEN 1 ELSE 0 END AS is_anomaly FROM events""",
 )
 def stream_sink_scores(spark, sf):
     """Both per-batch sinks together hold every row once."""
@@ -136,7 +136,7 @@ def stream_sink_scores(spark, sf):
     f"""SELECT count(*) AS n, count(*) FILTER (value <= {CUT}) AS rf_benign, count(*) FILTER (value > {CUT}) AS rf_anomaly,
     count(*) FILTER (value > {CUT}) AS km_anom, count(*) FILTER (value <= {CUT}) AS km_normal,
     count(*) FILTER (value > {CUT} AND value <= {2 * CUT}) AS class_1, count(*) FILTER (value > {2 * CUT}) AS class_2,
-    round(max(value / 2), 2) AS km_dist_max FROM events""",
+    max(value) AS km_dist_max FROM events""",
 )
 def stream_batch_summary(spark, sf):
     """Per-batch summary rows, rolled up: how the lines fell into batches does not matter."""

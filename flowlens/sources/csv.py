@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from flowlens import conventions as K
 from flowlens.operators.schema import normalize_columns, union_by_name
 
 CSV_GLOB = "*.[cC][sS][vV]"
-REPLACEMENT = "�"
+REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
+HEADER_THREADS = 16
 
 
 def csv_reader(spark: SparkSession, encoding: str, mode: str):
@@ -64,13 +66,16 @@ def read_raw_csv_by_name(
 ) -> DataFrame:
     """Scan files with different headers and union them by normalised name.
 
-    Files are grouped by header first: one scan per distinct header, not one per file.
+    Files are grouped by header first: one scan per distinct header, not one per file. Spark reads
+    the headers, several files at a time.
     """
     if not paths:
         raise FileNotFoundError("no CSV files to read")
     by_header = defaultdict(list)
-    for path in paths:
-        by_header[tuple(csv_reader(spark, encoding, mode).csv(path).columns)].append(path)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = pool.map(lambda path: tuple(csv_reader(spark, encoding, mode).csv(path).columns), paths)
+        for path, header in zip(paths, headers):
+            by_header[header].append(path)
     return union_by_name(
         [with_source_file(csv_reader(spark, encoding, mode).csv(same)) for same in by_header.values()]
     )

@@ -1,0 +1,112 @@
+import math
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from flowlens.operators.evaluation import evaluate_at_threshold
+from flowlens.operators.ranking import auc, nearest_rank, roc_curve, running_counts, score_quantiles
+
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "score double, truth int")
+
+
+def brute_auc(rows):
+    pos = [s for s, t in rows if t == 1]
+    neg = [s for s, t in rows if t == 0]
+    if not pos or not neg:
+        return None
+    return sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
+
+
+def test_auc_with_ties(spark):
+    rows = [(0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1), (0.4, 1)]
+    assert auc(frame(spark, rows), "score", "truth").first().auc_roc == pytest.approx(0.75)
+
+
+def test_auc_without_a_class(spark):
+    assert auc(frame(spark, [(0.1, 0), (0.4, 0)]), "score", "truth").first().auc_roc is None
+    assert auc(frame(spark, []), "score", "truth").first().auc_roc is None
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([-INF, -1.5, 0.0, 0.25, 0.5, 3.0, INF]) | st.floats(-10, 10), st.integers(0, 1)),
+        min_size=1, max_size=40,
+    )
+)
+def test_auc_matches_brute_force(spark, rows):
+    got = auc(frame(spark, rows), "score", "truth", ranges=5).first().auc_roc
+    want = brute_auc(rows)
+    assert got == (pytest.approx(want) if want is not None else None)
+
+
+def test_hot_score_and_ranges(spark):
+    """A third of all rows share one score; the result does not depend on the number of ranges."""
+    rng = random.Random(7)
+    rows = [(rng.gauss(0, 1) + t, t) for t in (rng.randint(0, 1) for _ in range(2000))]
+    rows += [(0.5, rng.randint(0, 1)) for _ in range(1000)]
+    df = frame(spark, rows).repartition(7)
+    want = brute_auc(rows)
+    for ranges in (2, 8, 300):
+        assert auc(df, "score", "truth", ranges).first().auc_roc == pytest.approx(want, abs=1e-12)
+    mllib = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="truth", numBins=0)
+    assert mllib.evaluate(df) == pytest.approx(want, abs=1e-9)
+    flipped = df.withColumn("score", -F.col("score"))
+    assert auc(flipped, "score", "truth").first().auc_roc == pytest.approx(1 - want, abs=1e-12)
+    bent = df.withColumn("score", F.exp("score") * 3 + 1)
+    assert auc(bent, "score", "truth").first().auc_roc == pytest.approx(want, abs=1e-12)
+
+
+def test_running_counts_with_nan_and_null(spark):
+    df = frame(spark, [(1.0, 1), (NAN, 1), (None, 0), (2.0, 0), (1.0, 0), (NAN, 0)])
+    up = running_counts(df, "score", {"n": F.lit(1)}, descending=False).collect()
+    assert [(r.n, r.cum_n, r.all_n) for r in sorted(up, key=lambda r: r.cum_n)] == [(2, 2, 5), (1, 3, 5), (2, 5, 5)]
+    down = sorted(running_counts(df, "score", {"n": F.lit(1)}).collect(), key=lambda r: r.cum_n)
+    assert math.isnan(down[0].score) and [r.cum_n for r in down] == [2, 3, 5]
+
+
+def test_roc_curve_ends_at_one(spark):
+    rows = [(i % 17 / 3, i % 5 == 0) for i in range(200)]
+    points = roc_curve(frame(spark, [(s, int(t)) for s, t in rows]), "score", "truth", 4).orderBy(F.desc("score")).collect()
+    assert len(points) == 17
+    assert (points[-1].tpr, points[-1].fpr) == (1.0, 1.0)
+    assert all(a.tp <= b.tp and a.fp <= b.fp for a, b in zip(points, points[1:]))
+
+
+def test_exact_quantiles(spark):
+    rng = random.Random(3)
+    values = [rng.choice([1.0, 2.0, rng.random() * 100]) for _ in range(997)]
+    df = frame(spark, [(v, 0) for v in values]).repartition(5)
+    probs = [0.0, 0.1, 0.5, 0.9, 0.999, 1.0]
+    got = {r.probability: r.quantile for r in score_quantiles(df, "score", probs, rel_err=0).collect()}
+    ordered = sorted(values)
+    assert got == {p: ordered[max(1, math.ceil(p * len(values))) - 1] for p in probs}
+    assert list(got.values()) == df.approxQuantile("score", probs, 0.0)
+    rough = {r.probability: r.quantile for r in score_quantiles(df, "score", [0.9]).collect()}
+    rank = sum(v <= rough[0.9] for v in values) / len(values)
+    assert abs(rank - 0.9) < 0.01
+
+
+@pytest.mark.parametrize("n", [1, 2, 10, 20])
+def test_nearest_rank(spark, n):
+    values = [float(v) for v in random.Random(n).sample(range(100), n)]
+    got = nearest_rank(frame(spark, [(v, 0) for v in values]), "score").first()
+    ordered = sorted(values)
+    assert tuple(got) == tuple(ordered[max(0, min(n - 1, n * p // 100))] for p in (50, 95, 99))
+
+
+def test_evaluate_at_threshold(spark):
+    rows = [(0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1), (0.4, 1), (None, 1), (NAN, 0)]
+    got = evaluate_at_threshold(frame(spark, rows), 0.4, "score", "truth").first()
+    assert (got.tp, got.fp, got.fn, got.tn, got.total_records) == (1, 1, 2, 2, 6)
+    assert got.precision == 0.5 and got.recall == pytest.approx(1 / 3) and got.accuracy == 0.5
+    empty = evaluate_at_threshold(frame(spark, []), 1.0, "score", "truth").first()
+    assert (empty.tp, empty.fp, empty.fn, empty.tn, empty.f1, empty.auc_roc) == (0, 0, 0, 0, 0.0, None)
