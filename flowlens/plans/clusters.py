@@ -27,6 +27,7 @@ from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
+from flowlens.workspace import spread
 
 STORED = [*K.CLUSTER_SCORE_COLUMNS, K.LABEL]
 
@@ -43,7 +44,8 @@ def score(model: PipelineModel, df: DataFrame, benign: str) -> DataFrame:
 
 
 def benign_rows(spark: SparkSession, layout: Layout, benign: str) -> DataFrame:
-    return read_table(spark, layout("processed", "train")).where(F.col(K.LABEL) == benign).select(K.SCALED_VECTOR)
+    train = spread(read_table(spark, layout("processed", "train")))
+    return train.where(F.col(K.LABEL) == benign).select(K.SCALED_VECTOR)
 
 
 def fit_report(model: PipelineModel, rows: DataFrame, seconds: float, params: Mapping) -> dict:

@@ -28,6 +28,7 @@ from flowlens.plans.clusters import system_metrics
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import load_manifest, read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
+from flowlens.workspace import spread
 
 
 def label_names(spark: SparkSession, layout: Layout):
@@ -38,7 +39,7 @@ def label_names(spark: SparkSession, layout: Layout):
 def train_forest(spark: SparkSession, layout: Layout, name: str = "forest_v1", **params) -> dict:
     """Fit on the weighted training rows, save the model, its importances and its training time."""
     params = {**K.FOREST, **params}
-    train = read_table(spark, layout("processed", "train"))
+    train = spread(read_table(spark, layout("processed", "train")))
     start = time.time()
     model = fit_forest(train, **params)
     seconds = time.time() - start
@@ -105,7 +106,7 @@ def optimise_forest(
     parallelism: int = 2,
 ) -> dict:
     """Cross-validate the grid on a sample, refit the best combination on all rows, compare with the base."""
-    train = read_table(spark, layout("processed", "train"))
+    train = spread(read_table(spark, layout("processed", "train")))
     start = time.time()
     results = search_forest(train, grid, folds, fraction, parallelism=parallelism)
     search_seconds = time.time() - start

@@ -28,7 +28,7 @@ from flowlens.operators.search import best_forest, search_forest, search_kmeans,
 from flowlens.queries.registry import BENIGN_FLOW, DIM, FLOW_FEATURES, flows, query, table, vecs
 from flowlens.sources.tables import load_model, save_model
 from flowlens.streaming.scoring import Scorer
-from flowlens.workspace import materialize, shared_dir
+from flowlens.workspace import materialize, shared_dir, spread
 
 NEAREST_SQL = """SELECT vec_id, cluster_id, sqrt(d2) AS distance, true_cluster FROM (
     SELECT e.vec_id, e.cluster_id AS true_cluster, c.cluster_id, sum((e.x - c.c) * (e.x - c.c)) AS d2,
@@ -88,7 +88,8 @@ def silhouette_query(spark, sf):
 
 
 def vectors(spark, sf):
-    return vecs(spark, sf).select("vec_id", array_to_vector("x").alias(K.SCALED_VECTOR), "cluster_id")
+    rows = spread(vecs(spark, sf))
+    return rows.select("vec_id", array_to_vector("x").alias(K.SCALED_VECTOR), "cluster_id")
 
 
 @query("kmeans_fit")
@@ -177,7 +178,7 @@ def preparation(rows, invalid="keep"):
 
 
 def prepared_flows(spark, sf):
-    rows = flows(spark, sf)
+    rows = spread(flows(spark, sf))
     ready = preparation(rows).transform(rows).select(K.LABEL, K.LABEL_INDEX, K.SCALED_VECTOR)
     return materialize(weighted_training_set(ready), "flows")
 
@@ -221,7 +222,7 @@ def rf_search(spark, sf):
 
 
 def fitted_scorer(spark, sf, threshold: float = 2.0) -> Scorer:
-    rows = flows(spark, sf)
+    rows = spread(flows(spark, sf))
     prep = preparation(rows)
     ready = materialize(
         weighted_training_set(prep.transform(rows).select(K.LABEL, K.LABEL_INDEX, K.SCALED_VECTOR)), "flows"
@@ -233,7 +234,7 @@ def fitted_scorer(spark, sf, threshold: float = 2.0) -> Scorer:
 @query("score_batch")
 def score_batch(spark, sf):
     """Both fitted models over all flows in one plan."""
-    scored = fitted_scorer(spark, sf).score(flows(spark, sf))
+    scored = fitted_scorer(spark, sf).score(spread(flows(spark, sf)))
     return scored.groupBy(K.LABEL, K.PREDICTION, K.CLUSTER).agg(
         F.count("*").alias("n"), F.sum("is_anomaly").alias("anomalies"), F.avg("distanceToCentroid").alias("mean_dist")
     )

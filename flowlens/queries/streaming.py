@@ -12,22 +12,17 @@ from flowlens.sources.tables import read_table
 from flowlens.sources.wire import parse_wire, replay_stream, split_malformed, to_wire, wire_schema
 from flowlens.streaming.scoring import batch_writer, start_scoring
 from flowlens.streaming.sla import PROGRESS_SCHEMA, progress_row, sla_records
-from flowlens.workspace import shared_dir
+from flowlens.workspace import shared_dir, spread
 
 EVENT_SCHEMA = "event_id double, value double, event_type string"
 CUT = 60.0
 BATCHES = 4
 
 
-def spread(df, parts: int = BATCHES):
-    """At least a few files to replay; data in many partitions already is left as it is."""
-    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
-
-
 def replayed(spark, lines):
     """Write lines to a folder and replay it in about ``BATCHES`` micro-batches, however large it is."""
     path = shared_dir(spark, "wire")
-    lines = spread(lines)
+    lines = spread(lines, BATCHES)
     lines.write.text(path)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").count()
     return replay_stream(spark, path, max(1, -(-files // BATCHES)))

@@ -21,6 +21,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/flowlens/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame, parts: int | None = None) -> DataFrame:
+    """Give every core a share of a table that comes in fewer pieces than there are cores.
+
+    Meant for plain scans ahead of heavy work per row, such as fitting a model. Tables in many
+    pieces are left alone, so nothing is shuffled at scale; column pruning and filters still reach
+    the scan below.
+    """
+    wanted = parts or scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and outlives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
