@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 _UNROLL_LIMIT = 128
 
 
-def squared_distance(a: Column, b: Column, dim: int | None = None) -> Column:
-    """Squared Euclidean distance.
+def squared_distance(a: str, b: str, dim: int | None = None) -> Column:
+    """Squared Euclidean distance of two array columns.
 
     With a known small dimension the sum is written out, which whole-stage codegen compiles to
-    straight arithmetic; otherwise array functions do it.
+    straight arithmetic (as SQL text, since hundreds of small expression calls slow planning down);
+    otherwise array functions do it.
     """
     if dim and dim <= _UNROLL_LIMIT:
-        gaps = [a[i] - b[i] for i in range(dim)]
-        total = gaps[0] * gaps[0]
-        for gap in gaps[1:]:
-            total = total + gap * gap
-        return total
+        gaps = [f"(`{a}`[{i}] - `{b}`[{i}])" for i in range(dim)]
+        return F.expr(" + ".join(f"{gap} * {gap}" for gap in gaps))
     gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def euclidean(a: Column, b: Column, dim: int | None = None) -> Column:
+def euclidean(a: str, b: str, dim: int | None = None) -> Column:
     return F.sqrt(squared_distance(a, b, dim))

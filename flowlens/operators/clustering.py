@@ -8,13 +8,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from flowlens import conventions as K
 from flowlens.functions.vectors import euclidean
-from flowlens.operators.joins import local_copy, lookup_join
+from flowlens.operators.joins import broadcast_if_small
 
 MAX_CENTROIDS = 10_000
 
@@ -57,22 +58,21 @@ def centroid_table(spark: SparkSession, model: PipelineModel | KMeansModel, clus
     return spark.createDataFrame(rows, f"{cluster} int, centroid array<double>")
 
 
-def mean_centroids(df: DataFrame, vec: str, cluster: str, dim: int) -> DataFrame:
-    """The mean vector of each cluster, from one aggregate with partial sums per task."""
-    x = as_array(df, vec)
-    means = df.groupBy(cluster).agg(*[F.avg(x[i]).alias(f"m{i}") for i in range(dim)])
-    return means.select(cluster, F.array(*[f"m{i}" for i in range(dim)]).alias("centroid"))
+def mean_centroids(df: DataFrame, vec: str, cluster: str) -> DataFrame:
+    """The mean vector of each cluster, from one aggregate with partial means per task."""
+    mean = vector_to_array(Summarizer.mean(as_vector(df, vec)))
+    return df.groupBy(cluster).agg(mean.alias("centroid"))
 
 
 def distance_to_centroid(
     df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
 ) -> DataFrame:
     """Euclidean distance of each row to the centroid it is assigned to; NULL for an unknown cluster."""
-    known = local_copy(centroids, MAX_CENTROIDS) or centroids
+    known = broadcast_if_small(centroids.select(cluster, "centroid"), MAX_CENTROIDS)
     first = known.head()
     dim = len(first["centroid"]) if first else None
-    joined = lookup_join(df, known.select(cluster, "centroid"), cluster, max_rows=MAX_CENTROIDS)
-    return joined.withColumn(out, euclidean(as_array(joined, vec), F.col("centroid"), dim)).drop("centroid")
+    joined = df.withColumn("__x", as_array(df, vec)).join(known, cluster, "left")
+    return joined.withColumn(out, euclidean("__x", "centroid", dim)).drop("__x", "centroid")
 
 
 def assign_centroid(

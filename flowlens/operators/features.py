@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.operators.joins import local_copy, lookup_join
+from flowlens.operators.joins import broadcast_if_small, lookup_join
 
 
 def fit_label_index(train: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX) -> DataFrame:
@@ -26,11 +26,9 @@ def apply_label_index(
     df: DataFrame, labels: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX
 ) -> DataFrame:
     """Add the index. Unknown and missing labels share the first index after the known ones."""
-    known = labels.select(label, index)
-    known = local_copy(known) or known
+    known = broadcast_if_small(labels.select(label, index))
     unknown = float(known.count())
-    joined = lookup_join(df, known, label)
-    return joined.withColumn(index, F.coalesce(index, F.lit(unknown)))
+    return df.join(known, label, "left").withColumn(index, F.coalesce(index, F.lit(unknown)))
 
 
 def feature_order(cols: Sequence[str]) -> list[str]:

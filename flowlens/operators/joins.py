@@ -19,14 +19,19 @@ def local_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | Non
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table as a broadcast local relation if its row count is proven small, else as it is."""
+    small = local_copy(table, max_rows)
+    return table if small is None else F.broadcast(small)
+
+
 def lookup_join(
     df: DataFrame, table: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join a large table to a lookup table.
 
-    A lookup table whose row count is proven small is broadcast, so the large side, with whatever
-    hot keys it has, is not shuffled. A larger one gets an ordinary equi-join, in which adaptive
-    execution splits skewed partitions.
+    A small lookup table is broadcast, so the large side, with whatever hot keys it has, is not
+    shuffled. A larger one gets an ordinary equi-join, in which adaptive execution splits skewed
+    partitions.
     """
-    small = local_copy(table, max_rows)
-    return df.join(table if small is None else F.broadcast(small), on, how)
+    return df.join(broadcast_if_small(table, max_rows), on, how)

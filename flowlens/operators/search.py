@@ -16,8 +16,10 @@ from flowlens import conventions as K
 from flowlens.operators.clustering import centroid_table, distance_to_centroid, fit_kmeans, silhouette
 from flowlens.operators.evaluation import score_stats
 from flowlens.operators.forest import fit_forest, forest
+from flowlens.operators.joins import local_copy
 from flowlens.operators.sampling import bernoulli_sample, stratified_sample
 
+MAX_CONFIGURATIONS = 10_000
 RESULT_SCHEMA = (
     "position int, k int, max_iter int, tol double, silhouette double, wssse double, "
     "mean_dist double, dist_std double, training_time_s double"
@@ -27,9 +29,12 @@ RESULT_SCHEMA = (
 def select_model(results: DataFrame, order: str = "position", tol: float = K.SILHOUETTE_TIE) -> DataFrame:
     """The chosen row of a search: a clearly better silhouette wins, a near tie goes to the lower cost.
 
-    The rule compares each row with the best so far, so the order of the rows matters. The result
-    table has one row per configuration and is folded as one array.
+    The rule compares each row with the best so far, so the order of the rows matters. A result
+    table has one row per configuration, which is checked, and is folded as one array.
     """
+    results = local_copy(results, MAX_CONFIGURATIONS)
+    if results is None:
+        raise ValueError(f"more than {MAX_CONFIGURATIONS} configurations")
     row = F.struct(order, *[c for c in results.columns if c != order])
     gathered = results.agg(F.array_sort(F.collect_list(row)).alias("rows"))
 

@@ -25,7 +25,7 @@ from flowlens.operators.features import weighted_training_set
 from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, predict
 from flowlens.operators.ranking import auc
 from flowlens.operators.search import best_forest, search_forest, search_kmeans, select_model
-from flowlens.queries.registry import BENIGN_FLOW, DIM, FLOW_FEATURES, flows, query, table, vecs
+from flowlens.queries.registry import BENIGN_FLOW, FLOW_FEATURES, flows, query, table, vecs
 from flowlens.sources.tables import load_model, save_model
 from flowlens.streaming.scoring import Scorer
 from flowlens.workspace import materialize, shared_dir, spread
@@ -39,7 +39,7 @@ OWN_SQL = """SELECT e.vec_id, e.cluster_id, sqrt(sum((e.x - c.c) * (e.x - c.c)))
 
 
 def class_means(rows):
-    return mean_centroids(rows, "x", "cluster_id", DIM)
+    return mean_centroids(rows, "x", "cluster_id")
 
 
 @query("distance_to_centroid", f"SELECT vec_id, cluster_id, round(d, 6) AS distance FROM ({OWN_SQL}) o")
@@ -138,8 +138,8 @@ def kmeans_search(spark, sf):
     return results.join(chosen, "position", "left").na.fill(False, ["chosen"])
 
 
-CANDIDATES_SQL = """SELECT CAST(o_custkey AS BIGINT) AS position, avg(o_totalprice) / 1000000 AS silhouette,
-    CAST(max(o_orderkey) AS DOUBLE) AS wssse FROM orders GROUP BY o_custkey"""
+CANDIDATES_SQL = """SELECT day(o_orderdate) AS position, avg(o_totalprice) / 1000000 AS silhouette,
+    CAST(max(o_orderkey) AS DOUBLE) AS wssse FROM orders GROUP BY 1"""
 
 
 @query(
@@ -157,8 +157,8 @@ CANDIDATES_SQL = """SELECT CAST(o_custkey AS BIGINT) AS position, avg(o_totalpri
     SELECT position, round(silhouette, 9) AS silhouette, wssse FROM fold ORDER BY i DESC LIMIT 1""",
 )
 def select_model_query(spark, sf):
-    """The selection rule over one candidate per customer, taken in order."""
-    results = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("position")).agg(
+    """The selection rule over one candidate per day of the month, taken in order."""
+    results = table(spark, sf, "orders").groupBy(F.dayofmonth("o_orderdate").alias("position")).agg(
         (F.avg("o_totalprice") / 1000000).alias("silhouette"),
         F.max("o_orderkey").cast("double").alias("wssse"),
     )

@@ -127,9 +127,6 @@ def multi(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- embeddings as clustered vectors ---
 
-DIM = 64
-
-
 def vecs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("x"), F.col("label").alias("cluster_id")

@@ -88,7 +88,7 @@ def test_wide_vectors_use_array_functions(spark):
 
 def test_mean_centroids(spark):
     df = spark.createDataFrame([([1.0, 2.0], "a"), ([3.0, 6.0], "a"), ([5.0, 5.0], "b")], "x array<double>, c string")
-    assert {r.c: r.centroid for r in mean_centroids(df, "x", "c", 2).collect()} == {"a": [2.0, 4.0], "b": [5.0, 5.0]}
+    assert {r.c: r.centroid for r in mean_centroids(df, "x", "c").collect()} == {"a": [2.0, 4.0], "b": [5.0, 5.0]}
 
 
 RESULTS = "position int, k int, silhouette double, wssse double"
