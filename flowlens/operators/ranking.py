@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 
-MAX_RANGES = 10_000
+MAX_RANGES = 4096
 
 
 def _range_count(df: DataFrame) -> int:
-    """Four ranges per shuffle partition, so that the cluster's own setting decides."""
+    """Four ranges per shuffle partition, so that the cluster's own setting decides.
+
+    The limit keeps the quantile summaries that find the edges small: they grow with the number of
+    ranges, and about the square root of the number of input partitions of them meet on the driver.
+    """
     return min(MAX_RANGES, max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
@@ -89,25 +93,26 @@ def score_quantiles(
     rel_err: float = K.QUANTILE_ERROR,
     ranges: int | None = None,
 ) -> DataFrame:
-    """(probability, quantile) rows. ``rel_err=0`` is exact, otherwise one sketch aggregate."""
+    """(probability, quantile) rows; NaN and NULL scores do not count.
+
+    ``rel_err=0`` is exact. Otherwise the quantiles come from summaries merged in a tree, which is
+    one pass and a small result at any size of the data.
+    """
+    spark = df.sparkSession
+    scores = df.where(~F.isnan(score)).select(F.col(score).cast("double").alias("score"))
     if rel_err:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        found = df.where(~F.isnan(score)).agg(
-            F.percentile_approx(score, wanted, int(round(1 / rel_err))).alias("found")
-        )
-        values = [F.get("found", F.lit(i)) for i in range(len(probabilities))]
-    else:
-        ranks = {
-            f"q{i}": F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("all_n")))
-            for i, p in enumerate(probabilities)
-        }
-        found = scores_at(df.where(~F.isnan(score)), score, ranks, ranges)
-        values = [F.col(f"q{i}") for i in range(len(probabilities))]
+        found = scores.approxQuantile("score", [float(p) for p in probabilities], rel_err)
+        rows = [(float(p), q) for p, q in zip(probabilities, found or [None] * len(probabilities))]
+        return spark.createDataFrame(rows, "probability double, quantile double")
+    ranks = {
+        f"q{i}": F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("all_n")))
+        for i, p in enumerate(probabilities)
+    }
     entries = [
-        F.struct(F.lit(float(p)).alias("probability"), v.alias("quantile"))
-        for p, v in zip(probabilities, values)
+        F.struct(F.lit(float(p)).alias("probability"), F.col(f"q{i}").alias("quantile"))
+        for i, p in enumerate(probabilities)
     ]
-    return found.select(F.inline(F.array(*entries)))
+    return scores_at(scores, "score", ranks, ranges).select(F.inline(F.array(*entries)))
 
 
 def nearest_rank(

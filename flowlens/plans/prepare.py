@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowlens import conventions as K
+from flowlens.functions.predicates import weekday_token
 from flowlens.operators.clean import clean_audit, clean_rows
 from flowlens.operators.features import feature_order, weighted_training_set
 from flowlens.operators.schema import (
@@ -17,11 +19,12 @@ from flowlens.operators.schema import (
     detect_numeric,
     rename_guarded,
     require_columns,
+    route_split,
     schema_diff,
     with_split,
 )
 from flowlens.plans.layout import Layout
-from flowlens.sources.csv import read_raw_csv, read_raw_csv_by_name
+from flowlens.sources.csv import list_csv, read_raw_csv, read_raw_csv_by_name
 from flowlens.sources.documents import load_manifest, save_manifest, write_doc
 from flowlens.sources.tables import read_table, save_model, write_table
 
@@ -58,6 +61,18 @@ def clean_to_table(typed: DataFrame, split: str, features: Sequence[str], layout
     return cleaned
 
 
+def files_by_split(spark: SparkSession, prefix: str) -> dict[str, list[str]]:
+    """CSV files below a prefix by the split of the weekday in their names; both splits must occur."""
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    found = {"train": [], "test": []}
+    for row in route_split(list_csv(spark, prefix), weekday_token(name)).orderBy("path").collect():  # one row per file
+        found[row[K.SPLIT]].append(row["path"])
+    for split, files in found.items():
+        if not files:
+            raise FileNotFoundError(f"no CSV file of the {split} days in {prefix}")
+    return found
+
+
 def prepare(
     spark: SparkSession,
     train_paths: str | Sequence[str],

@@ -158,7 +158,7 @@ CANDIDATES_SQL = """SELECT day(o_orderdate) AS position, avg(o_totalprice) / 100
 )
 def select_model_query(spark, sf):
     """The selection rule over one candidate per day of the month, taken in order."""
-    results = table(spark, sf, "orders").groupBy(F.dayofmonth("o_orderdate").alias("position")).agg(
+    results = table(spark, sf, "orders").groupBy(F.dayofmonth("o_orderdate").cast("long").alias("position")).agg(
         (F.avg("o_totalprice") / 1000000).alias("silhouette"),
         F.max("o_orderkey").cast("double").alias("wssse"),
     )

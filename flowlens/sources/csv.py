@@ -43,42 +43,50 @@ def list_csv(spark: SparkSession, prefix: str | Sequence[str], skip: Sequence[st
     return files
 
 
+def group_by_header(
+    spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", mode: str = "PERMISSIVE"
+) -> dict[tuple[str, ...], list[str]]:
+    """Files per distinct header. Spark reads the headers, several files at a time."""
+    groups = defaultdict(list)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = pool.map(lambda path: tuple(csv_reader(spark, encoding, mode).csv(path).columns), paths)
+        for path, header in zip(paths, headers):
+            groups[header].append(path)
+    return dict(groups)
+
+
 def read_raw_csv(
     spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """One scan over files that share one header, with normalised names and the source file.
+    """One scan over the CSV files below the paths, which must share one header, with normalised
+    names and the source file.
 
-    Spark matches columns of several files by position; ``enforceSchema=false`` makes it check each
-    file's header, so files in another order fail rather than swap values.
+    Spark matches columns of several files by position, so files in another order would swap values.
+    The scan itself checks every header (``enforceSchema=false``). Where a name occurs twice Spark
+    numbers the copies and that check cannot pass; then the headers are compared beforehand.
     """
-    raw = (
-        csv_reader(spark, encoding, mode)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", CSV_GLOB)
-        .option("recursiveFileLookup", True)
-        .csv(paths)
-    )
-    return with_source_file(raw)
+    files = sorted(r.path for r in list_csv(spark, paths).collect())
+    if not files:
+        raise FileNotFoundError(f"no CSV files in {paths}")
+    reader = csv_reader(spark, encoding, mode)
+    first = csv_reader(spark, encoding, mode).option("header", False).csv(files[0]).head()
+    names = [str(name).lower() for name in first or ()]
+    if len(set(names)) == len(names):
+        reader = reader.option("enforceSchema", False)
+    elif len(group_by_header(spark, files, encoding, mode)) > 1:
+        raise ValueError("the files have different headers: read them with read_raw_csv_by_name")
+    return with_source_file(reader.csv(files))
 
 
 def read_raw_csv_by_name(
     spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8", mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """Scan files with different headers and union them by normalised name.
-
-    Files are grouped by header first: one scan per distinct header, not one per file. Spark reads
-    the headers, several files at a time.
-    """
+    """Scan files with different headers and union them by normalised name: one scan per distinct
+    header, not one per file."""
     if not paths:
         raise FileNotFoundError("no CSV files to read")
-    by_header = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = pool.map(lambda path: tuple(csv_reader(spark, encoding, mode).csv(path).columns), paths)
-        for path, header in zip(paths, headers):
-            by_header[header].append(path)
-    return union_by_name(
-        [with_source_file(csv_reader(spark, encoding, mode).csv(same)) for same in by_header.values()]
-    )
+    groups = group_by_header(spark, paths, encoding, mode).values()
+    return union_by_name([with_source_file(csv_reader(spark, encoding, mode).csv(files)) for files in groups])
 
 
 def with_source_file(df: DataFrame, name: str = K.SOURCE_FILE) -> DataFrame:

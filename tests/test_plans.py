@@ -10,7 +10,7 @@ from flowlens.plans.clusters import calibrate_clusters, evaluate_clusters, optim
 from flowlens.plans.forests import evaluate_forest, optimise_forest, train_forest
 from flowlens.plans.layout import Layout
 from flowlens.plans.live import score_lines
-from flowlens.plans.prepare import prepare, prepare_stream_table
+from flowlens.plans.prepare import files_by_split, prepare, prepare_stream_table
 from flowlens.sources.csv import list_csv
 from flowlens.sources.documents import load_manifest, read_doc, read_values
 from flowlens.sources.tables import read_table
@@ -59,6 +59,19 @@ def test_prepare(spark, project):
     assert audit["duplicates"].rows_after == train.count()
 
 
+def test_files_by_split(spark, tmp_path):
+    for name in ("Monday-a.csv", "friday.CSV", "Thursday-b.csv", "Sunday.csv"):
+        (tmp_path / name).write_text("x\n1\n")
+    found = files_by_split(spark, str(tmp_path))
+    assert {k: [p.rsplit("/", 1)[1] for p in v] for k, v in found.items()} == {
+        "train": ["Monday-a.csv", "friday.CSV"], "test": ["Thursday-b.csv"],
+    }
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "Monday.csv").write_text("x\n1\n")
+    with pytest.raises(FileNotFoundError, match="test"):
+        files_by_split(spark, str(tmp_path / "only"))
+
+
 def test_clusters(spark, project):
     _, layout, _ = project
     trained = train_clusters(spark, layout, k=4, max_iter=10)

@@ -93,6 +93,8 @@ def test_exact_quantiles(spark):
     rough = {r.probability: r.quantile for r in score_quantiles(df, "score", [0.9]).collect()}
     rank = sum(v <= rough[0.9] for v in values) / len(values)
     assert abs(rank - 0.9) < 0.01
+    nothing = score_quantiles(df.limit(0), "score", [0.9, 0.99]).collect()
+    assert [(r.probability, r.quantile) for r in nothing] == [(0.9, None), (0.99, None)]
 
 
 @pytest.mark.parametrize("n", [1, 2, 10, 20])

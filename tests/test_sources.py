@@ -61,7 +61,16 @@ def test_headers_in_another_order(spark, tmp_path):
 
 def test_repeated_header_names(spark, tmp_path):
     put(tmp_path / "a.csv", "Len,Fwd Len,Len\n1,2,3\n")
-    assert read_raw_csv(spark, str(tmp_path)).columns == ["len0", "fwd_len", "len2", K.SOURCE_FILE]
+    put(tmp_path / "b.csv", "Len,Fwd Len,Len\n4,5,6\n")
+    df = read_raw_csv(spark, str(tmp_path))
+    assert df.columns == ["len0", "fwd_len", "len2", K.SOURCE_FILE]
+    assert sorted(tuple(r)[:3] for r in df.collect()) == [("1", "2", "3"), ("4", "5", "6")]
+    put(tmp_path / "c.csv", "Fwd Len,Len,Len\n5,4,6\n")
+    with pytest.raises(ValueError, match="headers"):
+        read_raw_csv(spark, str(tmp_path))
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        read_raw_csv(spark, str(tmp_path / "empty"))
 
 
 def test_encoding_fallback(spark, tmp_path):
