@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
@@ -204,14 +204,17 @@ def compare_models(base: DataFrame | None, optimised: DataFrame, metrics: Sequen
     return compared.select("metric", "base", "optimised", (F.col("optimised") - F.col("base")).alias("change"))
 
 
-def run_metrics(spark, rows: int, seconds: float, partitions: int, extra: Mapping | None = None) -> DataFrame:
-    """Throughput and cost per record of a timed run, one row."""
-    values = {
-        "num_records": int(rows),
-        "inference_time_seconds": round(float(seconds), 4),
+def run_figures(rows: int, seconds: float, partitions: int) -> dict:
+    """Throughput and cost per record of a timed run."""
+    return {
         "throughput_records_per_second": round(rows / seconds, 2) if seconds > 0 else 0.0,
         "average_latency_us": round(seconds / rows * 1e6, 4) if rows else 0.0,
         "num_partitions": int(partitions),
-        **(extra or {}),
+        "inference_time_seconds": round(float(seconds), 4),
     }
+
+
+def run_metrics(spark: SparkSession, rows: int, seconds: float, partitions: int) -> DataFrame:
+    """The same figures as one row."""
+    values = {"num_records": int(rows), **run_figures(rows, seconds, partitions)}
     return spark.createDataFrame([tuple(values.values())], list(values))

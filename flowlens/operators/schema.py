@@ -52,6 +52,10 @@ def castable_profile(
     those are is then up to Spark.
     """
     cols = [c for c in df.columns if c not in set(exclude)]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "column string, non_null long, castable long, is_numeric boolean"
+        )
     rows = df.select(*cols)
     if sample_rows is not None:
         rows = rows.limit(sample_rows)

@@ -21,7 +21,7 @@ from flowlens.operators.clustering import (
     fit_kmeans,
     silhouette,
 )
-from flowlens.operators.evaluation import evaluate_at_threshold, score_by_class, unseen_detection
+from flowlens.operators.evaluation import evaluate_at_threshold, run_figures, score_by_class, unseen_detection
 from flowlens.operators.ranking import auc, score_quantiles
 from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
@@ -146,21 +146,12 @@ def evaluate_clusters(
         "unseen_classes_analysis": [
             r.asDict() for r in unseen_detection(known, stored, K.LABEL, K.FLAG, K.SCORE).orderBy(K.LABEL).collect()
         ],
-        "system_metrics": system_metrics(rows, seconds, test.rdd.getNumPartitions()),
+        "system_metrics": run_figures(rows, seconds, test.rdd.getNumPartitions()),
     }
     write_values(spark, report, layout("reports", f"{name}_test"))
     return report
 
 
-def system_metrics(rows: int, seconds: float, partitions: int) -> dict:
-    return {
-        "throughput_records_per_second": round(rows / seconds, 2) if seconds > 0 else 0.0,
-        "average_latency_us": round(seconds / rows * 1e6, 4) if rows else 0.0,
-        "num_partitions": partitions,
-        "inference_time_seconds": round(seconds, 4),
-    }
-
-
 def optimise_clusters(
     spark: SparkSession,
     layout: Layout,

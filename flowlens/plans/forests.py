@@ -18,13 +18,13 @@ from flowlens.operators.evaluation import (
     match_classes,
     multiclass_metrics,
     per_class_metrics,
+    run_figures,
     with_binary_metrics,
 )
 from flowlens.operators.features import attach_class_name
 from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, predict
 from flowlens.operators.ranking import auc
 from flowlens.operators.search import best_forest, refit_forest, search_forest
-from flowlens.plans.clusters import system_metrics
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import load_manifest, read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
@@ -89,7 +89,7 @@ def evaluate_forest(
         "confusion_matrix": [r.asDict() for r in named_cells.orderBy(K.LABEL_INDEX, K.PREDICTION).collect()],
         "metrics_per_class": [r.asDict() for r in named_classes.orderBy("class").collect()],
         "unseen_classes_analysis": [r.asDict() for r in unseen_rows.orderBy(K.LABEL).collect()],
-        "system_metrics": system_metrics(rows, seconds, test.rdd.getNumPartitions()),
+        "system_metrics": run_figures(rows, seconds, test.rdd.getNumPartitions()),
     }
     write_values(spark, report, layout("reports", f"{name}_test"))
     return report

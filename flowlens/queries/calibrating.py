@@ -78,6 +78,28 @@ def score_quantiles_approx(spark, sf):
     return score_quantiles(scored(spark, sf).where("truth = 0"), "score")
 
 
+@query(
+    "score_quantiles_error",
+    f"""SELECT probability, count(*) FILTER (truth = 0) AS benign, TRUE AS within
+    FROM @scored, (VALUES {PROBABILITIES}) v(probability) GROUP BY probability""",
+)
+def score_quantiles_error(spark, sf):
+    """The sketched quantiles lie within the promised rank error of the exact ones."""
+    benign = scored(spark, sf).where("truth = 0")
+    rough = {r.probability: r.quantile for r in score_quantiles(benign, "score").collect()}
+    s, entries = F.col("score"), []
+    counts = benign.agg(
+        F.count("score").alias("n"),
+        *[F.count_if(s <= F.lit(q)).alias(f"to_{i}") for i, q in enumerate(rough.values())],
+        *[F.count_if(s < F.lit(q)).alias(f"below_{i}") for i, q in enumerate(rough.values())],
+    )
+    for i, p in enumerate(rough):
+        n, slack = F.col("n"), F.ceil(F.col("n") * F.lit(K.QUANTILE_ERROR)) + 1
+        within = (F.col(f"to_{i}") >= p * n - slack) & (F.col(f"below_{i}") <= p * n + slack)
+        entries.append(F.struct(F.lit(p).alias("probability"), n.alias("benign"), within.alias("within")))
+    return counts.select(F.inline(F.array(*entries)))
+
+
 @query("threshold_candidates", candidate_sql("@scored"))
 def threshold_candidates_query(spark, sf):
     return threshold_candidates(benign_quantiles(scored(spark, sf)))

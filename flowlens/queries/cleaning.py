@@ -163,11 +163,25 @@ def sample_bernoulli(spark, sf):
     return bernoulli_sample(table(spark, sf, "lineitem")).groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
+RATES = {ATTACK: 1.0, "click": 0.3, "view": 0.3, "purchase": 0.3, "signup": 0.3}
+
+
 @query("sample_stratified")
 def sample_stratified(spark, sf):
+    sample = stratified_sample(scored(spark, sf), "event_type", RATES)
+    return sample.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("sample_rates", "SELECT event_type, count(*) AS n, TRUE AS within FROM @scored GROUP BY event_type")
+def sample_rates(spark, sf):
+    """Share of each class that a stratified sample keeps, against six standard deviations."""
     rows = scored(spark, sf)
-    rates = {ATTACK: 1.0, "click": 0.3, "view": 0.3, "purchase": 0.3, "signup": 0.3}
-    return stratified_sample(rows, "event_type", rates).groupBy("event_type").agg(F.count("*").alias("n"))
+    kept = stratified_sample(rows, "event_type", RATES).groupBy("event_type").agg(F.count("*").alias("kept"))
+    full = rows.groupBy("event_type").agg(F.count("*").alias("n"))
+    rate = F.when(F.col("event_type") == ATTACK, 1.0).otherwise(0.3)
+    off = F.abs(F.coalesce("kept", F.lit(0)) - rate * F.col("n"))
+    both = full.join(kept, "event_type", "left")
+    return both.select("event_type", "n", (off <= 6 * F.sqrt(F.col("n") * rate * (1 - rate))).alias("within"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml import Pipeline
 from pyspark.sql import Observation
@@ -101,6 +101,24 @@ def kmeans_fit(spark, sf):
     return cluster_summary(scored)
 
 
+@query(
+    "kmeans_nearest",
+    "SELECT count(*) AS row_count, count(*) AS nearest, count(*) AS same_distance FROM embeddings",
+)
+def kmeans_nearest(spark, sf):
+    """The fitted model puts every row into the cluster whose centroid is nearest."""
+    rows = materialize(vectors(spark, sf).drop("cluster_id"), "vectors")
+    model = fit_kmeans(rows)
+    centers = centroid_table(spark, model)
+    by_model = distance_to_centroid(model.transform(rows), centers)
+    both = assign_centroid(by_model.withColumnsRenamed({K.CLUSTER: "c1", K.SCORE: "d1"}), centers)
+    return both.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("c1") == F.col(K.CLUSTER)).alias("nearest"),
+        F.count_if(F.abs(F.col("d1") - F.col(K.SCORE)) < 1e-9).alias("same_distance"),
+    )
+
+
 @query(
     "model_roundtrip",
     "SELECT count(*) AS row_count, count(*) AS same_cluster, count(*) AS same_distance FROM embeddings",
@@ -198,6 +216,25 @@ def rf_fit_predict(spark, sf):
     )
 
 
+@query(
+    "rf_consistent",
+    """SELECT label, count(*) AS n, count(*) AS most_probable, count(*) AS proper, count(*) AS flagged_right
+    FROM @flows GROUP BY label""",
+)
+def rf_consistent(spark, sf):
+    """Every prediction is the most probable class, probabilities add up to 1, flags follow predictions."""
+    rows = prepared_flows(spark, sf)
+    p = vector_to_array(K.PROBABILITY)
+    best = F.array_position(p, F.array_max(p)) - 1
+    scored = predict(fit_forest(rows, **SMALL_FOREST), rows)
+    return scored.groupBy(K.LABEL).agg(
+        F.count("*").alias("n"),
+        F.count_if(best == F.col(K.PREDICTION)).alias("most_probable"),
+        F.count_if(F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("proper"),
+        F.count_if(F.col(K.FLAG) == (F.col(K.PREDICTION) != 0).cast("int")).alias("flagged_right"),
+    )
+
+
 @query("rf_auc")
 def rf_auc(spark, sf):
     """AUC of 1 minus the predicted benign probability."""

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.workspace import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -44,7 +46,7 @@ def flows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# --- lineitem with bad values and copies injected ---
+# --- the whole of lineitem with bad values written over good ones and copies of some rows added ---
 
 def dirty(spark: SparkSession, sf: str) -> DataFrame:
     part = F.col("l_partkey")
@@ -56,7 +58,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
         .when(part % 50 == 4, "abc")
         .otherwise(F.col("l_quantity").cast("string"))
     )
-    base = table(spark, sf, "lineitem").select(
+    base = spread(table(spark, sf, "lineitem")).select(  # much text work per row
         "l_orderkey",
         "l_linenumber",
         "l_partkey",

@@ -9,17 +9,20 @@ from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlens import conventions as K
-from flowlens.functions.predicates import flag_anomaly
+from flowlens.functions.predicates import all_finite, flag_anomaly
 from flowlens.operators.clustering import centroid_table, distance_to_centroid
 from flowlens.sources.tables import write_batch
 
+DISTANCE = "distanceToCentroid"
 FOREST_SINK = [K.PREDICTION, K.LABEL, K.LABEL_INDEX]
-CLUSTER_SINK = [K.CLUSTER, "distanceToCentroid", "is_anomaly", K.LABEL]
+CLUSTER_SINK = [K.CLUSTER, DISTANCE, "is_anomaly", K.LABEL]
 
 
 @dataclass
@@ -35,36 +38,52 @@ class Scorer:
         """Both models on the same prepared rows, in one plan.
 
         Works on batch and on streaming frames: every step is a projection or a join to centroids.
+        A row with a missing or infinite feature has no nearest centroid (the cluster model would
+        fail on it): it gets no cluster and a NaN distance, and so counts as an anomaly.
         """
-        prepared = self.preparation.transform(rows)
-        classified = self.forest.transform(prepared)
-        clustered = self.clusters.transform(classified)
+        features = next(s for s in self.preparation.stages if isinstance(s, VectorAssembler)).getInputCols()
+        usable = F.coalesce(all_finite(features), F.lit(False))
+        zeros = array_to_vector(F.array_repeat(F.lit(0.0), len(features)))
+        classified = self.forest.transform(self.preparation.transform(rows))
+        guarded = classified.withColumns({"__usable": usable, "__scaled": F.col(K.SCALED_VECTOR)}).withColumn(
+            K.SCALED_VECTOR, F.when(F.col("__usable"), F.col(K.SCALED_VECTOR)).otherwise(zeros)
+        )
+        clustered = self.clusters.transform(guarded)
         centroids = centroid_table(rows.sparkSession, self.clusters)
-        scored = distance_to_centroid(clustered, centroids, out="distanceToCentroid")
-        return scored.withColumn("is_anomaly", flag_anomaly(F.col("distanceToCentroid"), self.threshold))
+        scored = distance_to_centroid(clustered, centroids, out=DISTANCE).withColumns(
+            {
+                K.SCALED_VECTOR: F.col("__scaled"),
+                K.CLUSTER: F.when(F.col("__usable"), F.col(K.CLUSTER)),
+                DISTANCE: F.when(F.col("__usable"), F.col(DISTANCE)).otherwise(F.lit(float("nan"))),
+            }
+        )
+        flag = flag_anomaly(F.col(DISTANCE), self.threshold)
+        return scored.withColumn("is_anomaly", flag).drop("__usable", "__scaled")
 
 
 def batch_summary(
     scored: DataFrame,
     prediction: str = K.PREDICTION,
     label: str = K.LABEL,
-    distance: str = "distanceToCentroid",
+    distance: str = DISTANCE,
     flag: str = "is_anomaly",
     benign: int = 0,
 ) -> DataFrame:
     """One row about a batch: sizes, predicted-class counts with their usual label, distances.
 
     Rows are counted per predicted class and label first; only those counts are gathered into maps.
-    Expressions are given as SQL text, which costs a running stream less planning time per batch.
+    NaN distances count as anomalies but not in the mean and maximum. Expressions are given as SQL
+    text, which costs a running stream less planning time per batch.
     """
+    known_distance = f"nanvl(`{distance}`, CAST(NULL AS DOUBLE))"
     cells = scored.groupBy(
         F.expr(f"CAST(`{prediction}` AS INT) AS class"), F.col(label).alias("true_label")
     ).agg(
         F.expr("count(*) AS n"),
         F.expr(f"sum(`{flag}`) AS flags"),
-        F.expr(f"sum(`{distance}`) AS dist_sum"),
-        F.expr(f"count(`{distance}`) AS dist_n"),
-        F.expr(f"max(`{distance}`) AS dist_max"),
+        F.expr(f"sum({known_distance}) AS dist_sum"),
+        F.expr(f"count({known_distance}) AS dist_n"),
+        F.expr(f"max({known_distance}) AS dist_max"),
     )
     usual = "min_by(true_label, struct(-n, true_label))"
     classes = cells.groupBy("class").agg(

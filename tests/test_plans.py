@@ -9,12 +9,13 @@ from flowlens import conventions as K
 from flowlens.plans.clusters import calibrate_clusters, evaluate_clusters, optimise_clusters, train_clusters
 from flowlens.plans.forests import evaluate_forest, optimise_forest, train_forest
 from flowlens.plans.layout import Layout
-from flowlens.plans.live import score_lines
+from flowlens.plans.live import load_scorer, score_lines
 from flowlens.plans.prepare import files_by_split, prepare, prepare_stream_table
 from flowlens.sources.csv import list_csv
 from flowlens.sources.documents import load_manifest, read_doc, read_values
 from flowlens.sources.tables import read_table
-from flowlens.sources.wire import replay_stream, to_wire
+from flowlens.streaming.scoring import batch_summary
+from flowlens.sources.wire import parse_wire, replay_stream, to_wire, wire_schema
 
 HEADERS = [" Flow Bytes/s", "Flow Duration", "Fwd Packets/s", "Note", " Label"]
 
@@ -151,3 +152,35 @@ def test_live_scores(spark, project):
     assert summary[1] == clusters.agg(F.sum("is_anomaly")).first()[0]
     stored = read_table(spark, layout("scores", "clusters_v1"))
     assert stored.agg(F.sum(K.FLAG)).first()[0] == summary[1]
+
+
+def test_scoring_is_a_plain_streaming_projection(spark, project):
+    root, layout, features = project
+    rows = read_table(spark, layout("clean", "test"))
+    to_wire(rows).write.text(str(root / "wire2"))
+    scorer = load_scorer(spark, layout)
+    parsed = parse_wire(replay_stream(spark, str(root / "wire2")), wire_schema(features))
+    cols = ["label", K.PREDICTION, K.CLUSTER, "distanceToCentroid", "is_anomaly"]
+    query = (
+        scorer.score(parsed).select(*cols).writeStream.format("parquet")
+        .option("path", str(root / "projected")).option("checkpointLocation", str(root / "projected_checkpoint"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    batch = scorer.score(rows).select(*cols)
+    assert read_table(spark, str(root / "projected")).exceptAll(batch).count() == 0
+    assert batch.count() == rows.count()
+
+
+def test_missing_features_are_anomalies(spark, project):
+    _, layout, features = project
+    broken = [(None, 1.0, 2.0, "a"), (1.0, float("nan"), 2.0, "b"), (1.0, 2.0, float("inf"), "c")]
+    rows = spark.createDataFrame([*broken, (1.0, 1.0, 0.01, "never seen")], wire_schema(features))
+    scored = load_scorer(spark, layout).score(rows)
+    got = scored.orderBy("label").collect()
+    for row in got[:3]:
+        assert row.is_anomaly == 1 and row[K.CLUSTER] is None and row.prediction is not None
+        assert row.distanceToCentroid != row.distanceToCentroid
+    assert got[3].label_index == 2.0 and got[3].distanceToCentroid > 0
+    summary = batch_summary(scored).first()
+    assert summary.n == 4 and summary.km_anom >= 3 and summary.km_dist_max == round(got[3].distanceToCentroid, 2)
