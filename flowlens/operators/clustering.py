@@ -64,17 +64,28 @@ def mean_centroids(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     return df.groupBy(cluster).agg(mean.alias("centroid"))
 
 
-def distance_to_centroid(
-    df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
-) -> DataFrame:
-    """Euclidean distance of each row to the centroid it is assigned to; NULL for an unknown cluster."""
+def centroid_side(centroids: DataFrame, cluster: str = K.CLUSTER) -> tuple[DataFrame, int | None]:
+    """Centroids ready to be joined, broadcast if proven few, and their dimension."""
     known = broadcast_if_small(centroids.select(cluster, "centroid"), MAX_CENTROIDS)
     first = known.head()
-    dim = len(first["centroid"]) if first else None
+    return known, len(first["centroid"]) if first else None
+
+
+def distance_to_side(
+    df: DataFrame, side: tuple[DataFrame, int | None], vec: str, cluster: str, out: str
+) -> DataFrame:
+    known, dim = side
     joined = df.withColumn("__x", as_array(df, vec)).join(known, cluster, "left")
     return joined.withColumn(out, euclidean("__x", "centroid", dim)).drop("__x", "centroid")
 
 
+def distance_to_centroid(
+    df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
+) -> DataFrame:
+    """Euclidean distance of each row to the centroid it is assigned to; NULL for an unknown cluster."""
+    return distance_to_side(df, centroid_side(centroids, cluster), vec, cluster, out)
+
+
 def assign_centroid(
     df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import all_finite, flag_anomaly
-from flowlens.operators.clustering import centroid_table, distance_to_centroid
+from flowlens.operators.clustering import centroid_side, centroid_table, distance_to_side
 from flowlens.sources.tables import write_batch
 
 DISTANCE = "distanceToCentroid"
@@ -33,6 +33,7 @@ class Scorer:
     forest: PipelineModel
     clusters: PipelineModel
     threshold: float = K.STREAM_THRESHOLD
+    side: tuple | None = None
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Both models on the same prepared rows, in one plan.
@@ -49,8 +50,9 @@ class Scorer:
             K.SCALED_VECTOR, F.when(F.col("__usable"), F.col(K.SCALED_VECTOR)).otherwise(zeros)
         )
         clustered = self.clusters.transform(guarded)
-        centroids = centroid_table(rows.sparkSession, self.clusters)
-        scored = distance_to_centroid(clustered, centroids, out=DISTANCE).withColumns(
+        if self.side is None:  # the same for every micro-batch
+            self.side = centroid_side(centroid_table(rows.sparkSession, self.clusters))
+        scored = distance_to_side(clustered, self.side, K.SCALED_VECTOR, K.CLUSTER, DISTANCE).withColumns(
             {
                 K.SCALED_VECTOR: F.col("__scaled"),
                 K.CLUSTER: F.when(F.col("__usable"), F.col(K.CLUSTER)),
