@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from flowlens.llm import bpe, pii, simhash  # noqa: F401
+from flowlens.llm import bpe, decontaminate, language, pii, simhash  # noqa: F401
 from flowlens.llm.queries import ORACLES, QUERIES  # noqa: F401
