@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from flowlens.llm import bpe, chat, decontaminate, language, licenses, pii, simhash, syncmers  # noqa: F401
+from flowlens.llm import bpe, chat, decontaminate, language, licenses, lm, pii, simhash, syncmers, urls  # noqa: F401
 from flowlens.llm.queries import ORACLES, QUERIES  # noqa: F401
