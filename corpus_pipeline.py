@@ -1,22 +1,51 @@
-"""A training corpus from raw documents: each stage takes what the one before it kept."""
+"""A training corpus from raw documents: each stage takes what the one before it kept.
+
+Rows without an id are no documents and go in the first stage. A null text has no language and goes there, too.
+Further columns travel along unchanged up to the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import simhash
+from flowlens.llm import bpe, decontaminate, language, pii, simhash
 from flowlens.workspace import materialize
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is accepted stay."""
+    return language.accepted_documents(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """Of each group of near duplicates the document with the smallest id stays."""
     return simhash.one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item stay."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; personal data in their texts is replaced by its kind."""
+    return pii.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``decoded_sha256``, the digest of the text that the ids give back."""
+    return bpe.encode(docs, bpe.default_vocabulary(), ["n_tokens", "ids", "decoded_sha256"])
+
+
 STAGES = [
+    ("language_id", language_id),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
 ]
 
+#: Fitted models and hashes have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
