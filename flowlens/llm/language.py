@@ -28,7 +28,7 @@ from flowlens.workspace import materialize
 
 TRAINING_DOCS = 8000
 #: A label needs so many training rows to be a language.
-LABELLED_ROWS = 20
+LABELLED_ROWS = 3
 BUCKET_BITS = 16
 SATURATION = 100.0
 #: Pseudo-rows from the level above, for hosts and domains, and of each value for declared languages and suffixes.
