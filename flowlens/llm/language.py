@@ -33,6 +33,8 @@ BUCKET_BITS = 16
 SATURATION = 100.0
 #: Pseudo-rows from the level above, for hosts and domains, and of each value for declared languages and suffixes.
 PRIOR_ROWS, VALUE_ROWS = 20.0, 1.0
+#: Share of trigrams that may be of no language (names, codes, junk), so that these alone reject no text.
+STRANGE = 0.5
 #: Prior share of "none of these", and the least posterior of an accepted language.
 NONE_PRIOR, ACCEPTED = 0.01, 0.5
 NONE = "und"
@@ -98,7 +100,8 @@ def fit(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[li
         own = found[(found.label == language) & (found.bucket >= 0)]
         total[own.bucket.to_numpy(), j] = own.n.to_numpy()
     total += 0.1
-    return languages, np.log(total / total.sum(axis=0)).astype(np.float32)
+    shares = (1 - STRANGE) * total / total.sum(axis=0) + STRANGE / (1 << BUCKET_BITS)
+    return languages, np.log(shares).astype(np.float32)
 
 
 def text_scores(rows: DataFrame, model: np.ndarray) -> DataFrame:

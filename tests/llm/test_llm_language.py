@@ -72,6 +72,15 @@ def test_texts_in_none_of_the_languages_are_rejected(spark):
     assert sum(r.accepted for r in rows.values()) == 180
 
 
+def test_codes_in_a_short_text_do_not_reject_it(spark):
+    rnd = random.Random(5)
+    base = corpus(spark, 180)
+    odd = [(2000, prose(SOUNDS["aa"], 4, rnd) + " QZXKWVJTPEYD2FQBC2ZHJ " + prose(SOUNDS["aa"], 2, rnd), "aa", "aa.site.aa", "aa")]
+    docs = base.unionByName(spark.createDataFrame(odd, base.schema))
+    row = language.identify(docs, declared=F.col("lang"), host=F.col("host"), training=base).where("doc_id = 2000").first()
+    assert row.accepted and row.lang == "aa"
+
+
 def test_prior_by_brute_force(spark):
     docs = corpus(spark, 90)
     rows = language.identify(docs, host=F.col("host")).collect()
