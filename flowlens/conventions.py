@@ -108,7 +108,6 @@ SPLIT_BY_DAY = {
 }
 
 # --- cleaning and sampling (fixed values) ---
-TYPE_SAMPLE_ROWS = 20_000
 LOSS_LIMIT = 0.30
 SEARCH_FRACTION = 0.30
 SEED = 42
@@ -148,7 +147,5 @@ SLA_STATES = [  # state, latency above (ms), or throughput ratio below
 ]
 SLA_TARGETS = {"p50": 12_000, "p95": 22_000, "max": 60_000}
 SLA_PERCENTILES = (50, 95, 99)
-HISTORY_KEPT = 10
-HISTORY_SHOWN = 5
 SLA_HISTORY_KEPT = 30
 SLA_HISTORY_SHOWN = 8

@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UNROLL_LIMIT = 128
 
-
-def squared_distance(a: str, b: str, dim: int | None = None) -> Column:
-    """Squared Euclidean distance of two array columns.
-
-    With a known small dimension the sum is written out, which whole-stage codegen compiles to
-    straight arithmetic (as SQL text, since hundreds of small expression calls slow planning down);
-    otherwise array functions do it.
-    """
-    if dim and dim <= _UNROLL_LIMIT:
-        gaps = [f"(`{a}`[{i}] - `{b}`[{i}])" for i in range(dim)]
-        return F.expr(" + ".join(f"{gap} * {gap}" for gap in gaps))
+def squared_distance(a: str, b: str) -> Column:
+    """Squared Euclidean distance of two array columns; NULL where one is NULL or their lengths differ."""
     gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(F.size(a) == F.size(b), F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x))
 
 
-def euclidean(a: str, b: str, dim: int | None = None) -> Column:
-    return F.sqrt(squared_distance(a, b, dim))
+def euclidean(a: str, b: str) -> Column:
+    return F.sqrt(squared_distance(a, b))

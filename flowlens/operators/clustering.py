@@ -15,9 +15,10 @@ from pyspark.sql.types import ArrayType
 
 from flowlens import conventions as K
 from flowlens.functions.vectors import euclidean
-from flowlens.operators.joins import broadcast_if_small
+from flowlens.operators.joins import sized
 
-MAX_CENTROIDS = 10_000
+#: Doubles that a task holds at once per temporary while it looks for the nearest centroids.
+BLOCK_DOUBLES = 1 << 20
 
 
 def as_array(df: DataFrame, vec: str) -> Column:
@@ -64,55 +65,79 @@ def mean_centroids(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     return df.groupBy(cluster).agg(mean.alias("centroid"))
 
 
-def centroid_side(centroids: DataFrame, cluster: str = K.CLUSTER) -> tuple[DataFrame, int | None]:
-    """Centroids ready to be joined, broadcast if proven few, and their dimension."""
-    known = broadcast_if_small(centroids.select(cluster, "centroid"), MAX_CENTROIDS)
-    first = known.head()
-    return known, len(first["centroid"]) if first else None
+def centroid_side(centroids: DataFrame, cluster: str = K.CLUSTER) -> DataFrame:
+    """Centroids ready to be joined, of a size that the planner knows."""
+    return sized(centroids.select(cluster, "centroid"))
 
 
-def distance_to_side(
-    df: DataFrame, side: tuple[DataFrame, int | None], vec: str, cluster: str, out: str
-) -> DataFrame:
-    known, dim = side
-    joined = df.withColumn("__x", as_array(df, vec)).join(known, cluster, "left")
-    return joined.withColumn(out, euclidean("__x", "centroid", dim)).drop("__x", "centroid")
+def distance_to_side(df: DataFrame, side: DataFrame, vec: str, cluster: str, out: str) -> DataFrame:
+    joined = df.withColumn("__x", as_array(df, vec)).join(side, cluster, "left")
+    return joined.withColumn(out, euclidean("__x", "centroid")).drop("__x", "centroid")
 
 
 def distance_to_centroid(
     df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
 ) -> DataFrame:
-    """Euclidean distance of each row to the centroid it is assigned to; NULL for an unknown cluster."""
+    """Euclidean distance of each row to the centroid it is assigned to; NULL for an unknown cluster or where
+    the lengths differ."""
     return distance_to_side(df, centroid_side(centroids, cluster), vec, cluster, out)
 
 
+def nearest_centroids(x: np.ndarray, ids: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ``x`` the id of the nearest centroid (the smallest of equals) and its squared distance.
+
+    ``ids`` ascend. A matrix product of a block of rows and a block of centroids tells roughly; the centroids
+    it can't tell from the nearest of its block are measured by the direct difference.
+    """
+    best, place = np.full(len(x), np.inf), np.zeros(len(x), dtype=np.int64)
+    side = max(1, int(BLOCK_DOUBLES**0.5))
+    norms = (centers**2).sum(axis=1)
+    for low in range(0, len(x), side):
+        rows = x[low : low + side]
+        square = (rows**2).sum(axis=1)
+        for at in range(0, len(centers), side):
+            block = centers[at : at + side]
+            rough = norms[at : at + side] - 2 * rows @ block.T
+            slack = 1e-9 * (square + norms[at : at + side].max()) + 1e-300
+            r, c = np.nonzero(rough <= (rough.min(axis=1) + slack)[:, None])
+            for start in range(0, len(r), side):
+                own, other = r[start : start + side], c[start : start + side]
+                exact = ((rows[own] - block[other]) ** 2).sum(axis=1)
+                order = np.lexsort((other, exact, own))
+                first = order[np.append(True, np.diff(own[order]) != 0)]
+                nearer = first[exact[first] < best[low + own[first]]]
+                best[low + own[nearer]], place[low + own[nearer]] = exact[nearer], at + other[nearer]
+    return ids[place], best
+
+
 def assign_centroid(
     df: DataFrame, centroids: DataFrame, vec: str = K.SCALED_VECTOR, cluster: str = K.CLUSTER, out: str = K.SCORE
 ) -> DataFrame:
     """Nearest centroid of each row and the distance to it, for a table of centroids.
 
-    A fitted KMeans model does this with ``transform``. For centroids that come as a table, each
-    Arrow batch is one matrix product; array functions need a boxed call per component and
-    centroid, about seven times as slow when measured. Of equally near centroids the first id wins.
+    A fitted KMeans model does this with ``transform``. For centroids that come as a table this is block-wise
+    matrix products per Arrow batch; array functions need a boxed call per component and centroid, about seven
+    times as slow when measured. Of equally near centroids the smallest id wins. A row without a vector, or
+    with one of another length than the centroids', gets no cluster. The centroids are a model: all of them go
+    to every task, like those of a fitted KMeans, but rows and centroids are compared in blocks.
     """
-    rows = centroids.select(cluster, "centroid").limit(MAX_CENTROIDS + 1).collect()
-    if not rows or len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"between 1 and {MAX_CENTROIDS} centroids are needed")
-    rows.sort(key=lambda r: r[0])
-    ids = np.array([r[0] for r in rows], dtype="int64")
-    centers = np.array([r[1] for r in rows], dtype="float64")
-    norms = (centers**2).sum(axis=1)
+    rows = centroids.select(cluster, "centroid").where(F.col("centroid").isNotNull()).orderBy(cluster).collect()
+    lengths = {len(r[1]) for r in rows}
+    if len(lengths) != 1:
+        raise ValueError("centroids of one length are needed")
+    dim = lengths.pop()
+    table = df.sparkSession.sparkContext.broadcast(
+        (np.array([r[0] for r in rows], dtype="int64"), np.array([r[1] for r in rows], dtype="float64"))
+    )
 
     @F.pandas_udf("cluster long, distance double")
     def nearest(vectors: pd.Series) -> pd.DataFrame:
         found = pd.DataFrame({"cluster": pd.array([None] * len(vectors), dtype="Int64"), "distance": np.nan})
-        known = vectors.notna().to_numpy()
+        known = vectors.map(lambda v: v is not None and len(v) == dim).to_numpy(dtype=bool)
         if known.any():
-            x = np.vstack(vectors[known].to_numpy())
-            best = (norms - 2 * x @ centers.T).argmin(axis=1)
-            gap = x - centers[best]
-            found.loc[known, "cluster"] = ids[best]
-            found.loc[known, "distance"] = np.sqrt((gap * gap).sum(axis=1))
+            own, squared = nearest_centroids(np.vstack(vectors[known].to_numpy()), *table.value)
+            found.loc[known, "cluster"] = own
+            found.loc[known, "distance"] = np.sqrt(squared)
         return found
 
     return (

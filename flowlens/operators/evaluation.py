@@ -148,6 +148,16 @@ def unseen_detection(
     return detection_by_class(test, cls, flag, score).join(known, cls, "left_anti")
 
 
+def benign_rows(df: DataFrame, cls: str, benign) -> DataFrame:
+    """Rows of the benign class."""
+    return df.where(F.col(cls) == F.lit(benign))
+
+
+def classes_in(df: DataFrame, cls: str, wanted: Sequence) -> DataFrame:
+    """Rows of the given classes, for instance those that training didn't have."""
+    return df.where(F.col(cls).isin(*wanted))
+
+
 def match_classes(df: DataFrame, cls: str, patterns: Sequence[str] = K.UNSEEN_PATTERNS) -> DataFrame:
     return df.where(matches_any(F.col(cls), patterns))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.operators.joins import broadcast_if_small, lookup_join
+from flowlens.operators.joins import lookup_join, sized
 
 
 def fit_label_index(train: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX) -> DataFrame:
@@ -26,7 +26,7 @@ def apply_label_index(
     df: DataFrame, labels: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX
 ) -> DataFrame:
     """Add the index. Unknown and missing labels share the first index after the known ones."""
-    known = broadcast_if_small(labels.select(label, index))
+    known = sized(labels.select(label, index))
     unknown = float(known.count())
     return df.join(known, label, "left").withColumn(index, F.coalesce(index, F.lit(unknown)))
 

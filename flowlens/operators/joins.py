@@ -3,35 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+from flowlens.workspace import materialize
 
 
-def local_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A small table as a local relation, or None when it has more than ``max_rows`` rows.
+def sized(table: DataFrame) -> DataFrame:
+    """The lookup table written once, so that the planner knows its bytes.
 
-    At most ``max_rows + 1`` rows reach the driver, so the check itself is bounded.
+    Below ``spark.sql.autoBroadcastJoinThreshold`` Spark then broadcasts it and the large side, with whatever
+    hot keys it has, isn't shuffled. Above it the join is an ordinary equi-join, in which adaptive execution
+    splits skewed partitions. Nothing passes through the driver to find out.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return materialize(table, "lookup")
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table as a broadcast local relation if its row count is proven small, else as it is."""
-    small = local_copy(table, max_rows)
-    return table if small is None else F.broadcast(small)
-
-
-def lookup_join(
-    df: DataFrame, table: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a large table to a lookup table.
-
-    A small lookup table is broadcast, so the large side, with whatever hot keys it has, is not
-    shuffled. A larger one gets an ordinary equi-join, in which adaptive execution splits skewed
-    partitions.
-    """
-    return df.join(broadcast_if_small(table, max_rows), on, how)
+def lookup_join(df: DataFrame, table: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a large table to a lookup table of any size."""
+    return df.join(sized(table), on, how)

@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 
-MAX_RANGES = 4096
+SCORES_PER_RANGE = 1 << 20
 
 
-def _range_count(df: DataFrame) -> int:
-    """Four ranges per shuffle partition, so that the cluster's own setting decides.
+def _range_count(scores: DataFrame) -> int:
+    """So many ranges that each holds about ``SCORES_PER_RANGE`` distinct scores, and at least eight.
 
-    The limit keeps the quantile summaries that find the edges small: they grow with the number of
-    ranges, and about the square root of the number of input partitions of them meet on the driver.
+    The number of distinct scores is estimated with a sketch, in one pass.
     """
-    return min(MAX_RANGES, max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    distinct = scores.agg(F.approx_count_distinct("score")).first()[0]
+    return max(8, -(-distinct // SCORES_PER_RANGE))
 
 
 def _range_edges(scores: DataFrame, ranges: int) -> list[float]:
@@ -51,7 +51,7 @@ def running_counts(
         F.col(score).cast("double").alias("score"), *[c.cast("long").alias(n) for n, c in counts.items()]
     )
     cells = scored.groupBy("score").agg(*[F.sum(n).alias(n) for n in counts])
-    edges = _range_edges(scored, ranges or _range_count(df))
+    edges = _range_edges(scored, ranges or _range_count(scored))
     ranged = Bucketizer(splits=edges, inputCol="score", outputCol="range", handleInvalid="keep").transform(cells)
 
     def order(col: str) -> Column:

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from flowlens import conventions as K
 
 
-def head_sample(df: DataFrame, n: int = K.TYPE_SAMPLE_ROWS) -> DataFrame:
-    return df.limit(n)
-
-
 def bernoulli_sample(df: DataFrame, fraction: float = K.SEARCH_FRACTION, seed: int = K.SEED) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 

@@ -43,23 +43,17 @@ def union_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def castable_profile(
-    df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES, sample_rows: int | None = None
-) -> DataFrame:
+def castable_profile(df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES) -> DataFrame:
     """Per column: non-null values, values that cast to double, and whether the column is numeric.
 
-    One aggregate pass over all columns. ``sample_rows`` bounds the rows looked at; which rows
-    those are is then up to Spark.
+    One aggregate pass over all columns and all rows.
     """
     cols = [c for c in df.columns if c not in set(exclude)]
     if not cols:
         return df.sparkSession.createDataFrame(
             [], "column string, non_null long, castable long, is_numeric boolean"
         )
-    rows = df.select(*cols)
-    if sample_rows is not None:
-        rows = rows.limit(sample_rows)
-    counts = rows.agg(
+    counts = df.agg(
         *[F.count(c).alias(f"non_null_{i}") for i, c in enumerate(cols)],
         *[F.count(F.col(c).try_cast("double")).alias(f"castable_{i}") for i, c in enumerate(cols)],
     )
@@ -75,11 +69,9 @@ def castable_profile(
     return counts.select(F.inline(F.array(*entries))).withColumn("is_numeric", numeric)
 
 
-def detect_numeric(
-    df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES, sample_rows: int | None = None
-) -> list[str]:
+def detect_numeric(df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES) -> list[str]:
     """Names of the numeric columns, in table order."""
-    found = {r[0] for r in castable_profile(df, exclude, sample_rows).where("is_numeric").select("column").collect()}
+    found = {r[0] for r in castable_profile(df, exclude).where("is_numeric").select("column").collect()}
     return [c for c in df.columns if c in found]
 
 

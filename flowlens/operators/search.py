@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -16,10 +15,8 @@ from flowlens import conventions as K
 from flowlens.operators.clustering import centroid_table, distance_to_centroid, fit_kmeans, silhouette
 from flowlens.operators.evaluation import score_stats
 from flowlens.operators.forest import fit_forest, forest
-from flowlens.operators.joins import local_copy
 from flowlens.operators.sampling import bernoulli_sample, stratified_sample
 
-MAX_CONFIGURATIONS = 10_000
 RESULT_SCHEMA = (
     "position int, k int, max_iter int, tol double, silhouette double, wssse double, "
     "mean_dist double, dist_std double, training_time_s double"
@@ -30,11 +27,8 @@ def select_model(results: DataFrame, order: str = "position", tol: float = K.SIL
     """The chosen row of a search: a clearly better silhouette wins, a near tie goes to the lower cost.
 
     The rule compares each row with the best so far, so the order of the rows matters. A result
-    table has one row per configuration, which is checked, and is folded as one array.
+    table has one row per configuration and is folded as one array.
     """
-    results = local_copy(results, MAX_CONFIGURATIONS)
-    if results is None:
-        raise ValueError(f"more than {MAX_CONFIGURATIONS} configurations")
     row = F.struct(order, *[c for c in results.columns if c != order])
     gathered = results.agg(F.array_sort(F.collect_list(row)).alias("rows"))
 
@@ -52,30 +46,30 @@ def select_model(results: DataFrame, order: str = "position", tol: float = K.SIL
 def search_kmeans(
     benign: DataFrame,
     grid: Sequence[Mapping] = K.CLUSTER_GRID,
-    fraction: float = K.SEARCH_FRACTION,
+    fraction: float | None = None,
     seed: int = K.SEED,
     vec: str = K.SCALED_VECTOR,
 ) -> DataFrame:
-    """Fit every configuration on one sample; one result row each."""
+    """Fit every configuration on the same rows; one result row each.
+
+    All rows unless a caller gives a ``fraction`` to sample. Read them from a written table.
+    """
     spark = benign.sparkSession
-    sample = bernoulli_sample(benign, fraction, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = benign if fraction is None else bernoulli_sample(benign, fraction, seed)
     results = []
-    try:
-        for position, params in enumerate(grid):
-            start = time.time()
-            model = fit_kmeans(sample, seed=seed, vec=vec, **params)
-            seconds = time.time() - start
-            assigned = model.transform(sample)
-            scored = distance_to_centroid(assigned, centroid_table(spark, model), vec)
-            stats = score_stats(scored).first()
-            results.append(
-                (
-                    position, params["k"], params["max_iter"], params["tol"], silhouette(assigned, vec),
-                    model.stages[-1].summary.trainingCost, stats["mean_dist"], stats["std_dist"], round(seconds, 4),
-                )
+    for position, params in enumerate(grid):
+        start = time.time()
+        model = fit_kmeans(rows, seed=seed, vec=vec, **params)
+        seconds = time.time() - start
+        assigned = model.transform(rows)
+        scored = distance_to_centroid(assigned, centroid_table(spark, model), vec)
+        stats = score_stats(scored).first()
+        results.append(
+            (
+                position, params["k"], params["max_iter"], params["tol"], silhouette(assigned, vec),
+                model.stages[-1].summary.trainingCost, stats["mean_dist"], stats["std_dist"], round(seconds, 4),
             )
-    finally:
-        sample.unpersist()
+        )
     return spark.createDataFrame(results, RESULT_SCHEMA)
 
 
@@ -110,15 +104,12 @@ def search_forest(
     )
     if weighted_metric and weight_col:
         evaluator = evaluator.setWeightCol(weight_col)
-    sample = stratified_sample(train, K.LABEL_INDEX, fraction, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        validator = CrossValidator(
-            estimator=Pipeline(stages=[estimator]), estimatorParamMaps=combos, evaluator=evaluator,
-            numFolds=folds, parallelism=parallelism, seed=seed,
-        )
-        scores = validator.fit(sample).avgMetrics
-    finally:
-        sample.unpersist()
+    sample = stratified_sample(train, K.LABEL_INDEX, fraction, seed)
+    validator = CrossValidator(
+        estimator=Pipeline(stages=[estimator]), estimatorParamMaps=combos, evaluator=evaluator,
+        numFolds=folds, parallelism=parallelism, seed=seed,
+    )
+    scores = validator.fit(sample).avgMetrics
     rows = [
         (
             i, int(combo[estimator.numTrees]), int(combo[estimator.maxDepth]),

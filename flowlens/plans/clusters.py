@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +26,6 @@ from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
-from flowlens.workspace import spread
 
 STORED = [*K.CLUSTER_SCORE_COLUMNS, K.LABEL]
 
@@ -44,7 +42,7 @@ def score(model: PipelineModel, df: DataFrame, benign: str) -> DataFrame:
 
 
 def benign_rows(spark: SparkSession, layout: Layout, benign: str) -> DataFrame:
-    train = spread(read_table(spark, layout("processed", "train")))
+    train = read_table(spark, layout("processed", "train"))
     return train.where(F.col(K.LABEL) == benign).select(K.SCALED_VECTOR)
 
 
@@ -71,14 +69,11 @@ def train_clusters(
 ) -> dict:
     """Fit on the benign training rows, save the model and its clustering metrics."""
     params = {**K.CLUSTERS, **params}
-    rows = benign_rows(spark, layout, benign or benign_label(layout)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        start = time.time()
-        model = fit_kmeans(rows, **params)
-        seconds = time.time() - start
-        report = fit_report(model, rows, seconds, params)
-    finally:
-        rows.unpersist()
+    rows = benign_rows(spark, layout, benign or benign_label(layout))
+    start = time.time()
+    model = fit_kmeans(rows, **params)
+    seconds = time.time() - start
+    report = fit_report(model, rows, seconds, params)
     save_model(model, layout("models", name))
     write_values(spark, report, layout("reports", f"{name}_train"))
     return report
@@ -159,22 +154,19 @@ def optimise_clusters(
     base: str = "clusters_v1",
     name: str = "clusters_optimised",
     grid: Sequence[Mapping] = K.CLUSTER_GRID,
-    fraction: float = K.SEARCH_FRACTION,
+    fraction: float | None = None,
 ) -> dict:
-    """Search on a sample, refit the chosen configuration on all benign rows, calibrate and evaluate it,
+    """Search (on all benign rows, or on a sample of a given fraction), refit the chosen configuration on all benign rows, calibrate and evaluate it,
     and set it against the base model."""
     benign = benign or benign_label(layout)
-    rows = benign_rows(spark, layout, benign).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        results = search_kmeans(rows, grid, fraction)
-        best = select_model(results)
-        chosen = best.first()
-        params = {"k": chosen["k"], "max_iter": chosen["max_iter"], "tol": chosen["tol"]}
-        start = time.time()
-        model = refit_kmeans(rows, best)
-        trained = fit_report(model, rows, time.time() - start, params)
-    finally:
-        rows.unpersist()
+    rows = benign_rows(spark, layout, benign)
+    results = search_kmeans(rows, grid, fraction)
+    best = select_model(results)
+    chosen = best.first()
+    params = {"k": chosen["k"], "max_iter": chosen["max_iter"], "tol": chosen["tol"]}
+    start = time.time()
+    model = refit_kmeans(rows, best)
+    trained = fit_report(model, rows, time.time() - start, params)
     save_model(model, layout("models", name))
     write_values(spark, trained, layout("reports", f"{name}_train"))
     calibrate_clusters(spark, layout, benign, name)

@@ -49,7 +49,7 @@ def for_streams(fitted: PipelineModel, features: Sequence[str]) -> PipelineModel
 def clean_to_table(typed: DataFrame, split: str, features: Sequence[str], layout: Layout) -> DataFrame:
     """Write the typed rows, then the cleaned rows, then the audit of what cleaning removed.
 
-    The raw text is parsed once. Both written tables cut the lineage, so later passes (indexing,
+    Both written tables cut the lineage, so later passes (indexing,
     scaling, weights) read a few columns of Parquet and a lost executor costs no earlier work.
     """
     spark = typed.sparkSession
@@ -78,16 +78,12 @@ def prepare(
     train_paths: str | Sequence[str],
     test_paths: str | Sequence[str],
     layout: Layout,
-    sample_rows: int | None = None,
     encoding: str = "UTF-8",
 ) -> list[str]:
-    """Clean both splits, fit the preparation on train, write the processed tables; returns the features.
-
-    ``sample_rows`` bounds the rows that column types are detected on; by default all are.
-    """
+    """Clean both splits, fit the preparation on train, write the processed tables; returns the features."""
     train_raw = require_columns(read_raw_csv(spark, train_paths, encoding), [K.LABEL])
     test_raw = require_columns(read_raw_csv(spark, test_paths, encoding), [K.LABEL])
-    features = feature_order(detect_numeric(train_raw, sample_rows=sample_rows))
+    features = feature_order(detect_numeric(train_raw))
     if not features:
         raise ValueError("no numeric column found")
     require_columns(test_raw, features)

@@ -11,29 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it then gets a temporary folder.
+    Only a session whose master is local may do without that setting; it then gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="flowlens-")
     return f"{base.rstrip('/')}/flowlens/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame, parts: int | None = None) -> DataFrame:
-    """Give every core a share of a table that comes in fewer pieces than there are cores.
+def materialize(df: DataFrame, purpose: str, replaces: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: cuts the lineage and outlives lost executors.
 
-    Meant for plain scans ahead of heavy work per row, such as fitting a model. Tables in many
-    pieces are left alone, so nothing is shuffled at scale; column pruning and filters still reach
-    the scan below.
+    ``replaces`` is an earlier result of this function that nothing needs any more; its files go.
     """
-    wanted = parts or scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
-
-
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once and read it back: cuts the lineage and outlives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    if replaces is not None:
+        discard(replaces)
+    return written
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` wrote. Tables from elsewhere are left alone."""
+    path = getattr(df, "scratch_path", None)
+    if path:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
+from flowlens.operators import clustering
 from flowlens.operators.clustering import (
     assign_centroid,
     centroid_table,
@@ -162,3 +163,31 @@ def test_search_forest(flows):
 def test_first_of_equal_combinations_wins(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (2, 0.4)], "position int, avg_metric double")
     assert best_forest(df).first().position == 0
+
+
+@pytest.mark.parametrize("dim", [2, 127, 128, 129, 500])
+def test_vectors_of_another_length_have_no_distance(spark, dim):
+    whole = [float(i) for i in range(dim)]
+    rows = [(0, whole, 0), (1, whole + [1.0], 0), (2, whole[:-1], 0), (3, None, 0), (4, whole, 9)]
+    df = spark.createDataFrame(rows, "id int, x array<double>, cluster_id int")
+    centers = spark.createDataFrame([(0, [0.0] * dim)], "cluster_id int, centroid array<double>")
+    got = {r.id: r.d for r in distance_to_centroid(df, centers, "x", out="d").collect()}
+    want = sum(v * v for v in whole) ** 0.5
+    assert abs(got[0] - want) < 1e-9 and [got[i] for i in (1, 2, 3, 4)] == [None] * 4
+    near = {r.id: (r.cluster_id, r.d) for r in assign_centroid(df.drop("cluster_id"), centers, "x", out="d").collect()}
+    assert near[0][0] == 0 and abs(near[0][1] - want) < 1e-9 and near[1] == near[2] == near[3] == (None, None)
+
+
+def test_nearest_of_many_centroids_in_blocks(monkeypatch):
+    rnd = np.random.default_rng(3)
+    centers = rnd.normal(size=(300, 5)) + 1e6  # far from zero, where rounding hides small gaps
+    centers[200] = centers[10]  # a tie: the smaller id wins
+    x = np.vstack([centers[[10, 200, 299]], centers[:50] + 1e-4])
+    ids = np.arange(300) * 2
+    gaps = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+    for doubles in (1 << 20, 400, 1):
+        monkeypatch.setattr(clustering, "BLOCK_DOUBLES", doubles)
+        found, squared = clustering.nearest_centroids(x, ids, centers)
+        assert found.tolist() == ids[gaps.argmin(axis=1)].tolist()
+        assert np.allclose(squared, gaps.min(axis=1), rtol=0, atol=1e-12)
+    assert found[0] == found[1] == 20

@@ -75,10 +75,15 @@ def test_lookup_join_both_ways(spark):
     big = labels(spark, ["a"] * 50 + ["b", "c", None])
     table = spark.createDataFrame([("a", 1), ("b", 2)], "label string, v int")
     small = joins.lookup_join(big, table, "label")
-    large = joins.lookup_join(big, table, "label", max_rows=1)
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert joins.local_copy(table, 1) is None
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 1)
+    try:
+        large = joins.lookup_join(big, table, "label")
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_class_name_marker(spark):
