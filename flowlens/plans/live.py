@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from flowlens import conventions as K
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import load_manifest, read_values
 from flowlens.sources.tables import load_model
-from flowlens.sources.wire import parse_wire, wire_schema
+from flowlens.sources.wire import LINEAGE_SCHEMA, parse_wire_checked, wire_schema
 from flowlens.streaming.scoring import CLUSTER_SINK, FOREST_SINK, Scorer, batch_writer, start_scoring
 from flowlens.streaming.sla import SlaListener
 
@@ -39,9 +40,9 @@ def score_lines(
     **models: str,
 ) -> StreamingQuery:
     """Start scoring a stream of wire lines into the two score tables, the batch summaries and the
-    service-level log. ``extra`` names feature columns to store beside the predictions."""
+    service-level log. Malformed lines go to a table of their own, unscored. ``extra`` names feature columns to store beside the predictions."""
     features = load_manifest(spark, layout("models", "features"))
-    rows = parse_wire(lines, wire_schema(features))
+    rows = parse_wire_checked(lines, wire_schema(features), LINEAGE_SCHEMA)
     writer = batch_writer(
         load_scorer(spark, layout, **models).score,
         {
@@ -49,7 +50,9 @@ def score_lines(
             layout("live", "clusters"): CLUSTER_SINK,
         },
         layout("live", "summary"),
+        bad_path=layout("live", "malformed"),
     )
+    name = f"scoring-{uuid.uuid4().hex}"
     if listener:
-        spark.streams.addListener(SlaListener(spark, layout("live", "sla")))
-    return start_scoring(rows, writer, layout("live", "checkpoint"), trigger)
+        spark.streams.addListener(SlaListener(spark, layout("live", "sla"), name))
+    return start_scoring(rows, writer, layout("live", "checkpoint"), trigger, name)

@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 FEATURE_SCHEMA = StructType([StructField("feature_cols", ArrayType(StringType()))])
 SLA_SCHEMA = (
-    "batchId long, ts string, L_E2E_ms long, inputRps double, procRps double, ratio double, "
+    "query_id string, batchId long, ts string, L_E2E_ms long, inputRps double, procRps double, ratio double, "
     "numRows long, status string, t_read_ms long, t_add_batch_ms long, t_commit_ms long"
 )
 
@@ -66,6 +66,17 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def write_metrics(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
+    """Write the record of one micro-batch; a batch that runs again replaces its record."""
+    df.write.mode("overwrite").json(f"{path}/query_id={query_id}/batch_id={int(batch_id)}")
+
+
 def read_metrics(spark: SparkSession, path: str, schema=SLA_SCHEMA) -> DataFrame:
-    """Read a JSON-lines log, skipping lines that do not parse."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """Read a JSON-lines log, skipping lines that do not parse; one that isn't there yet has no rows."""
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True)
+    try:
+        return reader.json(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowlens import conventions as K
 
 LINEAGE = [K.LABEL, K.SOURCE_FILE, K.SPLIT]
+#: What a producer may append after the label.
+LINEAGE_SCHEMA = f"`{K.SOURCE_FILE}` string, `{K.SPLIT}` string"
 CORRUPT = "_corrupt_record"
 
 
@@ -33,12 +36,20 @@ def parse_wire(lines: DataFrame, schema: str) -> DataFrame:
     return lines.select(F.from_csv("value", schema).alias("row")).select("row.*")
 
 
-def parse_wire_checked(lines: DataFrame, schema: str) -> DataFrame:
-    """The lenient parse, with the whole line in an extra column where it was malformed."""
+def parse_wire_checked(lines: DataFrame, schema: str, tail: str | None = None) -> DataFrame:
+    """The lenient parse, with the whole line in an extra column where it was malformed.
+
+    With ``tail`` (DDL of further fields, such as ``LINEAGE_SCHEMA``) a line may end with all of these or none.
+    """
     options = {"columnNameOfCorruptRecord": CORRUPT}
-    return lines.select(
-        F.from_csv("value", f"{schema}, {CORRUPT} string", options).alias("row")
-    ).select("row.*")
+    parsed = [F.from_csv("value", f"{s}, {CORRUPT} string", options) for s in [schema, *([f"{schema}, {tail}"] if tail else [])]]
+    rows = lines.select(*(p.alias(f"row{i}") for i, p in enumerate(parsed)))
+    if not tail:
+        return rows.select("row0.*")
+    longer = F.col(f"row1.{CORRUPT}").isNull()
+    names = [f.name for f in StructType.fromDDL(schema)]
+    picked = [F.when(longer, F.col(f"row1.`{n}`")).otherwise(F.col(f"row0.`{n}`")).alias(n) for n in names]
+    return rows.select(*picked, F.when(~longer, F.col(f"row0.{CORRUPT}")).alias(CORRUPT))
 
 
 def split_malformed(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from flowlens import conventions as K
 from flowlens.functions.predicates import all_finite, flag_anomaly
 from flowlens.operators.clustering import centroid_side, centroid_table, distance_to_side
 from flowlens.sources.tables import write_batch
+from flowlens.sources.wire import CORRUPT
 
 DISTANCE = "distanceToCentroid"
 FOREST_SINK = [K.PREDICTION, K.LABEL, K.LABEL_INDEX]
@@ -33,7 +35,7 @@ class Scorer:
     forest: PipelineModel
     clusters: PipelineModel
     threshold: float = K.STREAM_THRESHOLD
-    side: tuple | None = None
+    side: DataFrame | None = None
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Both models on the same prepared rows, in one plan.
@@ -117,31 +119,38 @@ def batch_writer(
     sinks: dict[str, Sequence[str]],
     summary_path: str | None = None,
     summarise: Callable[[DataFrame], DataFrame] = batch_summary,
+    bad_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function a stream calls per micro-batch: score once, write each sink, write a summary row.
 
     ``sinks`` maps a path to its columns. Each batch owns one partition of every sink, so a batch
-    that is run again after a failure replaces its own rows. The sinks do not depend on each other
-    and are written at the same time; any failure fails the batch.
+    that is run again after a failure replaces its own rows. The cache is filled first, so that no row
+    is scored twice; then the sinks, which do not depend on each other, are written at the same
+    time; any failure fails the batch. The summary follows with ``proc_ms``, the time all this took.
+
+    With ``bad_path`` the batch comes from ``parse_wire_checked``: malformed lines go there and aren't scored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        start = time.monotonic()
         spark = batch.sparkSession
+        tasks = []
+        if bad_path:
+            bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+            tasks.append(partial(write_batch, bad, bad_path, batch_id))
+            batch = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         scored = score(batch).persist(StorageLevel.MEMORY_AND_DISK)
-
-        def summary() -> None:
-            clock = F.expr("date_format(current_timestamp(), 'HH:mm:ss') AS ts")
-            write_batch(summarise(scored).select("*", clock).coalesce(1), summary_path, batch_id)
-
         try:
-            if scored.isEmpty():
-                return
-            tasks = [partial(write_batch, scored, path, batch_id, cols) for path, cols in sinks.items()]
-            tasks += [summary] if summary_path else []
+            rows = scored.count()
+            tasks += [partial(write_batch, scored, path, batch_id, cols) for path, cols in sinks.items() if rows]
             with ThreadPoolExecutor(max(1, len(tasks))) as pool:
                 running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
             for done in running:
                 done.result()
+            if summary_path and rows:
+                took = int((time.monotonic() - start) * 1000)
+                extra = [F.expr("date_format(current_timestamp(), 'HH:mm:ss') AS ts"), F.lit(took).cast("long").alias("proc_ms")]
+                write_batch(summarise(scored).select("*", *extra).coalesce(1), summary_path, batch_id)
         finally:
             scored.unpersist()
 
@@ -153,11 +162,13 @@ def start_scoring(
     writer: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: str | None = K.TRIGGER,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start the stream. Without a trigger interval it handles what is there and stops."""
     timing = {"processingTime": trigger} if trigger else {"availableNow": True}
+    started = stream.writeStream.queryName(name) if name else stream.writeStream
     return (
-        stream.writeStream.foreachBatch(writer)
+        started.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
         .trigger(**timing)
         .start()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from flowlens import conventions as K
 from flowlens.functions.predicates import ratio_band, sla_status, throughput_ratio, value_band
 from flowlens.operators.ranking import nearest_rank
-from flowlens.sources.documents import append_metrics
+from flowlens.sources.documents import write_metrics
 
 PROGRESS_SCHEMA = (
     "batchId long, ts string, L_E2E_ms long, in_rate double, out_rate double, numRows long, "
@@ -57,25 +59,39 @@ def sla_records(progress: DataFrame, ignore_idle: bool = False) -> DataFrame:
 
 
 class SlaListener(StreamingQueryListener):
-    """Appends one service-level record per finished micro-batch to a JSON-lines table."""
+    """Writes one service-level record per finished micro-batch of the query with the given name.
+
+    Batches without input leave no record. Once its query has ended, the listener removes itself and sets
+    ``finished``.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, ignore_idle: bool = False):
+    def __init__(self, spark: SparkSession, path: str, name: str, ignore_idle: bool = False):
         self.spark = spark
         self.path = path
+        self.name = name
         self.ignore_idle = ignore_idle
+        self.query_id = None
+        self.finished = threading.Event()
 
     def onQueryStarted(self, event):
-        pass
+        if event.name == self.name:
+            self.query_id = str(event.id)
 
     def onQueryProgress(self, event):
-        rows = self.spark.createDataFrame([progress_row(event.progress)], PROGRESS_SCHEMA)
-        append_metrics(sla_records(rows, self.ignore_idle).coalesce(1), self.path)
+        progress = event.progress
+        if str(progress.id) != self.query_id or not progress.numInputRows:
+            return
+        rows = self.spark.createDataFrame([progress_row(progress)], PROGRESS_SCHEMA)
+        record = sla_records(rows, self.ignore_idle).select(F.lit(self.query_id).alias("query_id"), "*")
+        write_metrics(record.coalesce(1), self.path, self.query_id, progress.batchId)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        if str(event.id) == self.query_id:
+            self.spark.streams.removeListener(self)
+            self.finished.set()
 
 
 def recent_batches(log: DataFrame, n: int = K.SLA_HISTORY_KEPT, order: str = "batchId") -> DataFrame:
@@ -83,8 +99,12 @@ def recent_batches(log: DataFrame, n: int = K.SLA_HISTORY_KEPT, order: str = "ba
     return log.orderBy(F.desc(order)).limit(n)
 
 
-def sla_summary(log: DataFrame, order: str = "batchId") -> DataFrame:
-    """Batches, rows, compliance, worst latency and the state of the last batch, one row."""
+#: Share of the greatest allowed latency from which on it is near its limit (fixed value).
+MAX_FAIR = 0.7
+
+
+def sla_summary(log: DataFrame, order: str = "batchId", targets=K.SLA_TARGETS) -> DataFrame:
+    """Batches, rows, compliance, worst latency and its band, and the state of the last batch, one row."""
 
     def last(col: str) -> Column:
         return F.max_by(col, order)
@@ -99,7 +119,8 @@ def sla_summary(log: DataFrame, order: str = "batchId") -> DataFrame:
         last("ratio").alias("last_ratio"),
         last("status").alias("last_status"),
     )
-    return rolled.withColumn("last_ratio_band", ratio_band(F.col("last_ratio")))
+    worst = value_band(F.col("max_latency_ms"), MAX_FAIR * targets["max"], targets["max"])
+    return rolled.withColumns({"last_ratio_band": ratio_band(F.col("last_ratio")), "max_latency_band": worst})
 
 
 def sla_percentiles(log: DataFrame, percents=K.SLA_PERCENTILES, targets=K.SLA_TARGETS) -> DataFrame:

@@ -138,7 +138,9 @@ def test_other_dataset_is_aligned(spark, project):
 def test_live_scores(spark, project):
     root, layout, _ = project
     rows = read_table(spark, layout("clean", "test"))
+    broken = spark.createDataFrame([("1.0,2.0",), ("a,b,c,d",)], "value string")
     to_wire(rows).repartition(3).write.text(str(root / "wire"))
+    broken.coalesce(1).write.mode("append").text(str(root / "wire"))
     query = score_lines(
         spark, layout, replay_stream(spark, str(root / "wire"), 1), trigger=None, extra=["flow_duration"], listener=False
     )
@@ -149,6 +151,8 @@ def test_live_scores(spark, project):
     assert "flow_duration" in forest.columns
     summary = read_table(spark, layout("live", "summary")).agg(F.sum("n"), F.sum("km_anom"), F.count("*")).first()
     assert summary[0] == n and summary[2] == 3
+    bad = read_table(spark, layout("live", "malformed"))
+    assert sorted(r.value for r in bad.collect()) == ["1.0,2.0", "a,b,c,d"]
     assert summary[1] == clusters.agg(F.sum("is_anomaly")).first()[0]
     stored = read_table(spark, layout("scores", "clusters_v1"))
     assert stored.agg(F.sum(K.FLAG)).first()[0] == summary[1]

@@ -1,12 +1,10 @@
-import time
-
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.functions.predicates import rate_band, ratio_band, sla_status, value_band
 from flowlens.sources.documents import read_metrics
 from flowlens.sources.tables import read_table
-from flowlens.sources.wire import parse_wire, replay_stream
+from flowlens.sources.wire import LINEAGE_SCHEMA, parse_wire, parse_wire_checked, replay_stream
 from flowlens.streaming.scoring import batch_summary, batch_writer, start_scoring
 from flowlens.streaming.sla import SlaListener, batch_trend, recent_batches, sla_records, sla_rollup, PROGRESS_SCHEMA
 
@@ -24,13 +22,13 @@ def score(df):
 
 
 def put(folder, name, values):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("".join(f"{v},c{v % 2}\n" for v in values))
 
 
-def start(spark, tmp_path, writer):
+def start(spark, tmp_path, writer, name=None):
     stream = parse_wire(replay_stream(spark, str(tmp_path / "in"), 1), SCHEMA)
-    return start_scoring(stream, writer, str(tmp_path / "checkpoint"), trigger=None)
+    return start_scoring(stream, writer, str(tmp_path / "checkpoint"), trigger=None, name=name)
 
 
 def test_stream_equals_batch_and_restarts_without_copies(spark, tmp_path):
@@ -140,21 +138,47 @@ def test_bands(spark):
     assert [r[0] for r in ratios.select(ratio_band(F.col("v"))).collect()] == ["bad", "warn", "ok"]
 
 
-def test_listener_writes_one_record_per_batch(spark, tmp_path):
-    log = str(tmp_path / "sla")
-    listener = SlaListener(spark, log)
-    spark.streams.addListener(listener)
-    try:
-        put(tmp_path / "in", "a.txt", range(5))
-        put(tmp_path / "in", "b.txt", range(3))
-        start(spark, tmp_path, batch_writer(score, {str(tmp_path / "out"): ["v"]})).awaitTermination()
-        for _ in range(60):
-            if (tmp_path / "sla").exists() and read_metrics(spark, log).count() >= 2:
-                break
-            time.sleep(0.5)
-    finally:
-        spark.streams.removeListener(listener)
-    rows = read_metrics(spark, log).collect()
-    assert sorted(r.numRows for r in rows if r.numRows) == [3, 5]
-    assert {r.status for r in rows} <= {"OK", "WARNING", "CRITICAL", "VIOLATION"}
-    assert all(r.L_E2E_ms > 0 for r in rows if r.numRows)
+def test_listener_writes_the_batches_of_its_own_query_once(spark, tmp_path):
+    logs = {}
+    for name, sizes in (("one", (5, 3)), ("two", (7,))):
+        folder = tmp_path / name
+        for i, n in enumerate(sizes):
+            put(folder / "in", f"{i}.txt", range(n))
+        logs[name] = SlaListener(spark, str(folder / "sla"), f"listener-test-{name}")
+        spark.streams.addListener(logs[name])
+        writer = batch_writer(score, {str(folder / "out"): ["v"]})
+        start(spark, folder, writer, name=logs[name].name).awaitTermination()
+    for name, sizes in (("one", [3, 5]), ("two", [7])):
+        assert logs[name].finished.wait(60)
+        rows = read_metrics(spark, logs[name].path).collect()
+        assert sorted(r.numRows for r in rows) == sizes
+        assert {r.query_id for r in rows} == {logs[name].query_id}
+        assert {r.status for r in rows} <= {"OK", "WARNING", "CRITICAL", "VIOLATION"}
+        assert all(r.L_E2E_ms > 0 for r in rows)
+
+
+def test_a_log_that_is_not_there_has_no_rows(spark, tmp_path):
+    assert read_metrics(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_lines_may_end_with_their_origin(spark):
+    texts = ["1,a", "1,a,f.csv,train", "1,a,f.csv", "x,a,f.csv,train", ",a,f.csv,train", ",a"]
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = parse_wire_checked(lines, "v double, label string", LINEAGE_SCHEMA).collect()
+    assert [r[2] for r in rows] == [None, None, "1,a,f.csv", "x,a,f.csv,train", None, None]
+    assert [(r.v, r.label) for r in rows[:2]] == [(1.0, "a")] * 2
+
+
+def test_malformed_lines_have_their_own_table(spark, tmp_path):
+    lines = spark.createDataFrame([("1.5,a",), ("x,a",), ("2.5",), ("1,2,3",)], "value string")
+    rows = parse_wire_checked(lines, "v double, label string")
+    paths = {name: str(tmp_path / name) for name in ("good", "bad", "summary")}
+
+    def scored(df):
+        return df.selectExpr("*", "0D AS prediction", "v AS distanceToCentroid", "0 AS is_anomaly")
+
+    batch_writer(scored, {paths["good"]: ["v", "label"]}, paths["summary"], bad_path=paths["bad"])(rows, 3)
+    assert [r.v for r in spark.read.parquet(paths["good"]).collect()] == [1.5]
+    assert sorted(r.value for r in spark.read.parquet(paths["bad"]).collect()) == ["1,2,3", "2.5", "x,a"]
+    summary = spark.read.parquet(paths["summary"]).first()
+    assert summary.n == 1 and summary.proc_ms >= 0 and summary.ts
