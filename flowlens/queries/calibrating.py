@@ -72,12 +72,6 @@ def score_quantiles_query(spark, sf):
     return benign_quantiles(scored(spark, sf))
 
 
-@query("score_quantiles_approx")
-def score_quantiles_approx(spark, sf):
-    """The same quantiles from a sketch, within 0.1 % of the rank."""
-    return score_quantiles(scored(spark, sf).where("truth = 0"), "score")
-
-
 @query(
     "score_quantiles_error",
     f"""SELECT probability, count(*) FILTER (truth = 0) AS benign, TRUE AS within

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowlens import conventions as K
 from flowlens.functions.predicates import (
     binary_label,
     flag_anomaly,
@@ -13,7 +14,7 @@ from flowlens.functions.predicates import (
     weekday_token,
 )
 from flowlens.operators.clean import clean_audit, clean_rows, dedup, drop_invalid, drop_nan, drop_nulls, inf_to_nan
-from flowlens.operators.evaluation import match_classes
+from flowlens.operators.evaluation import benign_rows, classes_in, match_classes
 from flowlens.operators.sampling import bernoulli_sample, hash_sample, stratified_sample
 from flowlens.operators.schema import route_split, with_split
 from flowlens.queries.registry import ATTACK, flows, multi, query, scored, table, typed
@@ -53,15 +54,20 @@ def clean_dedup(spark, sf):
     return clean_rows(typed(spark, sf), NUMERIC)
 
 
+COPIES_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, 'a.csv' AS _source_file FROM @valid
+    UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, 'b.csv' FROM @valid WHERE l_partkey % 3 = 0"""
+
+
 @query(
     "clean_dedup_content",
-    """SELECT l_partkey, l_linenumber, q, p, label, min(l_orderkey) AS l_orderkey FROM @valid
-    GROUP BY l_partkey, l_linenumber, q, p, label""",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, min(_source_file) AS _source_file
+    FROM ({COPIES_SQL}) c GROUP BY l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label""",
 )
 def clean_dedup_content(spark, sf):
-    """Copies that differ only in where they come from count as copies."""
-    rows = drop_invalid(typed(spark, sf), NUMERIC).drop("l_shipdate")
-    return dedup(rows, ignore=["l_orderkey"])
+    """Copies that differ only in the file they come from count as copies."""
+    rows = drop_invalid(typed(spark, sf), NUMERIC)
+    again = rows.where("l_partkey % 3 = 0").withColumn("_source_file", F.lit("b.csv"))
+    return dedup(rows.withColumn("_source_file", F.lit("a.csv")).unionByName(again), ignore=["_source_file"])
 
 
 @query(
@@ -95,12 +101,13 @@ def route_split_by_day(spark, sf):
 
 @query("benign_subset", "SELECT event_id, event_type, score FROM @scored WHERE truth = 0")
 def benign_subset(spark, sf):
-    return scored(spark, sf).where("truth = 0").select("event_id", "event_type", "score")
+    kept = benign_rows(scored(spark, sf), "truth", 0)
+    return kept.select("event_id", "event_type", "score")
 
 
 @query("unseen_by_index", "SELECT o_orderkey, truth FROM @multi WHERE truth IN ('O', 'P')")
 def unseen_by_index(spark, sf):
-    return multi(spark, sf).where(F.col("truth").isin("O", "P")).select("o_orderkey", "truth")
+    return classes_in(multi(spark, sf), "truth", ["O", "P"]).select("o_orderkey", "truth")
 
 
 @query(
@@ -158,18 +165,35 @@ def value_band_query(spark, sf):
     )
 
 
-@query("sample_bernoulli")
+@query("sample_bernoulli", "SELECT l_returnflag, count(*) AS n, TRUE AS within FROM lineitem GROUP BY l_returnflag")
 def sample_bernoulli(spark, sf):
-    return bernoulli_sample(table(spark, sf, "lineitem")).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    """Share of each flag that a sample keeps, against six standard deviations."""
+    rows = table(spark, sf, "lineitem").select("l_returnflag")
+    kept = bernoulli_sample(rows).groupBy("l_returnflag").agg(F.count("*").alias("kept"))
+    full = rows.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    rate = K.SEARCH_FRACTION
+    off = F.abs(F.coalesce("kept", F.lit(0)) - rate * F.col("n"))
+    both = full.join(kept, "l_returnflag", "left")
+    return both.select("l_returnflag", "n", (off <= 6 * F.sqrt(F.col("n") * rate * (1 - rate))).alias("within"))
 
 
 RATES = {ATTACK: 1.0, "click": 0.3, "view": 0.3, "purchase": 0.3, "signup": 0.3}
 
 
-@query("sample_stratified")
+@query(
+    "sample_stratified",
+    f"""SELECT count(*) FILTER (event_type = '{ATTACK}') AS attacks, 0 AS foreign_rows, 0 AS repeated FROM events""",
+)
 def sample_stratified(spark, sf):
-    sample = stratified_sample(scored(spark, sf), "event_type", RATES)
-    return sample.groupBy("event_type").agg(F.count("*").alias("n"))
+    """A class with rate 1 is kept whole, and a sample has rows of the table only, each once."""
+    rows = scored(spark, sf).select("event_id", "event_type")
+    sample = stratified_sample(rows, "event_type", RATES)
+    known = sample.join(rows.withColumn("known", F.lit(True)), ["event_id", "event_type"], "left")
+    return known.agg(
+        F.count_if(F.col("event_type") == ATTACK).alias("attacks"),
+        F.count_if(F.col("known").isNull()).cast("int").alias("foreign_rows"),
+        (F.count("*") - F.count_distinct("event_id")).cast("int").alias("repeated"),
+    )
 
 
 @query("sample_rates", "SELECT event_type, count(*) AS n, TRUE AS within FROM @scored GROUP BY event_type")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.predicates import flag_anomaly
@@ -17,9 +18,10 @@ from flowlens.operators.evaluation import (
     unseen_detection,
     with_binary_metrics,
 )
-from flowlens.operators.features import attach_class_name, fit_label_index
+from flowlens.operators.features import attach_class_name
 from flowlens.queries.calibrating import METRICS, RATES, auc_sql, rounded
 from flowlens.queries.registry import calibration_part, held_out_part, labelled, multi, query, scored, table
+from flowlens.workspace import materialize
 
 CUT = 60.0
 
@@ -57,20 +59,41 @@ def binary_metrics_labels(spark, sf):
     return cells.select("tp", "fp", "fn", "tn", *[F.round(c, 9).alias(c) for c in RATES])
 
 
+# predictions of a class set that is only partly the true one: purchase is never predicted, other never true
+GUESS_SQL = """(SELECT event_type AS truth, CASE WHEN value > 100 THEN 'error' WHEN value > 40 THEN 'click'
+    WHEN value > 20 THEN 'view' WHEN value > 5 THEN 'signup' ELSE 'other' END AS pred FROM events)"""
+
+
+def guesses(spark, sf):
+    v = F.col("value")
+    pred = (
+        F.when(v > 100, "error").when(v > 40, "click").when(v > 20, "view").when(v > 5, "signup").otherwise("other")
+    )
+    return table(spark, sf, "events").select(F.col("event_type").alias("truth"), pred.alias("pred"))
+
+
 @query(
     "confusion_matrix",
-    """WITH idx AS (SELECT truth, CAST(row_number() OVER (ORDER BY count(*) DESC, truth) - 1 AS DOUBLE) AS i FROM @multi GROUP BY truth)
+    f"""WITH idx AS (SELECT class, CAST(row_number() OVER (ORDER BY count(*) DESC, class) - 1 AS DOUBLE) AS i
+        FROM (SELECT truth AS class FROM {GUESS_SQL} g UNION ALL SELECT pred FROM {GUESS_SQL} h) u GROUP BY class)
     SELECT t.i AS truth_index, m.truth AS true_class, p.i AS pred_index, m.pred AS predicted_class, count(*) AS n
-    FROM @multi m JOIN idx t ON m.truth = t.truth JOIN idx p ON m.pred = p.truth GROUP BY ALL""",
+    FROM {GUESS_SQL} m LEFT JOIN idx t ON m.truth = t.class LEFT JOIN idx p ON m.pred = p.class GROUP BY ALL""",
 )
 def confusion_matrix(spark, sf):
-    """Counts per pair of class indexes, then the names of the classes."""
-    rows = multi(spark, sf)
-    names = fit_label_index(rows, "truth", "i").select(F.col("truth").alias("label"), F.col("i").alias("label_index"))
-    cells = confusion_cells(rows, "truth", "pred")
+    """Counts per pair of class indexes, then the names of the classes; some are only true, some only predicted."""
+    rows = guesses(spark, sf)
+    # one scan: every index and name comes from the table of cells
+    cells = materialize(confusion_cells(rows, "truth", "pred"), "cells")
+    either = F.explode(F.array("truth", "pred")).alias("class")
+    counts = cells.select(either, "n").groupBy("class").agg(F.sum("n").alias("n"))
+    names = counts.select(
+        F.col("class").alias("label"),
+        (F.row_number().over(Window.orderBy(F.desc("n"), "class")) - 1).cast("double").alias("label_index"),
+    )  # one row per class
+    names = materialize(names, "names")
     back = names.select(F.col("label").alias("truth"), F.col("label_index").alias("truth_index"))
     other = names.select(F.col("label").alias("pred"), F.col("label_index").alias("pred_index"))
-    indexed = cells.join(back, "truth").join(other, "pred").select("truth_index", "pred_index", "n")
+    indexed = cells.join(back, "truth", "left").join(other, "pred", "left").select("truth_index", "pred_index", "n")
     named = attach_class_name(indexed, names, "truth_index", "true_class")
     return attach_class_name(named, names, "pred_index", "predicted_class")
 
@@ -88,19 +111,6 @@ def per_class_sql(source: str) -> str:
     FROM ({PER_CLASS_SQL.format(source=source)}) r"""
 
 
-# predictions of a class set that is only partly the true one: purchase is never predicted, other never true
-GUESS_SQL = """(SELECT event_type AS truth, CASE WHEN value > 100 THEN 'error' WHEN value > 40 THEN 'click'
-    WHEN value > 20 THEN 'view' WHEN value > 5 THEN 'signup' ELSE 'other' END AS pred FROM events)"""
-
-
-def guesses(spark, sf):
-    v = F.col("value")
-    pred = (
-        F.when(v > 100, "error").when(v > 40, "click").when(v > 20, "view").when(v > 5, "signup").otherwise("other")
-    )
-    return table(spark, sf, "events").select(F.col("event_type").alias("truth"), pred.alias("pred"))
-
-
 def class_metrics(rows):
     return per_class_metrics(confusion_cells(rows, "truth", "pred"), "truth", "pred")
 

@@ -186,12 +186,6 @@ def detect_numeric_query(spark, sf):
     return castable_profile(df, exclude=["l_shipdate"])
 
 
-@query("detect_numeric_sample")
-def detect_numeric_sample(spark, sf):
-    """Type detection on a bounded sample: which rows it sees, and so the counts, may vary."""
-    return castable_profile(dirty(spark, sf), exclude=["label", "l_shipdate"], sample_rows=K.TYPE_SAMPLE_ROWS)
-
-
 @query(
     "cast_features",
     """SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber, q AS q_txt, p AS p_txt, label FROM @typed""",

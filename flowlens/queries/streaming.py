@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import flag_anomaly
 from flowlens.queries.modelling import fitted_scorer
 from flowlens.queries.registry import FLOW_FEATURES, flows, query, table
+from flowlens.sources.documents import read_metrics
 from flowlens.sources.tables import read_table
 from flowlens.sources.wire import parse_wire, replay_stream, split_malformed, to_wire, wire_schema
 from flowlens.streaming.scoring import batch_writer, start_scoring
-from flowlens.streaming.sla import PROGRESS_SCHEMA, progress_row, sla_records
-from flowlens.workspace import shared_dir, spread
+from flowlens.streaming.sla import SlaListener
+from flowlens.workspace import shared_dir
 
 EVENT_SCHEMA = "event_id double, value double, event_type string"
 CUT = 60.0
-BATCHES = 4
+LINES_PER_FILE, FILES_PER_TRIGGER = 20_000, 2
 
 
 def replayed(spark, lines):
-    """Write lines to a folder and replay it in about ``BATCHES`` micro-batches, however large it is."""
+    """Write lines to files of a fixed length and replay a fixed number of files per micro-batch."""
     path = shared_dir(spark, "wire")
-    lines = spread(lines, BATCHES)
-    lines.write.text(path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").count()
-    return replay_stream(spark, path, max(1, -(-files // BATCHES)))
+    lines.write.option("maxRecordsPerFile", LINES_PER_FILE).text(path)
+    return replay_stream(spark, path, FILES_PER_TRIGGER)
 
 
 def event_lines(spark, sf):
@@ -169,16 +170,30 @@ def stream_score(spark, sf):
     )
 
 
-@query("sla_records")
+@query(
+    "sla_records",
+    f"""SELECT 'all' AS stream, CAST(count(*) AS BIGINT) AS total_rows, TRUE AS one_query, TRUE AS rated FROM events
+    UNION ALL SELECT 'high', CAST(count(*) AS BIGINT), TRUE, TRUE FROM events WHERE value > {CUT}""",
+)
 def sla_records_query(spark, sf):
-    """Service-level records from the progress of a real run."""
-    lines = to_wire(table(spark, sf, "events").select("event_id", "value", "event_type"), tail=["event_type"])
-    stream = parse_wire(replayed(spark, lines), EVENT_SCHEMA)
-    started = run(
-        stream.writeStream.format("noop")
-        .option("checkpointLocation", shared_dir(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
+    """Two streams at the same time, each with a listener: every log has the batches of its own stream."""
+    rows = table(spark, sf, "events").select("event_id", "value", "event_type")
+    started = []
+    for name, part in (("all", rows), ("high", rows.where(F.col("value") > CUT))):
+        stream = parse_wire(replayed(spark, to_wire(part, tail=["event_type"])), EVENT_SCHEMA)
+        log = shared_dir(spark, "sla")
+        listener = SlaListener(spark, log, f"{name}-{uuid.uuid4().hex}")
+        spark.streams.addListener(listener)
+        writer = stream.writeStream.format("noop").option("checkpointLocation", shared_dir(spark, "checkpoint"))
+        started.append((name, log, listener, writer.queryName(listener.name).trigger(availableNow=True).start()))
+    logs = []
+    for name, log, listener, stream in started:
+        run(stream)
+        if not listener.finished.wait(60):
+            raise TimeoutError(f"no end of stream {name} was reported")
+        logs.append(read_metrics(spark, log).withColumn("stream", F.lit(name)))
+    return logs[0].unionByName(logs[1]).groupBy("stream").agg(
+        F.sum("numRows").alias("total_rows"),
+        (F.count_distinct("query_id") == 1).alias("one_query"),
+        F.bool_and(F.col("status").isNotNull()).alias("rated"),
     )
-    rows = [progress_row(p) for p in started.recentProgress if p.numInputRows]
-    return sla_records(spark.createDataFrame(rows, PROGRESS_SCHEMA))

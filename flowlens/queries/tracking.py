@@ -21,7 +21,9 @@ def sla_status_query(spark, sf):
     max("L_E2E_ms") AS max_latency_ms, arg_max("inputRps", "batchId") AS last_input_rps,
     arg_max("procRps", "batchId") AS last_proc_rps, arg_max(ratio, "batchId") AS last_ratio,
     arg_max(status, "batchId") AS last_status, CASE WHEN arg_max(ratio, "batchId") >= 1.2 THEN 'ok'
-        WHEN arg_max(ratio, "batchId") >= 1.0 THEN 'warn' ELSE 'bad' END AS last_ratio_band FROM @sla""",
+        WHEN arg_max(ratio, "batchId") >= 1.0 THEN 'warn' ELSE 'bad' END AS last_ratio_band,
+    CASE WHEN max("L_E2E_ms") <= 42000 THEN 'ok' WHEN max("L_E2E_ms") >= 60000 THEN 'bad' ELSE 'warn' END AS max_latency_band
+    FROM @sla""",
 )
 def sla_summary_query(spark, sf):
     return sla_summary(sla_records(daily_progress(spark, sf)))
