@@ -27,7 +27,7 @@ from flowlens.llm.queries import query, table
 from flowlens.workspace import materialize
 
 BACKOFF = 0.4
-PACKET_BYTES = 8 << 20
+PACKET_BYTES = 4 << 20
 #: Text for each hash bucket; about a sixth of its bytes are n-grams to count.
 BUCKET_BYTES = 7 << 20
 #: Bits of a hash that are kept inside a bucket; the others choose the bucket.
