@@ -37,7 +37,7 @@ PIECE = 1 << 16
 SAFE_CUT = re.compile(r"(?<=[0-9A-Za-z.,]) (?=[0-9A-Za-z])")
 #: Words up to this many bytes are remembered, two generations of so many words; longer ones are streamed.
 REMEMBERED_BYTES, REMEMBERED_WORDS = 64, 1 << 17
-REMEMBERED_PAIRS = 1 << 20
+REMEMBERED_PAIRS = 1 << 18
 DECODED_AT_ONCE = 1 << 14
 OUTPUTS = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 
