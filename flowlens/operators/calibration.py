@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
@@ -33,8 +33,18 @@ def threshold_candidates(quantiles: DataFrame, points: int = K.GRID_POINTS) -> D
 def calibrate_grid(
     df: DataFrame, thresholds: DataFrame | Sequence[float], score: str = K.SCORE, truth: str = K.TRUTH
 ) -> DataFrame:
-    """Confusion counts and binary metrics of every candidate threshold, from one pass.
+    """Confusion counts and binary metrics of every candidate threshold, from one pass over the rows."""
+    counts = {"pos": F.count_if(F.col(truth) == 1), "neg": F.count_if(F.col(truth) == 0)}
+    return _grid(df, thresholds, score, counts)
 
+
+def ranked_grid(ranking: DataFrame, thresholds: DataFrame | Sequence[float]) -> DataFrame:
+    """The same from a ranking (``rank_truth``), which has one row per distinct score."""
+    return _grid(ranking, thresholds, "score", {"pos": F.sum("pos"), "neg": F.sum("neg")})
+
+
+def _grid(df: DataFrame, thresholds: DataFrame | Sequence[float], score: str, totals: Mapping[str, Column]) -> DataFrame:
+    """
     Each row only needs the number of candidates its score exceeds. The table collapses map-side to
     one row per such number, and sums from the top of that short table give all candidates.
     """
@@ -45,7 +55,7 @@ def calibrate_grid(
     counts = (
         df.where(F.col(score).isNotNull())
         .groupBy(level.alias("level"))
-        .agg(F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) == 0).alias("neg"))
+        .agg(*[total.alias(name) for name, total in totals.items()])
     )
     steps = df.sparkSession.createDataFrame(
         [(i, cuts[i - 1] if i else None) for i in range(len(cuts) + 1)], "level int, threshold double"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.functions.predicates import matches_any, ratio
+from flowlens.functions.predicates import binary_label, matches_any, ratio
 from flowlens.operators.ranking import auc_expr, running_counts, truth_counts
 
 
@@ -45,7 +45,11 @@ def evaluate_at_threshold(
     df: DataFrame, threshold: float, score: str = K.SCORE, truth: str = K.TRUTH, ranges: int | None = None
 ) -> DataFrame:
     """Full binary report of a score at a threshold, AUC included, from one ranking of the scores."""
-    running = running_counts(df, score, truth_counts(truth), ranges=ranges)
+    return report_at(running_counts(df, score, truth_counts(truth), ranges=ranges), threshold)
+
+
+def report_at(running: DataFrame, threshold: float) -> DataFrame:
+    """The report from a ranking (``rank_truth``), which serves any number of thresholds."""
     above = F.col("score") > F.lit(float(threshold))
 
     def total(count: str, cond: Column) -> Column:
@@ -62,6 +66,19 @@ def evaluate_at_threshold(
     return report.withColumn("total_records", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
 
 
+def binary_from_cells(cells: DataFrame, truth: str, pred: str, benign=0.0) -> DataFrame:
+    """One row tp, fp, fn, tn from confusion cells: every class but the benign one is an attack."""
+    attack, hit = binary_label(F.col(truth), benign) == 1, binary_label(F.col(pred), benign) == 1
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+    return cells.agg(
+        total(hit & attack).alias("tp"), total(hit & ~attack).alias("fp"),
+        total(~hit & attack).alias("fn"), total(~hit & ~attack).alias("tn"),
+    )
+
+
 # --- multiclass ---
 
 def confusion_cells(df: DataFrame, truth: str, pred: str) -> DataFrame:

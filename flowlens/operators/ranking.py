@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
+from flowlens.workspace import materialize
 
 SCORES_PER_RANGE = 1 << 20
 
@@ -146,6 +147,28 @@ def roc_curve(df: DataFrame, score: str = K.SCORE, truth: str = K.TRUTH, ranges:
     )
 
 
+def rank_truth(df: DataFrame, score: str = K.SCORE, truth: str = K.TRUTH, ranges: int | None = None) -> DataFrame:
+    """The ranking of a score table, written once: calibration, reports and AUC are sums over it."""
+    return materialize(running_counts(df, score, truth_counts(truth), ranges=ranges), "ranking")
+
+
+def ranked_quantiles(ranking: DataFrame, probabilities: Sequence[float] = K.QUANTILES) -> DataFrame:
+    """(probability, quantile) rows of the benign scores, exactly, from a ranking. NaN scores do not count."""
+    known = ranking.where(~F.isnan("score") & (F.col("neg") > 0))
+    # the ranking runs from the top: what is not above a score is at or below it
+    upto = F.col("all_neg") - F.col("cum_neg") + F.col("neg")
+    strange = ranking.where(F.isnan("score")).agg(F.coalesce(F.sum("neg"), F.lit(0)).alias("strange"))
+    of_all = (F.col("all_neg") - F.lit(strange.first()["strange"])).cast("double")
+    entries = [
+        F.struct(
+            F.lit(float(p)).alias("probability"),
+            F.min(F.when(upto >= F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * of_all)), F.col("score"))).alias("quantile"),
+        )
+        for p in probabilities
+    ]
+    return known.agg(F.array(*entries).alias("q")).select(F.inline("q"))
+
+
 def auc_expr() -> Column:
     """Area under the ROC curve as an aggregate over ``running_counts(truth_counts)``.
 

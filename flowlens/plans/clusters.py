@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import binary_label, flag_anomaly
-from flowlens.operators.calibration import best_threshold, calibrate_grid, threshold_candidates
+from flowlens.operators.calibration import best_threshold, ranked_grid, threshold_candidates
 from flowlens.operators.clustering import (
     centroid_table,
     cluster_summary,
@@ -21,7 +21,7 @@ from flowlens.operators.clustering import (
     silhouette,
 )
 from flowlens.operators.evaluation import evaluate_at_threshold, run_figures, score_by_class, unseen_detection
-from flowlens.operators.ranking import auc, score_quantiles
+from flowlens.operators.ranking import auc_expr, rank_truth, score_quantiles
 from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import read_values, write_values
@@ -90,7 +90,7 @@ def calibrate_clusters(
 ) -> dict:
     """Choose the threshold on the labelled training rows and store it.
 
-    The scores are written once; quantiles, threshold grid and AUC read two columns of them.
+    The scores are written once and ranked once; threshold grid and AUC are sums over the ranking.
     """
     model = load_model(layout("models", name))
     train = read_table(spark, layout("processed", "train"))
@@ -102,12 +102,13 @@ def calibrate_clusters(
     quantiles = score_quantiles(scored.where(F.col(K.TRUTH) == 0), K.SCORE, probabilities, rel_err)
     found = {r["probability"]: r["quantile"] for r in quantiles.collect()}
     given = spark.createDataFrame(sorted(found.items()), "probability double, quantile double")
-    best = best_threshold(calibrate_grid(scored, threshold_candidates(given, points))).first()
+    ranking = rank_truth(scored)
+    best = best_threshold(ranked_grid(ranking, threshold_candidates(given, points))).first()
     report = {
         "threshold_optimal": best["threshold"],
         "f1_at_threshold": best["f1"],
         **{c: best[c] for c in ("precision", "recall", "fpr")},
-        "auc_roc": auc(scored).first()["auc_roc"],
+        "auc_roc": ranking.agg(auc_expr().alias("auc_roc")).first()["auc_roc"],
         **{f"percentile_{f'{p:g}'[2:].ljust(2, '0')}": q for p, q in sorted(found.items())},
         "calibration_records": sum(best[c] for c in ("tp", "fp", "fn", "tn")),
     }
@@ -131,7 +132,8 @@ def evaluate_clusters(
     stored = read_table(spark, layout("scores", name))
     binary = evaluate_at_threshold(stored, threshold).first().asDict()
     rows = stored.count()
-    known = read_table(spark, layout("processed", "train"))
+    labels = StringIndexerModel.load(layout("models", "indexer")).labels  # those of training
+    known = spark.createDataFrame([(label,) for label in labels], f"{K.LABEL} string")
     report = {
         "threshold_used": threshold,
         "binary": {k: v for k, v in binary.items() if k != "threshold"},

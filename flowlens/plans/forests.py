@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators.evaluation import (
-    binary_confusion,
+    binary_from_cells,
     confusion_cells,
     detection_by_class,
     macro_metrics,
@@ -28,6 +28,7 @@ from flowlens.operators.search import best_forest, refit_forest, search_forest
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import load_manifest, read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
+from flowlens.workspace import materialize
 
 
 def label_names(spark: SparkSession, layout: Layout):
@@ -63,7 +64,7 @@ def evaluate_forest(
 ) -> dict:
     """Score the test rows, store them, and report on the stored scores.
 
-    Everything but the AUC comes from the table of confusion cells or one grouping per class.
+    Everything but the AUC and the unseen classes comes from the confusion cells, which are counted once.
     """
     model = load_model(layout("models", name))
     test = read_table(spark, layout("processed", "test"))
@@ -71,16 +72,16 @@ def evaluate_forest(
     write_table(predict(model, test), layout("scores", name), K.FOREST_SCORE_COLUMNS)
     seconds = time.time() - start
     stored = read_table(spark, layout("scores", name))
-    rows = stored.count()
     names = label_names(spark, layout)
 
-    cells = confusion_cells(stored, K.LABEL_INDEX, K.PREDICTION)
+    cells = materialize(confusion_cells(stored, K.LABEL_INDEX, K.PREDICTION), "cells")
+    rows = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     per_class = per_class_metrics(cells, K.LABEL_INDEX, K.PREDICTION)
     named_cells = attach_class_name(
         attach_class_name(cells, names, K.LABEL_INDEX, "true_class"), names, K.PREDICTION, "predicted_class"
     )
     named_classes = attach_class_name(per_class.where("support > 0"), names, "class", "name")
-    binary = with_binary_metrics(binary_confusion(stored)).first()
+    binary = with_binary_metrics(binary_from_cells(cells, K.LABEL_INDEX, K.PREDICTION)).first()
     unseen_rows = detection_by_class(match_classes(stored, K.LABEL, unseen), K.LABEL)
     report = {
         "multiclass": {**multiclass_metrics(per_class).first().asDict(), **macro_metrics(per_class).first().asDict()},

@@ -5,6 +5,7 @@ from flowlens.queries import (  # noqa: F401
     cleaning,
     evaluating,
     modelling,
+    planning,
     preparing,
     scanning,
     streaming,

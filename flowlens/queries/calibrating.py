@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.operators.calibration import best_threshold, calibrate_grid, threshold_candidates
+from flowlens.operators.calibration import best_threshold, calibrate_grid, ranked_grid, threshold_candidates
 from flowlens.operators.evaluation import evaluate_at_threshold, score_stats
-from flowlens.operators.ranking import auc, roc_curve, score_quantiles
+from flowlens.operators.ranking import auc, rank_truth, ranked_quantiles, roc_curve, score_quantiles
 from flowlens.queries.registry import calibration_part, held_out_part, query, scored, table
 
 RATES = ["precision", "recall", "f1", "fpr", "accuracy"]
@@ -132,7 +132,9 @@ HELD_OUT_SQL = f"""WITH best AS (SELECT threshold FROM ({grid_sql('@calibration'
 def evaluate_at_threshold_query(spark, sf):
     """Calibrated on the first days, reported on the days after."""
     rows = scored(spark, sf)
-    threshold = best_threshold(grid(calibration_part(rows))).first()["threshold"]
+    ranking = rank_truth(calibration_part(rows), "score", "truth")
+    candidates = threshold_candidates(ranked_quantiles(ranking))
+    threshold = best_threshold(ranked_grid(ranking, candidates)).first()["threshold"]
     report = evaluate_at_threshold(held_out_part(rows), threshold, "score", "truth")
     return report.select(
         "threshold", "tp", "fp", "fn", "tn", "total_records", *[F.round(c, 9).alias(c) for c in [*RATES, "auc_roc"]]

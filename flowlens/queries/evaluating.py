@@ -10,15 +10,16 @@ from flowlens.operators.evaluation import (
     binary_confusion,
     compare_models,
     confusion_cells,
-    evaluate_at_threshold,
     macro_metrics,
     multiclass_metrics,
     per_class_metrics,
+    report_at,
     score_by_class,
     unseen_detection,
     with_binary_metrics,
 )
 from flowlens.operators.features import attach_class_name
+from flowlens.operators.ranking import rank_truth
 from flowlens.queries.calibrating import METRICS, RATES, auc_sql, rounded
 from flowlens.queries.registry import calibration_part, held_out_part, labelled, multi, query, scored, table
 from flowlens.workspace import materialize
@@ -191,8 +192,8 @@ def compared_sql() -> str:
 
 @query("compare_models", compared_sql())
 def compare_models_query(spark, sf):
-    """Reports at two thresholds side by side."""
-    rows = scored(spark, sf)
-    base, other = (evaluate_at_threshold(rows, cut, "score", "truth") for cut in (30.0, 90.0))
+    """Reports at two thresholds side by side, from one ranking."""
+    ranking = rank_truth(scored(spark, sf), "score", "truth")
+    base, other = (report_at(ranking, cut) for cut in (30.0, 90.0))
     compared = compare_models(base, other, COMPARED)
     return compared.withColumns({c: F.round(c, 9) for c in ("base", "optimised", "change")})

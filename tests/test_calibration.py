@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from flowlens.operators.calibration import best_threshold, calibrate, calibrate_grid, threshold_candidates
+from flowlens.operators import ranking as ranking_ops
+from flowlens.operators.calibration import best_threshold, calibrate, calibrate_grid, ranked_grid, threshold_candidates
+from flowlens.operators.evaluation import evaluate_at_threshold, report_at
 from flowlens.operators.ranking import score_quantiles
 
 PROBS = [0.90, 0.95, 0.97, 0.99, 0.999]
@@ -85,3 +87,17 @@ def test_nan_is_an_anomaly_and_null_is_not_counted(spark):
     row = calibrate_grid(df, [2.0], "score", "truth").first()
     assert (row.tp, row.fp, row.fn, row.tn) == (1, 0, 0, 1)
     assert row.f1 == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("ranges", [None, 3])
+def test_a_ranking_gives_what_the_rows_give(spark, ranges):
+    rnd = random.Random(4)
+    values = [(rnd.choice([None, float("nan"), float(rnd.randint(0, 40)) / 4]), rnd.choice([0, 0, 0, 1, None])) for _ in range(400)]
+    df = spark.createDataFrame(values, "score double, truth int")
+    ranking = ranking_ops.rank_truth(df, "score", "truth", ranges)
+    exact = ranking_ops.score_quantiles(df.where("truth = 0"), "score", [0.0, 0.5, 0.9, 1.0], rel_err=0)
+    assert ranking_ops.ranked_quantiles(ranking, [0.0, 0.5, 0.9, 1.0]).collect() == exact.collect()
+    cuts = [0.0, 2.5, 2.6, 9.0]
+    assert ranked_grid(ranking, cuts).collect() == calibrate_grid(df.where("truth is not null"), cuts, "score", "truth").collect()
+    for cut in cuts:
+        assert report_at(ranking, cut).collect() == evaluate_at_threshold(df, cut, "score", "truth").collect()
