@@ -24,7 +24,7 @@ from flowlens.operators.schema import (
     with_split,
 )
 from flowlens.plans.layout import Layout
-from flowlens.sources.csv import list_csv, read_raw_csv, read_raw_csv_by_name
+from flowlens.sources.csv import list_csv, read_csv_files, read_raw_csv
 from flowlens.sources.documents import load_manifest, save_manifest, write_doc
 from flowlens.sources.tables import read_table, save_model, write_table
 
@@ -104,13 +104,18 @@ def prepare(
 
 
 def prepare_stream_table(
-    spark: SparkSession, paths: Sequence[str], layout: Layout, split: str = "streaming_demo", encoding: str = "UTF-8"
+    spark: SparkSession,
+    paths: Sequence[str],
+    layout: Layout,
+    split: str = "streaming_demo",
+    encoding: str | Sequence[str] = ("UTF-8", "ISO-8859-1"),
 ) -> DataFrame:
     """Bring another dataset into the frozen feature layout, clean it and write it for replay.
 
+    A file is read in the first of the encodings that decodes it.
     Without a frozen list the features are the numeric columns found in this dataset.
     """
-    raw = rename_guarded(read_raw_csv_by_name(spark, paths, encoding))
+    raw = rename_guarded(read_csv_files(spark, paths, encoding))
     require_columns(raw, [K.LABEL])
     features = load_manifest(spark, layout("models", "features")) or feature_order(detect_numeric(raw))
     write_doc(schema_diff(raw, features), layout("reports", "alignment"))

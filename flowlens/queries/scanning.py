@@ -17,7 +17,7 @@ from flowlens.operators.schema import (
     union_by_name,
 )
 from flowlens.queries.registry import dirty, query, table
-from flowlens.sources.csv import list_csv, read_raw_csv, read_raw_csv_by_name
+from flowlens.sources.csv import list_csv, read_csv_files, read_raw_csv, read_raw_csv_by_name
 from flowlens.sources.documents import (
     FEATURE_SCHEMA,
     append_metrics,
@@ -49,10 +49,32 @@ def scan_csv(spark, sf):
     ).toDF(" Order Key", "Customer  Key", "Order Status ", "Total Price/s", "ORDER Priority")
     raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
-    ).csv(path)
+    ).csv(f"{path}/orders")
+    # what the plans generate lies in a folder that scans leave out
+    as_text(table(spark, sf, "region")).write.option("header", True).csv(f"{path}/processed/region")
     return read_raw_csv(spark, path).drop(K.SOURCE_FILE)
 
 
+@query(
+    "scan_csv_fallback",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, 'Ünïcode ' || c_name AS name FROM customer
+    UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'Größe ' || s_name FROM supplier""",
+)
+def scan_csv_fallback(spark, sf):
+    """CSV files in two encodings: each is read in the first one that decodes it."""
+    path = shared_dir(spark, "csv")
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("key"), F.concat(F.lit("Ünïcode "), "c_name").alias("name")
+    )
+    suppliers = table(spark, sf, "supplier").select(
+        F.concat(F.lit("Größe "), "s_name").alias("name"), F.col("s_suppkey").cast("string").alias("key")
+    )
+    customers.write.option("header", True).csv(f"{path}/customers")
+    suppliers.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/suppliers")
+    files = sorted(r.path for r in list_csv(spark, path).collect())
+    return read_csv_files(spark, files, ("UTF-8", "ISO-8859-1")).drop(K.SOURCE_FILE)
+
+
 @query(
     "scan_csv_by_name",
     """SELECT CAST(c_custkey AS VARCHAR) AS acct_key, c_name AS name, CAST(c_acctbal AS VARCHAR) AS balance,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators.schema import normalize_columns, union_by_name
+from flowlens.workspace import materialize
 
 CSV_GLOB = "*.[cC][sS][vV]"
 REPLACEMENT = "\N{REPLACEMENT CHARACTER}"
@@ -111,21 +112,23 @@ def read_with_fallback(
 ) -> DataFrame:
     """Read each file with the first encoding that decodes all of it (the last one if none does).
 
-    This costs one pass over the files per extra encoding; give an explicit encoding where it is known.
+    This costs one pass over the files per extra encoding; give an explicit encoding where it is known. Rows
+    of broken files are dropped by a join; only the names of these files are collected, to be read again.
     """
     groups = []
     pending = list(paths)
     for encoding in encodings[:-1]:
-        if not pending:
-            break
         df = read_raw_csv_by_name(spark, pending, encoding)
-        broken = {r[0] for r in undecodable_rows(df).where("undecodable > 0").select(K.SOURCE_FILE).collect()}
-        if not broken:
-            groups.append(df)
-            pending = []
-            break
-        groups.append(df.where(~F.col(K.SOURCE_FILE).isin(sorted(broken))))
-        pending = sorted(broken)
-    if pending:
-        groups.append(read_raw_csv_by_name(spark, pending, encodings[-1]))
-    return union_by_name(groups)
+        broken = materialize(undecodable_rows(df).where("undecodable > 0").select(K.SOURCE_FILE), "broken")
+        groups.append(df.join(broken, K.SOURCE_FILE, "left_anti").select(*df.columns))
+        pending = sorted(r[0] for r in broken.collect())
+        if not pending:
+            return union_by_name(groups)
+    return union_by_name([*groups, read_raw_csv_by_name(spark, pending, encodings[-1])])
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], encoding: str | Sequence[str] = "UTF-8") -> DataFrame:
+    """Files united by name, in one encoding or in the first of several that decodes a file."""
+    if isinstance(encoding, str):
+        return read_raw_csv_by_name(spark, paths, encoding)
+    return read_with_fallback(spark, paths, encoding)
