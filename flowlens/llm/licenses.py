@@ -164,6 +164,52 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return words.join(found, "doc_id", "left").fillna(none)
 
 
-@query("op2_license_scan")
+def sql() -> str:
+    """The whole scan for DuckDB, with the pairs themselves in place of their hashes."""
+    rows = ", ".join(
+        f"('{gram}', {number}, '{label}', {phrase}, {place}, {pairs}, {length})"
+        for _, gram, number, label, phrase, place, pairs, length in template_rows()
+    )
+    return rf"""
+WITH templates(gram, template, label, phrase, place, pairs, length) AS (VALUES {rows}),
+texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), grams AS (
+  SELECT doc_id, i - 1 AS pos, words[i] || ' ' || words[i + 1] AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM texts) t
+), diagonals AS (
+  SELECT doc_id, template, label, phrase, pairs, length, pos - place AS diagonal, list(DISTINCT place) AS places,
+         min(pos) AS first, max(pos) + 1 AS last
+  FROM grams JOIN templates USING (gram) GROUP BY ALL
+), marked AS (
+  SELECT *, CASE WHEN phrase OR diagonal - lag(diagonal, 1, -1000000000) OVER w > {DRIFT} THEN 1 ELSE 0 END AS starts
+  FROM diagonals WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
+), runs AS (
+  SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM marked
+), merged AS (
+  SELECT doc_id, template, label, phrase, pairs, length, run, len(list_distinct(flatten(list(places)))) AS held,
+         min(first) AS first, max(last) AS last
+  FROM runs GROUP BY doc_id, template, label, phrase, pairs, length, run
+), spans AS (
+  SELECT doc_id, label, phrase, first, held / CAST(pairs AS DOUBLE) AS share,
+         CASE WHEN phrase THEN held = pairs
+              ELSE held / CAST(pairs AS DOUBLE) >= CAST({COVERAGE} AS DOUBLE) AND last - first < 2 * length END AS stands
+  FROM merged
+), found AS (
+  SELECT doc_id, count(*) FILTER (phrase AND stands) AS n_base, min(first) FILTER (phrase AND stands) AS first_word,
+         max(first) FILTER (phrase AND stands) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase AND stands) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (stands) AS labels, max(share) AS score
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op2_license_scan", sql())
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan(table(spark, sf, "documents"))
