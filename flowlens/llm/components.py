@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.workspace import materialize
+from flowlens.workspace import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -15,16 +15,21 @@ def _state(edges: DataFrame) -> tuple:
 def _star(edges: DataFrame) -> DataFrame:
     """One round: every larger neighbour is tied to the smallest one around, then every node to its smallest.
 
-    Minima are hash aggregates that combine before the exchange; the joins are ordinary equi-joins whose
-    skewed partitions adaptive execution splits. So no task gathers the neighbours of a hub.
+    Minima are hash aggregates that combine before the exchange. They are written before they are joined, so
+    that the joins are ordinary equi-joins of two tables whose skewed partitions adaptive execution can split.
+    So no task gathers the neighbours of a hub.
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                          F.col("m").alias("v"))
-    return small.distinct()
+    least = materialize(least, "minima")
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = materialize(large.distinct(), "edges", replaces=least)
+    least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
+    tied = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    small = large.join(least, "u").select(tied.alias("u"), F.col("m").alias("v"))
+    small = materialize(small.distinct(), "edges", replaces=least)
+    discard(large)
+    return small
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -38,7 +43,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     pairs = materialize(pairs, "edges")
     state = _state(pairs)
     while state[0]:
-        pairs = materialize(_star(pairs), "edges")
+        older, pairs = pairs, _star(pairs)
+        discard(older)
         last, state = state, _state(pairs)
         if state == last:
             break
