@@ -31,8 +31,8 @@ HALF = RADIUS // 2
 SHINGLE = 4
 SEED = 42
 #: Variants that a group should hold on average, and those that a task sorts at once.
-GROUP_VARIANTS = 1 << 21
-SORTED_VARIANTS = 1 << 22
+GROUP_VARIANTS = 1 << 20
+SORTED_VARIANTS = 1 << 21
 #: Shingles whose bits are counted at once.
 BIT_ROWS = 1 << 15
 
@@ -130,7 +130,7 @@ def linked(marks: np.ndarray, group: int, k: int) -> np.ndarray:
         for rows, error in members:
             step = max(1, SORTED_VARIANTS // len(error))
             for at in range(0, len(rows), step):
-                some = rows[at : at + step]
+                some = rows[at : at + step].astype(np.int32)
                 words = (marks[some][:, None] ^ error[None, :]).ravel()
                 whose = np.repeat(some, len(error))
                 if slices > 1:
@@ -139,6 +139,7 @@ def linked(marks: np.ndarray, group: int, k: int) -> np.ndarray:
                 variants.append(words)
                 owners.append(whose)
         words, whose = np.concatenate(variants), np.concatenate(owners)
+        variants, owners = [], []
         order = np.argsort(words)
         words, whose = words[order], whose[order]
         met = np.flatnonzero(words[1:] == words[:-1])
