@@ -21,7 +21,7 @@ from flowlens import conventions as K
 from flowlens.operators.clustering import centroid_table, distance_to_centroid, fit_kmeans
 from flowlens.operators.forest import fit_forest, predict
 from flowlens.queries import QUERIES
-from flowlens.queries.modelling import prepared_flows
+from flowlens.queries.modelling import ROWS_PER_FILE, prepared_flows
 from flowlens.plans.prepare import preparation_stages
 from flowlens.queries.registry import BENIGN_FLOW, FLOW_FEATURES, flows
 from flowlens.workspace import materialize
@@ -55,7 +55,7 @@ def wide_figures(spark: SparkSession, sf: str, width: int = 78) -> dict:
     ]
     rows = flows(spark, sf).select("label", *mixed)
     stages = preparation_stages([f"f{i:02d}" for i in range(width)])
-    ready = materialize(Pipeline(stages=stages).fit(rows).transform(rows).select(K.LABEL, K.SCALED_VECTOR), "wide")
+    ready = materialize(Pipeline(stages=stages).fit(rows).transform(rows).select(K.LABEL, K.SCALED_VECTOR), "wide", rows_per_file=ROWS_PER_FILE)
     start = time.time()
     clusters = fit_kmeans(ready.where(F.col(K.LABEL) == BENIGN_FLOW))
     trained = time.time() - start

@@ -200,6 +200,10 @@ def select_model_query(spark, sf):
 
 # --- supervised ---
 
+#: Models pass over their rows many times: these lie in files of so many.
+ROWS_PER_FILE = 20_000
+
+
 def fitted_preparation(rows):
     """The stages the plans fit: label index, feature vector, scaling."""
     return Pipeline(stages=preparation_stages(FLOW_FEATURES)).fit(rows)
@@ -208,7 +212,7 @@ def fitted_preparation(rows):
 def prepared_flows(spark, sf):
     rows = flows(spark, sf)
     ready = fitted_preparation(rows).transform(rows).select(K.LABEL, K.LABEL_INDEX, K.SCALED_VECTOR)
-    return materialize(weighted_training_set(ready), "flows")
+    return materialize(weighted_training_set(ready), "flows", rows_per_file=ROWS_PER_FILE)
 
 
 _FORESTS: dict[tuple[str, str], tuple] = {}

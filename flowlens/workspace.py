@@ -21,13 +21,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/flowlens/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str, replaces: DataFrame | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, purpose: str, replaces: DataFrame | None = None, rows_per_file: int | None = None
+) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and outlives lost executors.
 
+    ``rows_per_file`` bounds the rows of a file, so that a table read in few pieces is read back in more of them
+    ahead of heavy work per row. The files depend on the rows alone, not on the machine.
     ``replaces`` is an earlier result of this function that nothing needs any more; its files go.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
+    writer.parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     written.scratch_path = path
     if replaces is not None:
