@@ -1,7 +1,8 @@
 """The language of a text by Bayesian fusion of evidence.
 
-* Text: letter trigrams in hashed buckets, one multinomial per language, fitted on ``TRAINING_DOCS`` labelled
-  rows (those with the smallest hash of their id: a documented bound for fitting only). Trigrams are not
+* Text: letter trigrams in hashed buckets, one multinomial per language, fitted on about
+  ``TRAINING_DOCS`` labelled rows of each language (those with a small hash of their id: a documented bound for
+  fitting only). Every label with ``LABELLED_ROWS`` rows in the whole table is a language. Trigrams are not
   independent, so n of them count as n / (1 + n / ``SATURATION``). A uniform model stands for "none of these".
 * Declared language (of the markup) and address suffix: how often each language, as the text alone has
   it, comes with each value, from grouped counts over all rows.
@@ -26,8 +27,9 @@ from flowlens.llm import words as W
 from flowlens.llm.queries import query, table
 from flowlens.workspace import materialize
 
+#: Documents of each language; a label with fewer has all of them.
 TRAINING_DOCS = 8000
-#: A label needs so many training rows to be a language.
+#: A label needs so many rows in the table to be a language.
 LABELLED_ROWS = 3
 BUCKET_BITS = 16
 SATURATION = 100.0
@@ -74,8 +76,10 @@ def fit(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[li
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).alias("label")
     )
     rows = rows.where("label IS NOT NULL AND id IS NOT NULL")
-    picked = rows.select("id", F.xxhash64("id").alias("h")).distinct().orderBy("h", "id").limit(TRAINING_DOCS).select("id")
-    sample = rows.join(F.broadcast(picked), "id").select("label", "text")
+    labels = rows.groupBy("label").agg(F.count("*").alias("n"), F.approx_count_distinct("id").alias("ids"))  # a row per label
+    labels = labels.where(F.col("n") >= LABELLED_ROWS).select("label", (TRAINING_DOCS / F.col("ids")).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)  # from 0 to 1
+    sample = rows.join(F.broadcast(labels), "label").where(place < F.col("share")).select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,9 +96,8 @@ def fit(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[li
                 )
 
     counts = sample.mapInArrow(run, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.toPandas()  # at most labels of the sample x buckets
-    of_label = found[found.bucket < 0].set_index("label").n
-    languages = sorted(of_label[of_label >= LABELLED_ROWS].index)
+    found = counts.toPandas()  # at most labels x buckets
+    languages = sorted(found[found.bucket < 0].label)
     total = np.zeros((1 << BUCKET_BITS, len(languages)))
     for j, language in enumerate(languages):
         own = found[(found.label == language) & (found.bucket >= 0)]

@@ -134,3 +134,16 @@ def test_edges(spark):
     assert language.documents_languages(no_docs(spark)).count() == 0
     assert language.accepted_documents(no_docs(spark)).count() == 0
     assert W.ALPHANUMERIC[0xC3]
+
+
+def test_a_rare_language_is_known_in_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(language, "TRAINING_DOCS", 30)
+    rnd = random.Random(8)
+    rows = [(i, prose(SOUNDS["aa"], 12, rnd), "aa", None, "aa") for i in range(3000)]
+    rows += [(5000 + i, prose(SOUNDS["cc"], 12, rnd), "cc", None, "cc") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string, truth string")
+    assert language.fit(docs, "doc_id", "text", "lang")[0] == ["aa", "cc"]
+    found = language.identify(docs).where("doc_id >= 5000").collect()
+    assert [(r.lang, r.accepted) for r in found] == [("cc", True)] * 5
+    two = docs.where("doc_id < 5002")
+    assert language.fit(two, "doc_id", "text", "lang")[0] == ["aa"]
