@@ -1,7 +1,8 @@
 """Documents that contain items of a benchmark: BM25 with block-max pruning, then a check of shared shingles.
 
 The index holds the benchmark's items; every passage of every document is a query. Passages are windows of
-twice the longest item's words, overlapping by half, so that any item lies whole in one of them. A score is
+twice the longest item's words and ``GAP``, overlapping by half, so that any item lies whole in one of them, also with
+up to ``GAP`` words between question and answer. A score is
 BM25 divided by the score of the item against itself. Retrieval is exact: each item whose score reaches
 ``THRESHOLD`` is found.
 
@@ -11,8 +12,8 @@ BM25 divided by the score of the item against itself. Retrieval is exact: each i
   summed for many passages at once; only blocks whose bound reaches the threshold are opened.
 * In opened blocks items are scored in full.
 
-Retrieved items are verified: at least ``OVERLAP`` of the 5-word shingles of question and answer together
-must stand in the passage; the shares of either part are returned, too.
+Retrieved items are verified by their 5-word shingles: at least ``OVERLAP`` of those of the question and of those
+of the answer must stand in the passage, or as many of those of the undivided item. All three shares are returned.
 
 The index of at most ``INDEX_BYTES`` of items goes to every task; a larger benchmark is cut into shards of that
 size, each asked by all passages. Frequencies always come from the whole benchmark.
@@ -37,6 +38,8 @@ from flowlens.llm.queries import query, table
 THRESHOLD = 0.6
 OVERLAP = 0.8
 SHINGLE = 5
+#: Words that may stand between question and answer in any case.
+GAP = 32
 K1, B = 1.2, 0.75
 #: Share of the threshold that the terms which only bound may reach in any item.
 BOUNDING = 0.3
@@ -66,6 +69,12 @@ def shingles(found: list[bytes]) -> set[bytes]:
     return {b" ".join(found[i : i + SHINGLE]) for i in range(max(1, len(found) - SHINGLE + 1))} if found else set()
 
 
+def contained(overlap: tuple[float, float, float], parts: tuple[set, set, set]) -> bool:
+    """Whether the shares of an item, its question and its answer say that a passage holds it."""
+    whole, question, answer = overlap
+    return whole >= OVERLAP or bool(parts[1] and parts[2]) and question >= OVERLAP and answer >= OVERLAP
+
+
 class Index:
     """Items (id, lower-cased text) of a shard, with the benchmark's size, mean length and document frequencies."""
 
@@ -84,7 +93,7 @@ class Index:
             self.words.append(found)
             self.weights.append({t: x / total for t, x in raw.items()})
             self.shingles.append(tuple(map(shingles, (found, words_of(question), words_of(answer)))))
-        self.stride = max(32, max(map(len, self.words), default=0))
+        self.stride = GAP + max(map(len, self.words), default=0)
         self.blocks = -(-len(self.ids) // BLOCK)
         self._lists()
 
@@ -174,7 +183,7 @@ class Index:
             found = [data[a:b].tobytes() for a, b in zip(starts[low:high], ends[low:high])]
             for d, score in self.retrieved(found, block):
                 overlap = self.verified(found, d)
-                if overlap[0] >= OVERLAP and (score, overlap) > best.get((doc, d), (0.0, ())):
+                if contained(overlap, self.shingles[d]) and (score, overlap) > best.get((doc, d), (0.0, ())):
                     best[doc, d] = (score, overlap)
         for (doc, d), (score, overlap) in sorted(best.items()):
             yield doc, self.ids[d], score, *overlap

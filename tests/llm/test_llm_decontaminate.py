@@ -109,3 +109,17 @@ def test_edges(spark):
     assert D.matches(no_docs(spark), items).count() == 0
     none = items.where("item_id < 0")
     assert D.matches(docs, none).count() == 0 and D.clean(docs, none).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("between", ["Answer:", "The right answer to this, as all of us should know by now, is"])
+def test_a_marker_between_question_and_answer_hides_nothing(spark, between):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    some = lambda n: " ".join(rnd.sample(words, n))
+    bench = [(some(10 + 4 * i) + "?", some(5) + ".") for i in range(6)]
+    texts = [f"{some(i * 7)} {q} {between} {a} {some(100)}" for i, (q, a) in enumerate(bench * 6)]
+    texts += [f"{some(50)} {q} {some(100)}" for q, _ in bench[:2]]  # without the answer
+    rows = D.matches(table_of(spark, texts), items_of(spark, [f"{q} {a}" for q, a in bench])).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(i, i % 6) for i in range(36)]
+    assert all(r.question_overlap == r.answer_overlap == 1 for r in rows)
+    assert any(r.overlap < D.OVERLAP for r in rows)
