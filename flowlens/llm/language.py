@@ -236,8 +236,13 @@ def markup_language(html: Column) -> Column:
 
 
 def address_suffix(url: Column) -> Column:
-    """The last label of the host, else null."""
-    return F.nullif(F.lower(F.regexp_extract(url, r"://[^/?#]*\.([A-Za-z]+)(?::[0-9]+)?(?:[/?#]|$)", 1)), F.lit(""))
+    """The last label of the host of an address or of a bare host, else null."""
+    return F.nullif(F.lower(F.regexp_extract(url, r"^(?:[^/?#]*//)?[^/?#]*\.([A-Za-z]+)(?::[0-9]+)?(?:[/?#]|$)", 1)), F.lit(""))
+
+
+def address_host(url: Column) -> Column:
+    """The host of an address without user and port, else null."""
+    return F.nullif(F.lower(F.regexp_extract(url, r"//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def documents_languages(docs: DataFrame) -> DataFrame:
@@ -245,6 +250,16 @@ def documents_languages(docs: DataFrame) -> DataFrame:
     return identify(docs, declared=F.col("lang"), suffix=address_suffix(F.col("source")), host=F.col("source"))
 
 
+def pages_languages(pages: DataFrame) -> DataFrame:
+    """``identify`` for tables like ``pages``: the markup declares a language, the address has suffix and host."""
+    declared = markup_language(F.col("html"))
+    text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    rows = pages.select("page_id", "url", declared.alias("lang"), text.alias("text"))
+    return identify(
+        rows, "page_id", declared=F.col("lang"), suffix=address_suffix(F.col("url")), host=address_host(F.col("url"))
+    )
+
+
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, with all their columns; rows without an id go."""
     kept = documents_languages(docs).where("accepted").select("doc_id").distinct()
@@ -254,3 +269,8 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return documents_languages(table(spark, sf, "documents"))
+
+
+@query("op4_page_language_id")
+def op4_page_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return pages_languages(table(spark, sf, "pages"))

@@ -147,3 +147,27 @@ def test_a_rare_language_is_known_in_a_large_table(spark, monkeypatch):
     assert [(r.lang, r.accepted) for r in found] == [("cc", True)] * 5
     two = docs.where("doc_id < 5002")
     assert language.fit(two, "doc_id", "text", "lang")[0] == ["aa"]
+
+
+def test_suffix_of_addresses_and_bare_hosts(spark):
+    urls = ["news.example.de", "http://a.example.FR:80/x.html", "src0", "//b.example.es/", "1.2.3.4", None, "example.it/a.b"]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string").orderBy("i")
+    got = [r[0] for r in frame.select(language.address_suffix(F.col("url"))).collect()]
+    assert got == ["de", "fr", None, "es", None, None, "it"]
+
+
+def test_the_suffix_of_a_bare_source_decides(spark):
+    rnd = random.Random(11)
+    base = [(i, prose(SOUNDS[x], 40, rnd), x, f"h{i}.{x}") for i, x in enumerate(["aa", "bb"] * 60)]
+    vague = [(1000 + i, "ae io", None, f"new{i}.{x}") for i, x in enumerate(["aa", "bb"] * 3)]
+    docs = spark.createDataFrame(base + vague, "doc_id long, text string, lang string, source string")
+    rows = language.documents_languages(docs).where("doc_id >= 1000").collect()
+    assert {r.doc_id: r.lang for r in rows} == {1000 + i: x for i, x in enumerate(["aa", "bb"] * 3)}
+
+
+def test_pages_are_identified_by_a_query(spark, sf):
+    from flowlens.llm.queries import QUERIES
+
+    rows = QUERIES["op4_page_language_id"](spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert sum(r.lang == r.declared for r in rows) > 0.95 * len(rows)
