@@ -2,8 +2,10 @@
 
 A stretch of ``K`` bytes is an anchor if the smallest hash among its inner stretches of ``S`` bytes is at
 its first or last place. Whether it is depends on nothing but the stretch itself, so a text's anchors survive
-any edit elsewhere and can be matched by position. A fingerprint is the ``SKETCH`` smallest distinct anchor
-hashes of the whole text; the likeness of two is the Dice share that their common part estimates.
+any edit elsewhere and can be matched by position. A fingerprint has the anchors of the whole text whose hash is
+among the smallest 1 / ``SPARSE`` of all hashes, with their positions, so it grows with the text; a text with fewer
+than ``SKETCH`` of these has its ``SKETCH`` smallest ones. The likeness of two is the Dice share of anchors that agree
+in position: with the same shift between their places as at least one other anchor.
 """
 
 from __future__ import annotations
@@ -23,7 +25,12 @@ K, S = 16, 9
 #: Inner stretches of an anchor; a power of two.
 INNER = K - S + 1
 SKETCH = 64
-HEX = 8
+#: One in so many anchors of a long text is in its fingerprint.
+SPARSE = 8
+#: Anchors on one diagonal that make a stretch in common.
+STRETCH = 2
+HEX = 16
+LOW = np.uint64(0xFFFFFFFF)
 #: Characters of text that are fingerprinted at once.
 CHARS = 1 << 19
 
@@ -54,29 +61,67 @@ def select(data: np.ndarray, offsets: np.ndarray, powers: W.Powers) -> tuple[np.
 
 
 def sketches(texts: list[str], powers: W.Powers) -> list[np.ndarray]:
-    """The smallest distinct anchor hashes of each text, ascending; of a text without anchors its own hash."""
+    """The fingerprint of each text: position << 32 | hash, ascending; of a text without anchors its own hash at 0."""
     raw = [t.encode() for t in texts]
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    _, hashes, owner = select(data, offsets, powers)
+    at, hashes, owner = select(data, offsets, powers)
     bounds = np.searchsorted(owner, np.arange(len(raw) + 1))
     found = []
     for i, r in enumerate(raw):
-        own = np.unique(hashes[bounds[i] : bounds[i + 1]])[:SKETCH]
+        part = slice(bounds[i], bounds[i + 1])
+        border, distinct = (1 << 32) // SPARSE, np.unique(hashes[part])
+        if len(distinct) and np.searchsorted(distinct, border) < SKETCH:
+            border = int(distinct[:SKETCH][-1]) + 1
+        keep = hashes[part] < border
+        own = ((at[part][keep] - offsets[i]).astype(np.uint64) << np.uint64(32)) | hashes[part][keep]
         if not len(own) and r:
-            own = np.array([W.hash_of(r) >> 32], dtype=np.uint32)
+            own = np.array([W.hash_of(r) >> 32], dtype=np.uint64)
         found.append(own)
     return found
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Dice share of two anchor sets, from the smallest hashes of their union; two empty texts are alike."""
+    """Dice share of the anchors that stand on diagonals in common; two empty texts are alike.
+
+    A hash that is repeated pairs its k-th place with its k-th place, from the front and from the back, so that pairs
+    grow no faster than anchors. A diagonal counts with ``STRETCH`` pairs, or all that the shorter text has. Each
+    anchor counts at most once.
+    """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.union1d(a, b)[:SKETCH]
-    shared = len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True))
-    share = shared / len(both)
-    return 2 * share / (1 + share)
+    limit = LOW  # a fingerprint of fewer than SKETCH distinct hashes is complete, others reach up to their largest
+    for distinct in (np.unique(a & LOW), np.unique(b & LOW)):
+        if len(distinct) >= SKETCH:
+            limit = min(limit, distinct[-1])
+    a, b = a[(a & LOW) <= limit], b[(b & LOW) <= limit]
+    if not len(a) or not len(b):
+        return 0.0
+    front, back = _paired(a, b), _paired(a[::-1], b[::-1])
+    first = np.concatenate((front[0], len(a) - 1 - back[0]))
+    second = np.concatenate((front[1], len(b) - 1 - back[1]))
+    both = np.unique(first * len(b) + second)
+    first, second = both // len(b), both % len(b)
+    shift = (a[first] >> np.uint64(32)).astype(np.int64) - (b[second] >> np.uint64(32)).astype(np.int64)
+    _, which, n = np.unique(shift, return_inverse=True, return_counts=True)
+    good = n[which] >= min(STRETCH, len(a), len(b))
+    shared = min(len(np.unique(first[good])), len(np.unique(second[good])))
+    return 2 * shared / (len(a) + len(b))
+
+
+def _paired(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal hashes in both, the k-th of a hash with its k-th."""
+
+    def keys(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes = x & LOW
+        order = np.argsort(hashes, kind="stable")
+        ranked = hashes[order]
+        starts = np.searchsorted(ranked, ranked)
+        return (ranked << np.uint64(32)) | (np.arange(len(x)) - starts).astype(np.uint64), order
+
+    (one, at_one), (two, at_two) = keys(a), keys(b)
+    _, i, j = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    return at_one[i], at_two[j]
 
 
 def as_text(sketch: np.ndarray) -> str:
@@ -84,7 +129,7 @@ def as_text(sketch: np.ndarray) -> str:
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.array([int(fingerprint[i : i + HEX], 16) for i in range(0, len(fingerprint), HEX)], dtype=np.uint32)
+    return np.array([int(fingerprint[i : i + HEX], 16) for i in range(0, len(fingerprint), HEX)], dtype=np.uint64)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

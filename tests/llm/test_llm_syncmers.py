@@ -100,3 +100,22 @@ def test_edges(spark):
     assert {r.position: r.anchor for r in own} == anchors_of(ROWS[0][1])
     for empty in (S.compare_with_edited, S.fingerprints, S.anchors):
         assert empty(no_docs(spark)).count() == 0
+
+
+def test_long_texts_keep_their_places(spark):
+    powers = W.Powers()
+    one, two, shared = text_of(60_000, 11), text_of(60_000, 12), text_of(4_000, 13)
+    a, b, plain_two = S.sketches([one + shared, shared + two, two], powers)
+    assert len(a) > 1000 and S.likeness(a, plain_two) == 0
+    assert abs(S.likeness(a, b) - 4 / 64) < 0.02  # a passage in another place of another long text
+    places = anchors_of(one + shared)
+    assert all(places[int(x) >> 32] == int(x) & 0xFFFFFFFF for x in a)
+
+
+def test_reordered_text_is_not_the_original(spark):
+    rnd = random.Random(14)
+    parts = [text_of(40, i) for i in range(400)]
+    other = parts[:]
+    rnd.shuffle(other)
+    a, b = S.sketches(["".join(parts), "".join(other)], W.Powers())
+    assert S.likeness(a, a) == 1 and S.likeness(a, b) < 0.8
