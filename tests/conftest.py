@@ -7,8 +7,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 def build_session():
     from pyspark.sql import SparkSession
@@ -34,4 +32,6 @@ def spark():
 
 @pytest.fixture
 def sf():
+    from harness import SMALL
+
     return SMALL

@@ -5,8 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
-from conftest import SMALL
-from harness import ROOT, bad_shape, compare, duck, plan_text
+from harness import ROOT, SMALL, bad_shape, compare, duck, plan_text
 
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
