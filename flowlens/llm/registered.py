@@ -1,4 +1,16 @@
 """Imports every module that registers queries."""
 
-from flowlens.llm import bpe, chat, decontaminate, language, licenses, lm, pii, simhash, syncmers, urls  # noqa: F401
+from flowlens.llm import (  # noqa: F401
+    bpe,
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    lm,
+    merkle,
+    pii,
+    simhash,
+    syncmers,
+    urls,
+)
 from flowlens.llm.queries import ORACLES, QUERIES  # noqa: F401
