@@ -323,7 +323,8 @@ def build(leaves: DataFrame, tree: str, order: list[str], digest: str = "leaf")
     comes first, so that the root doesn't depend on the order of the rows. An empty table has no root.
     """
     name = F.when(F.col(tree).isNull(), "").otherwise(F.concat(F.lit("="), F.col(tree).cast("string")))
-    rows = leaves.select("*", name.alias("tree"), F.unhex(digest).alias("digest"))
+    # written before the exchange, which looks at its keys twice
+    rows = materialize(leaves.select("*", name.alias("tree"), F.unhex(digest).alias("digest")), "leaves")
     placed = ranked(rows, "tree", [*order, "digest"]).withColumnRenamed("place", "row")
     placed = materialize(placed, "leaves")
     rounds, roots = _grow(placed)
