@@ -1,6 +1,7 @@
 """Imports every module that registers queries."""
 
 from flowlens.llm import (  # noqa: F401
+    align,
     bpe,
     chat,
     decontaminate,
