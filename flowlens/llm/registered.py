@@ -9,6 +9,7 @@ from flowlens.llm import (  # noqa: F401
     licenses,
     lm,
     merkle,
+    neighbours,
     pii,
     simhash,
     syncmers,
