@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,36 @@ def fit_forest(df: DataFrame, **params) -> PipelineModel:
     return Pipeline(stages=[forest(**params)]).fit(df)
 
 
+def part_of(spark: SparkSession, model: RandomForestClassificationModel, low: int, high: int) -> RandomForestClassificationModel:
+    """The forest of the trees from ``low`` up to ``high`` of a fitted one."""
+    java, gateway = model._java_obj, spark.sparkContext._gateway
+    trees = java.trees()
+    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, high - low)
+    for i in range(low, high):
+        some[i - low] = trees[i]
+    made = gateway.jvm.org.apache.spark.ml.classification.RandomForestClassificationModel
+    part = RandomForestClassificationModel(made(some, model.numFeatures, model.numClasses))
+    return part.setFeaturesCol(model.getFeaturesCol())
+
+
+def running_predictions(model: RandomForestClassificationModel, df: DataFrame, sizes: Sequence[int]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a prediction column for the first trees of a forest, for each of the ascending ``sizes``.
+
+    Every tree votes once: the votes of the trees between two sizes are added to those of the trees before. Of
+    classes with equal votes the first wins, as in a forest's own prediction.
+    """
+    votes, names, low = None, [], 0
+    for high in sizes:
+        part = part_of(df.sparkSession, model, low, high).setPredictionCol("").setProbabilityCol("").setRawPredictionCol("__votes")
+        df = part.transform(df)
+        own = vector_to_array("__votes")
+        df = df.withColumn("__sum", own if votes is None else F.zip_with("__sum", own, lambda a, b: a + b)).drop("__votes")
+        votes, low = "__sum", high
+        names.append(f"__prediction_{high}")
+        df = df.withColumn(names[-1], (F.array_position("__sum", F.array_max("__sum")) - 1).cast("double"))
+    return df.drop("__sum"), names
+
+
 def predict(model: PipelineModel, df: DataFrame, benign: float = 0.0) -> DataFrame:
     """Predicted class, class probabilities and the 0/1 columns of truth and prediction."""
     return model.transform(df).withColumns(

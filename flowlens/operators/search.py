@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators.clustering import centroid_table, distance_to_centroid, fit_kmeans, silhouette
 from flowlens.operators.evaluation import score_stats
-from flowlens.operators.forest import fit_forest, forest
+from flowlens.operators.forest import fit_forest, forest, running_predictions
 from flowlens.operators.sampling import bernoulli_sample, stratified_sample
+from flowlens.workspace import discard, materialize
 
 RESULT_SCHEMA = (
     "position int, k int, max_iter int, tol double, silhouette double, wssse double, "
@@ -90,37 +91,47 @@ def search_forest(
     weight_col: str | None = K.CLASS_WEIGHT,
     weighted_metric: bool = False,
 ) -> DataFrame:
-    """Cross-validate every combination on a stratified sample; one row per combination in grid order."""
-    estimator = forest(weight_col=weight_col, seed=seed)
-    combos = (
-        ParamGridBuilder()
-        .addGrid(estimator.numTrees, list(grid["trees"]))
-        .addGrid(estimator.maxDepth, list(grid["depth"]))
-        .addGrid(estimator.featureSubsetStrategy, list(grid["subset"]))
-        .build()
-    )
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol=K.LABEL_INDEX, predictionCol=K.PREDICTION, metricName=metric
-    )
-    if weighted_metric and weight_col:
-        evaluator = evaluator.setWeightCol(weight_col)
+    """Cross-validate every combination on a stratified sample; one row per combination in grid order.
+
+    The sample is written once with a fold for each row. For each fold, depth and subset one forest is fitted, with
+    the most trees of the grid; smaller numbers of trees are its first ones, whose votes are kept while the
+    others' are added. All sizes are scored in one pass, to confusion cells that ``metric`` is computed from;
+    it may be any metric of Spark's evaluator that needs no probabilities.
+    """
+    spark, sizes = train.sparkSession, sorted(set(grid["trees"]))
     sample = stratified_sample(train, K.LABEL_INDEX, fraction, seed)
-    validator = CrossValidator(
-        estimator=Pipeline(stages=[estimator]), estimatorParamMaps=combos, evaluator=evaluator,
-        numFolds=folds, parallelism=parallelism, seed=seed,
-    )
-    scores = validator.fit(sample).avgMetrics
-    rows = [
-        (
-            i, int(combo[estimator.numTrees]), int(combo[estimator.maxDepth]),
-            str(combo[estimator.featureSubsetStrategy]), float(score),
-        )
-        for i, (combo, score) in enumerate(zip(combos, scores))
-    ]
-    return train.sparkSession.createDataFrame(
-        rows, "position int, trees int, depth int, subset string, avg_metric double"
+    fold = F.least(F.floor(F.rand(seed) * folds), F.lit(folds - 1)).cast("int")
+    sample = materialize(sample.withColumn("__fold", fold), "search")
+    weight = F.col(weight_col) if weighted_metric and weight_col else F.lit(1.0)
+    evaluator = MulticlassClassificationEvaluator(
+        labelCol=K.LABEL_INDEX, predictionCol=K.PREDICTION, metricName=metric, weightCol="n"
     )
 
+    def scores(job: tuple[int, int, str]) -> dict[tuple, float]:
+        number, depth, subset = job
+        fitted = forest(sizes[-1], depth, subset, weight_col, seed).fit(sample.where(F.col("__fold") != number))
+        held, names = running_predictions(fitted, sample.where(F.col("__fold") == number), sizes)
+        each = F.explode(F.array(*(F.struct(F.lit(n).alias("trees"), F.col(c).alias(K.PREDICTION)) for n, c in zip(sizes, names))))
+        cells = held.select(K.LABEL_INDEX, weight.alias("__w"), each.alias("x")).groupBy("x.trees", K.LABEL_INDEX, f"x.{K.PREDICTION}")
+        rows = cells.agg(F.sum("__w").alias("n")).collect()  # a row per size and pair of classes
+        found = {}
+        for size in sizes:
+            own = [r[1:] for r in rows if r["trees"] == size]
+            table = spark.createDataFrame(own, f"{K.LABEL_INDEX} double, {K.PREDICTION} double, n double")
+            found[size, depth, subset] = evaluator.evaluate(table) if own else float("nan")
+        return found
+
+    jobs = [(number, depth, subset) for depth in grid["depth"] for subset in grid["subset"] for number in range(folds)]
+    totals: dict[tuple, list[float]] = {}
+    with ThreadPool(parallelism) as pool:
+        for found in pool.imap_unordered(inheritable_thread_target(spark)(scores), jobs):
+            for combo, score in found.items():
+                totals.setdefault(combo, []).append(score)
+    discard(sample)
+    combos = [(t, d, s) for t in grid["trees"] for d in grid["depth"] for s in grid["subset"]]
+    rows = [(i, int(t), int(d), str(s), sum(totals[t, d, s]) / folds) for i, (t, d, s) in enumerate(combos)]
+    return spark.createDataFrame(rows, "position int, trees int, depth int, subset string, avg_metric double")
+
 
 def best_forest(results: DataFrame) -> DataFrame:
     """The highest average metric, the earliest of equals."""

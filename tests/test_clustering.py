@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -14,8 +15,10 @@ from flowlens.operators.clustering import (
     mean_centroids,
     silhouette,
 )
-from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, predict
+from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, forest, part_of, predict, running_predictions
+from flowlens.operators.sampling import stratified_sample
 from flowlens.operators.search import best_forest, refit_kmeans, search_forest, search_kmeans, select_model
+from flowlens.workspace import materialize
 
 
 @pytest.fixture(scope="module")
@@ -160,6 +163,33 @@ def test_search_forest(flows):
     assert weighted.first().avg_metric > 0
 
 
+def test_first_trees_of_a_forest_predict_like_a_forest_of_them(flows):
+    model = forest(trees=7, depth=4).fit(flows)
+    rows, names = running_predictions(model, flows, [2, 5, 7])
+    assert [c for c in rows.columns if c not in flows.columns] == names
+    for size, name in zip((2, 5, 7), names):
+        part = part_of(flows.sparkSession, model, 0, size).transform(rows)
+        assert part.count() == part.where(F.col("prediction") == F.col(name)).count() > 0
+    whole = model.transform(rows)
+    assert whole.where(F.col("prediction") != F.col(names[-1])).count() == 0
+
+
+def test_search_scores_equal_separate_fits(flows):
+    """The largest forest of each fold is the one that a separate fit gives; smaller ones come close."""
+    grid = {"trees": [3, 40], "depth": [2, 3], "subset": ["sqrt"]}
+    found = {(r.trees, r.depth): r.avg_metric for r in search_forest(flows, grid, folds=2, fraction=1.0).collect()}
+    assert list(found) == [(3, 2), (3, 3), (40, 2), (40, 3)]
+    split = stratified_sample(flows, "label_index", 1.0, K.SEED).withColumn("f", F.least(F.floor(F.rand(K.SEED) * 2), F.lit(1)))
+    split = materialize(split, "split")
+    judge = MulticlassClassificationEvaluator(labelCol="label_index", metricName="f1")
+    for trees, depth in found:
+        scores = [
+            judge.evaluate(forest(trees, depth, "sqrt").fit(split.where(F.col("f") != n)).transform(split.where(F.col("f") == n)))
+            for n in (0, 1)
+        ]
+        assert found[trees, depth] == pytest.approx(sum(scores) / 2, abs=1e-9 if trees == 40 else 0.1)
+
+
 def test_first_of_equal_combinations_wins(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (2, 0.4)], "position int, avg_metric double")
     assert best_forest(df).first().position == 0
