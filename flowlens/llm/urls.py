@@ -59,8 +59,8 @@ def resolved(target: Column, url: Column) -> Column:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``source`` and ``target`` addresses of the canonical links and refreshes of pages."""
-    named = F.array(*(F.regexp_extract(F.col(html), pattern, 1) for pattern in (CANONICAL, REFRESH)))
+    """``source`` and ``target`` addresses of all canonical links and refreshes of pages."""
+    named = F.concat(*(F.regexp_extract_all(F.col(html), F.lit(pattern), 1) for pattern in (CANONICAL, REFRESH)))
     found = pages.select(F.col(url).alias("url"), F.explode(named).alias("named")).where("named <> ''")
     return found.select(address_of(F.col("url")).alias("source"), address_of(resolved(F.col("named"), F.col("url"))).alias("target"))
 

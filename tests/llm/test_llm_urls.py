@@ -55,6 +55,19 @@ def test_blocks_travel_over_aliases_and_allow_comes_first(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow", 8: "allow"}
 
 
+def test_all_links_of_a_page_count(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url=%s">'
+    rows = [
+        (1, "http://a.com/", link("http://b.com/") + link("http://x.net/")),
+        (2, "http://c.com/", refresh % "http://d.com/" + refresh % "http://y.net/"),
+        (3, "http://b.com/", None),
+        (4, "http://d.com/", None),
+        (5, "http://e.com/", link("http://f.com/") + refresh % "http://g.com/"),
+        (6, "http://g.com/", link("http://h.net/")),
+    ]
+    assert {i: x[3] for i, x in verdicts(spark, rows).items()} == dict.fromkeys(range(1, 7), "block")
+
+
 def test_redirect_logs_as_links(spark):
     own = [(1, "http://s.com/a", None), (2, "http://t.com/b", None)]
     log = spark.createDataFrame([("s.com/a", "m.com/"), ("m.com/", "k.net/c"), (None, "t.com/b")], "source string, target string")
