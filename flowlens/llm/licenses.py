@@ -66,26 +66,26 @@ TEMPLATE_SCHEMA = "hash long, wanted string, template int, label string, phrase
 
 
 def grams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``at``, ``hash``, ``gram`` of all word pairs, and a row with ``n_words`` for every document.
+    """``doc_id``, ``text_no``, ``at``, ``hash``, ``gram`` of all word pairs, and a row with ``n_words`` for every text.
 
     The words themselves are given only for pairs whose hash ends like that of a template's pair.
     """
     ends = np.zeros(1 << 16, dtype=bool)
     ends[[row[0] & 0xFFFF for row in template_rows()]] = True
-    names = ["doc_id", "at", "hash", "gram", "n_words"]
+    names = ["doc_id", "text_no", "at", "hash", "gram", "n_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = W.Powers()
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            whole, bounds = W.text_bytes(batch.column(1))
+            ids, numbers = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            whole, bounds = W.text_bytes(batch.column(2))
             for low, high in W.runs(bounds):
                 data = W.LOWER[whole[bounds[low] : bounds[high]]]
                 offsets = bounds[low : high + 1] - bounds[low]
                 starts, ends_at, owner = W.word_bounds(data, offsets, W.ALPHANUMERIC)
                 count = np.bincount(owner, minlength=high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low:high]), *(pa.nulls(high - low, t) for t in (pa.int64(), pa.int64(), pa.string())), pa.array(count)],
+                    [pa.array(ids[low:high]), pa.array(numbers[low:high]), *(pa.nulls(high - low, t) for t in (pa.int64(), pa.int64(), pa.string())), pa.array(count)],
                     names,
                 )
                 if len(starts) < GRAM:
@@ -99,12 +99,13 @@ def grams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     text[i] = b" ".join(data[starts[w] : ends_at[w]].tobytes() for w in words).decode()
                 first = np.searchsorted(owner, owned)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low + owned]), pa.array(at - first), pa.array(hashes.view(np.int64)), pa.array(text, pa.string()), pa.nulls(len(at), pa.int64())],
+                    [pa.array(ids[low + owned]), pa.array(numbers[low + owned]), pa.array(at - first), pa.array(hashes.view(np.int64)), pa.array(text, pa.string()), pa.nulls(len(at), pa.int64())],
                     names,
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).where("doc_id IS NOT NULL")
-    return rows.mapInArrow(run, "doc_id long, at long, hash long, gram string, n_words long")
+    text_no = F.monotonically_increasing_id().alias("text_no")
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text_no, F.col(text_col).cast("string"))
+    return rows.mapInArrow(run, "doc_id long, text_no long, at long, hash long, gram string, n_words long")
 
 
 def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,35 +118,45 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def spans(hits: DataFrame) -> DataFrame:
     """``doc_id``, ``label``, ``phrase``, ``first``, ``last`` (words), ``share`` of the template, ``stands`` or not.
 
-    Phrases: one row per diagonal. Notices: one per run of diagonals with gaps of at most ``DRIFT``.
+    Phrases: one row per diagonal. Notices: of each run of diagonals with gaps of at most ``DRIFT``, the window of
+    less than twice the notice's words that holds most of it, the first of equals. So words in front or
+    behind that repeat parts of the notice don't hide it.
     """
-    key = ["doc_id", "template", "label", "phrase", "pairs", "length"]
+    text, key = ["doc_id", "text_no", "template"], ["doc_id", "text_no", "template", "label", "phrase", "pairs", "length"]
     diagonal = (
         hits.where("template IS NOT NULL")
         .withColumn("diagonal", F.col("at") - F.col("place"))
         .groupBy(*key, "diagonal")
         .agg(F.collect_set("place").alias("places"), F.min("at").alias("first"), (F.max("at") + GRAM - 1).alias("last"))
     )
-    along = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    along = Window.partitionBy(*text).orderBy("diagonal")
     starts = F.col("phrase") | (F.col("diagonal") - F.lag("diagonal", 1, -(2**40)).over(along) > DRIFT)
     runs = diagonal.withColumn("starts", starts.cast("int")).withColumn("run", F.sum("starts").over(along))
-    merged = runs.groupBy(*key, "run").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("held"),
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
+    # a diagonal is no longer than its template, so that a window holds a bounded number of them
+    ahead = Window.partitionBy(*text, "run").orderBy("first").rangeBetween(0, 2 * max(row[-1] for row in template_rows()))
+    near = F.filter(
+        F.collect_list(F.struct("last", "places")).over(ahead), lambda x: x["last"] - F.col("first") < 2 * F.col("length")
     )
-    share = F.col("held") / F.col("pairs")
-    whole = F.when(F.col("phrase"), share == 1).otherwise(
-        (share >= COVERAGE) & (F.col("last") - F.col("first") < 2 * F.col("length"))
+    windows = runs.withColumn("near", near).select(
+        *key, "run", "first",
+        F.size(F.array_distinct(F.flatten(F.transform("near", lambda x: x["places"])))).alias("held"),
+        F.array_max(F.transform("near", lambda x: x["last"])).alias("last"),
+    )
+    best = F.max(F.struct("held", (-F.col("first")).alias("back"), "last")).alias("best")
+    merged = windows.groupBy(*key, "run").agg(best)
+    share = F.col("best.held") / F.col("pairs")
+    whole = F.when(F.col("phrase"), share == 1).otherwise(share >= COVERAGE)
+    return merged.select(
+        "doc_id", "label", "phrase", (-F.col("best.back")).alias("first"), F.col("best.last").alias("last"),
+        share.alias("share"), whole.alias("stands"),
     )
-    return merged.select("doc_id", "label", "phrase", "first", "last", share.alias("share"), whole.alias("stands"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document with its words, phrases, labels and ``score``, the largest share of a template.
 
-    A null or empty text has no words and no labels, and score 0. Rows that repeat an id count as one document
-    (their words and places add up); rows without an id are left out; an empty table gives no rows; further
+    A null or empty text has no words and no labels, and score 0. Rows that repeat an id are one document: their
+    words and places add up, and no template is put together from several rows; rows without an id are left out; an empty table gives no rows; further
     columns are ignored.
     """
     hits = materialize(votes(docs, id_col, text_col), "license-hits")
@@ -173,30 +184,32 @@ def sql() -> str:
     return rf"""
 WITH templates(gram, template, label, phrase, place, pairs, length) AS (VALUES {rows}),
 texts AS (
-  SELECT doc_id, regexp_extract_all(
+  SELECT doc_id, row_number() OVER () AS text_no, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
 ), grams AS (
-  SELECT doc_id, i - 1 AS pos, words[i] || ' ' || words[i + 1] AS gram
-  FROM (SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM texts) t
+  SELECT doc_id, text_no, i - 1 AS pos, words[i] || ' ' || words[i + 1] AS gram
+  FROM (SELECT doc_id, text_no, words, unnest(range(1, len(words))) AS i FROM texts) t
 ), diagonals AS (
-  SELECT doc_id, template, label, phrase, pairs, length, pos - place AS diagonal, list(DISTINCT place) AS places,
+  SELECT doc_id, text_no, template, label, phrase, pairs, length, pos - place AS diagonal, list(DISTINCT place) AS places,
          min(pos) AS first, max(pos) + 1 AS last
   FROM grams JOIN templates USING (gram) GROUP BY ALL
 ), marked AS (
   SELECT *, CASE WHEN phrase OR diagonal - lag(diagonal, 1, -1000000000) OVER w > {DRIFT} THEN 1 ELSE 0 END AS starts
-  FROM diagonals WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
+  FROM diagonals WINDOW w AS (PARTITION BY text_no, template ORDER BY diagonal)
 ), runs AS (
-  SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM marked
-), merged AS (
-  SELECT doc_id, template, label, phrase, pairs, length, run, len(list_distinct(flatten(list(places)))) AS held,
-         min(first) AS first, max(last) AS last
-  FROM runs GROUP BY doc_id, template, label, phrase, pairs, length, run
+  SELECT *, sum(starts) OVER (PARTITION BY text_no, template ORDER BY diagonal) AS run FROM marked
+), windows AS (
+  SELECT a.doc_id, a.text_no, a.template, a.label, a.phrase, a.pairs, a.run, a.diagonal, a.first,
+         len(list_distinct(flatten(list(b.places)))) AS held
+  FROM runs a JOIN runs b ON a.text_no = b.text_no AND a.template = b.template AND a.run = b.run
+   AND b.first >= a.first AND b.last - a.first < 2 * a.length
+  GROUP BY a.doc_id, a.text_no, a.template, a.label, a.phrase, a.pairs, a.run, a.diagonal, a.first
 ), spans AS (
-  SELECT doc_id, label, phrase, first, held / CAST(pairs AS DOUBLE) AS share,
-         CASE WHEN phrase THEN held = pairs
-              ELSE held / CAST(pairs AS DOUBLE) >= CAST({COVERAGE} AS DOUBLE) AND last - first < 2 * length END AS stands
-  FROM merged
+  SELECT doc_id, label, phrase, arg_max(first, held * 1000000000 - first) AS first, max(held) / CAST(pairs AS DOUBLE) AS share,
+         CASE WHEN phrase THEN max(held) = pairs
+              ELSE max(held) / CAST(pairs AS DOUBLE) >= CAST({COVERAGE} AS DOUBLE) END AS stands
+  FROM windows GROUP BY doc_id, text_no, template, label, phrase, pairs, run
 ), found AS (
   SELECT doc_id, count(*) FILTER (phrase AND stands) AS n_base, min(first) FILTER (phrase AND stands) AS first_word,
          max(first) FILTER (phrase AND stands) AS last_word,
@@ -204,9 +217,9 @@ texts AS (
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (stands) AS labels, max(share) AS score
   FROM spans GROUP BY doc_id
 )
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+SELECT doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
-FROM texts LEFT JOIN found USING (doc_id)
+FROM (SELECT doc_id, CAST(sum(len(words)) AS BIGINT) AS n_words FROM texts WHERE doc_id IS NOT NULL GROUP BY doc_id) counted LEFT JOIN found USING (doc_id)
 """
 
 

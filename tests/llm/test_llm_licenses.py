@@ -43,6 +43,24 @@ def test_notices_with_changed_words(spark):
     assert rows[0].score == 1 and 0.6 <= rows[1].score < 1 and rows[2].score < 0.6
 
 
+def test_noise_around_a_notice_does_not_hide_it(spark):
+    notice, words = licenses.NOTICES[0][0], len(licenses.NOTICES[0][0].split())
+    texts = ["permission is " * 30 + notice, notice + " permission is hereby granted" * 40, "permission is hereby " * 200]
+    rows = {r.doc_id: r for r in licenses.scan(table_of(spark, texts)).collect()}
+    assert [(rows[i].labels, rows[i].score) for i in (0, 1)] == [("mit", 1)] * 2 and rows[2].labels == ""
+    hits = licenses.votes(table_of(spark, texts[1:2]))
+    best = licenses.spans(hits).where("stands").first()
+    assert best["first"] == 0 and best["last"] >= words - 1
+
+
+def test_rows_that_repeat_an_id_add_up(spark):
+    notice = licenses.NOTICES[0][0].split()
+    half = len(notice) // 2
+    rows = [(1, "mit license"), (1, "mit license"), (2, " ".join(notice[:half])), (2, " ".join(notice[half:])), (3, "a"), (3, None)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert base(found[1]) == (4, 2, 0, 0, "mit") and found[2].labels == "" and base(found[3]) == (1, 0, None, None, "")
+
+
 def test_spans_are_word_places(spark):
     hits = licenses.votes(table_of(spark, ["a b mit license c", "x " + licenses.NOTICES[3][0]]))
     found = {(r.doc_id, r.label, r.first, r.last) for r in licenses.spans(hits).where("stands").collect()}
