@@ -51,6 +51,7 @@ def score_lines(
         },
         layout("live", "summary"),
         bad_path=layout("live", "malformed"),
+        commit_path=layout("live", "commits"),
     )
     name = f"scoring-{uuid.uuid4().hex}"
     if listener:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
@@ -11,8 +12,9 @@ from flowlens.functions.predicates import flag_anomaly
 from flowlens.queries.modelling import fitted_scorer
 from flowlens.queries.registry import FLOW_FEATURES, flows, query, table
 from flowlens.sources.documents import read_metrics
-from flowlens.sources.tables import read_table
+from flowlens.sources.tables import read_table, write_batch
 from flowlens.sources.wire import parse_wire, replay_stream, split_malformed, to_wire, wire_schema
+from flowlens.streaming.commits import compact, drop_compacted, publish, read_committed, write_run
 from flowlens.streaming.scoring import batch_writer, start_scoring
 from flowlens.streaming.sla import SlaListener
 from flowlens.workspace import shared_dir
@@ -127,6 +129,93 @@ def stream_sink_scores(spark, sf):
     return forest.drop("batch_id").join(clusters.drop("batch_id"), "event_id")
 
 
+class Stopped(Exception):
+    """What a writer raises that stops half-way."""
+
+
+def five_batches(spark, sf):
+    """Events as a stream of five micro-batches, whatever their number."""
+    rows = table(spark, sf, "events").select("event_id", "value", "event_type")
+    path = shared_dir(spark, "wire")
+    size = -(-rows.count() // 10) or 1
+    to_wire(rows, tail=["event_type"]).coalesce(1).write.option("maxRecordsPerFile", size).text(path)
+    return parse_wire(replay_stream(spark, path, 2), EVENT_SCHEMA)
+
+
+def committing_writer(paths):
+    return batch_writer(
+        linear_score,
+        {paths["forest"]: ["event_id", "prediction", "label"], paths["clusters"]: ["event_id", "distanceToCentroid", "is_anomaly"]},
+        paths["summary"],
+        commit_path=paths["commits"],
+    )
+
+
+@query(
+    "stream_commit_restart",
+    f"""SELECT CAST(event_id AS DOUBLE) AS event_id, event_type AS label,
+    CASE WHEN value > {2 * CUT} THEN CAST(2 AS DOUBLE) WHEN value > {CUT} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction,
+    value AS "distanceToCentroid", CASE WHEN value > {CUT} THEN 1 ELSE 0 END AS is_anomaly,
+    TRUE AS torn_in_folders, TRUE AS whole_to_readers FROM events""",
+)
+def stream_commit_restart(spark, sf):
+    """A writer stops after the first sink of its third batch; restarted, the stream ends with every row once.
+
+    In between the folders are torn, but readers of committed batches see two whole ones.
+    """
+    paths = sink_paths(spark) | {"commits": shared_dir(spark, "commits")}
+    stream, checkpoint = five_batches(spark, sf), shared_dir(spark, "checkpoint")
+    whole = committing_writer(paths)
+
+    def half(batch, batch_id):
+        if batch_id < 2:
+            return whole(batch, batch_id)
+        write_batch(linear_score(batch), paths["forest"], batch_id, ["event_id", "prediction", "label"])
+        raise Stopped
+
+    try:
+        run(start_scoring(stream, half, checkpoint, trigger=None))
+    except StreamingQueryException:
+        pass
+    folders = [read_table(spark, paths[s]).select("batch_id").distinct().count() for s in ("forest", "clusters")]
+    seen = [read_committed(spark, paths[s], paths["commits"]) for s in ("forest", "clusters")]
+    kept = seen[0].select("event_id").exceptAll(seen[1].select("event_id")).count() == 0
+    batches = [x.select("batch_id").distinct().count() for x in seen]
+    run(start_scoring(stream, whole, checkpoint, trigger=None))
+    forest, clusters = (read_committed(spark, paths[s], paths["commits"]).drop("batch_id") for s in ("forest", "clusters"))
+    facts = {"torn_in_folders": F.lit(folders == [3, 2]), "whole_to_readers": F.lit(kept and batches == [2, 2])}
+    return forest.join(clusters, "event_id").withColumns(facts)
+
+
+@query(
+    "stream_compaction",
+    """SELECT state, count(*) AS n, count(DISTINCT event_id) AS events, round(sum(value), 3) AS total, TRUE AS in_folders
+    FROM events, (VALUES ('before'), ('written'), ('published'), ('dropped'), ('again')) s(state) GROUP BY state""",
+)
+def stream_compaction(spark, sf):
+    """What a reader sees before, during and after the compaction of three batches, and of the rest: every row once."""
+    paths = sink_paths(spark) | {"commits": shared_dir(spark, "commits")}
+    run(start_scoring(five_batches(spark, sf), committing_writer(paths), shared_dir(spark, "checkpoint"), trigger=None))
+    sink, found = paths["clusters"], []
+
+    def look(state: str, folders: int) -> None:
+        rows = read_committed(spark, sink, paths["commits"])
+        figures = rows.agg(F.count("*"), F.countDistinct("event_id"), F.round(F.sum("distanceToCentroid"), 3)).first()
+        there = read_table(spark, sink).select("batch_id").distinct().count()
+        found.append((state, *figures, there == folders))
+
+    look("before", 5)
+    name = write_run(spark, sink, paths["commits"], before=3)
+    look("written", 5)
+    publish(spark, sink, name)
+    look("published", 5)
+    drop_compacted(spark, sink, "0 seconds")
+    look("dropped", 2)
+    compact(spark, sink, paths["commits"])
+    look("again", 2)
+    return spark.createDataFrame(found, "state string, n long, events long, total double, in_folders boolean")
+
+
 @query(
     "stream_batch_summary",
     f"""SELECT count(*) AS n, count(*) FILTER (value <= {CUT}) AS rf_benign, count(*) FILTER (value > {CUT}) AS rf_anomaly,

@@ -21,6 +21,7 @@ from flowlens.functions.predicates import all_finite, flag_anomaly
 from flowlens.operators.clustering import centroid_side, centroid_table, distance_to_side
 from flowlens.sources.tables import write_batch
 from flowlens.sources.wire import CORRUPT
+from flowlens.streaming.commits import commit, is_committed
 
 DISTANCE = "distanceToCentroid"
 FOREST_SINK = [K.PREDICTION, K.LABEL, K.LABEL_INDEX]
@@ -120,6 +121,7 @@ def batch_writer(
     summary_path: str | None = None,
     summarise: Callable[[DataFrame], DataFrame] = batch_summary,
     bad_path: str | None = None,
+    commit_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function a stream calls per micro-batch: score once, write each sink, write a summary row.
 
@@ -128,12 +130,16 @@ def batch_writer(
     is scored twice; then the sinks, which do not depend on each other, are written at the same
     time; any failure fails the batch. The summary follows with ``proc_ms``, the time all this took.
 
+    With ``commit_path`` the batch gets a commit record after all else; ``read_committed`` shows it from then on, and a batch
+    that has one isn't written again.
     With ``bad_path`` the batch comes from ``parse_wire_checked``: malformed lines go there and aren't scored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         start = time.monotonic()
         spark = batch.sparkSession
+        if commit_path and is_committed(spark, commit_path, batch_id):
+            return
         tasks = []
         if bad_path:
             bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
@@ -151,6 +157,8 @@ def batch_writer(
                 took = int((time.monotonic() - start) * 1000)
                 extra = [F.expr("date_format(current_timestamp(), 'HH:mm:ss') AS ts"), F.lit(took).cast("long").alias("proc_ms")]
                 write_batch(summarise(scored).select("*", *extra).coalesce(1), summary_path, batch_id)
+            if commit_path:
+                commit(spark, commit_path, batch_id, rows)
         finally:
             scored.unpersist()
 
