@@ -1,8 +1,8 @@
 """Running counts over a score, and what follows from them: exact quantiles, ROC curve, AUC.
 
 A score column of a large table has a total order that no single task should see. Equal scores are
-collapsed first (a score shared by a third of all rows becomes one row map-side), the distinct
-scores are cut into ranges of similar weight, sums run inside each range, and the totals of the
+collapsed first (a score shared by a third of all rows becomes one row map-side) and written once, the distinct
+scores are cut into ranges of similar size, sums run inside each range, and the totals of the
 ranges before it are added from a table with one row per range.
 """
 
@@ -20,18 +20,15 @@ from flowlens.workspace import materialize
 SCORES_PER_RANGE = 1 << 20
 
 
-def _range_count(scores: DataFrame) -> int:
-    """So many ranges that each holds about ``SCORES_PER_RANGE`` distinct scores, and at least eight.
+def _range_edges(cells: DataFrame, ranges: int | None) -> list[float]:
+    """The borders of ranges that each hold about ``SCORES_PER_RANGE`` distinct scores, or of ``ranges`` ranges.
 
-    The number of distinct scores is estimated with a sketch, in one pass.
+    ``cells`` has one row per distinct score and is a written table, so that counting it reads no data and its
+    quantiles are those of the distinct scores, however many rows share one.
     """
-    distinct = scores.agg(F.approx_count_distinct("score")).first()[0]
-    return max(8, -(-distinct // SCORES_PER_RANGE))
-
-
-def _range_edges(scores: DataFrame, ranges: int) -> list[float]:
+    ranges = ranges or -(-cells.count() // SCORES_PER_RANGE)
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = scores.approxQuantile("score", steps, 0.5 / ranges)
+    cuts = cells.approxQuantile("score", steps, 0.5 / ranges) if steps else []
     inner = sorted({c for c in cuts if abs(c) != float("inf")}) or [0.0]
     return [-float("inf"), *inner, float("inf")]
 
@@ -51,8 +48,8 @@ def running_counts(
     scored = df.where(F.col(score).isNotNull()).select(
         F.col(score).cast("double").alias("score"), *[c.cast("long").alias(n) for n, c in counts.items()]
     )
-    cells = scored.groupBy("score").agg(*[F.sum(n).alias(n) for n in counts])
-    edges = _range_edges(scored, ranges or _range_count(scored))
+    cells = materialize(scored.groupBy("score").agg(*[F.sum(n).alias(n) for n in counts]), "scores")
+    edges = _range_edges(cells, ranges)
     ranged = Bucketizer(splits=edges, inputCol="score", outputCol="range", handleInvalid="keep").transform(cells)
 
     def order(col: str) -> Column:
