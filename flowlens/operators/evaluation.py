@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -231,6 +231,17 @@ def compare_models(base: DataFrame | None, optimised: DataFrame, metrics: Sequen
     return compared.select("metric", "base", "optimised", (F.col("optimised") - F.col("base")).alias("change"))
 
 
+def compare_reports(spark: SparkSession, base: Mapping, optimised: Mapping) -> list[dict]:
+    """``compare_models`` of two reports given as values: their single figures, those without one as NULL."""
+    figures = [m for m, x in optimised.items() if not isinstance(x, (dict, list, str))]
+
+    def one_row(report: Mapping) -> DataFrame:
+        values = [None if report.get(m) is None else float(report[m]) for m in figures]
+        return spark.createDataFrame([tuple(values)], ", ".join(f"{m} double" for m in figures))
+
+    return [r.asDict() for r in compare_models(one_row(base), one_row(optimised), figures).orderBy("metric").collect()]
+
+
 def run_figures(rows: int, seconds: float, partitions: int) -> dict:
     """Throughput and cost per record of a timed run."""
     return {

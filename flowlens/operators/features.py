@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
@@ -31,6 +31,53 @@ def apply_label_index(
     return df.join(known, label, "left").withColumn(index, F.coalesce(index, F.lit(unknown)))
 
 
+def label_key(label: Column) -> Column:
+    """What spellings of one label have in common: no case, no white space around it, single spaces inside."""
+    return F.lower(F.trim(F.regexp_replace(label, r"\s+", " ")))
+
+
+def fit_label_dictionary(train: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX) -> DataFrame:
+    """``key``, ``label``, index and ``n`` of every label, however it is spelled.
+
+    The label shown is the most frequent spelling, of equals the first alphabetically; index 0 goes to the most
+    frequent label, ties go by key. Missing and blank labels are none. Rows are counted per spelling
+    first, so that no more than one row per spelling and task travels.
+    """
+    spelled = label_spellings(train, label)
+    shown = F.min_by("spelling", F.struct(-F.col("n"), F.col("spelling"))).alias(label)
+    labels = spelled.groupBy("key").agg(shown, F.sum("n").alias("n"))
+    by_frequency = Window.orderBy(F.desc("n"), F.asc("key"))
+    return labels.withColumn(index, (F.row_number().over(by_frequency) - 1).cast("double"))
+
+
+def label_spellings(df: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """``key``, ``spelling`` and its number of rows ``n``."""
+    counts = df.select(F.col(label).alias("spelling")).groupBy("spelling").agg(F.count("*").alias("n"))
+    return counts.withColumn("key", label_key(F.col("spelling"))).where("key <> ''").select("key", "spelling", "n")
+
+
+def label_collisions(df: DataFrame, label: str = K.LABEL) -> DataFrame:
+    """The spellings of labels that have several: a row for each, with the label's number of them."""
+    spelled = label_spellings(df, label)
+    several = spelled.groupBy("key").agg(F.count("*").alias("spellings")).where("spellings > 1")
+    return spelled.join(several, "key")
+
+
+def apply_label_dictionary(
+    df: DataFrame, dictionary: DataFrame, label: str = K.LABEL, index: str = K.LABEL_INDEX, shown: str | None = None
+) -> DataFrame:
+    """Add the index of each row's label, by its key; works on tables and streams.
+
+    Unknown, missing and blank labels share the first index after the known ones. ``shown`` names a column for
+    the dictionary's spelling, the row's own where it is unknown.
+    """
+    known = sized(dictionary.select("key", F.col(label).alias("__label"), F.col(index).alias("__index")))
+    unknown = float(known.count())
+    found = df.withColumn("__key", label_key(F.col(label))).join(known.withColumnRenamed("key", "__key"), "__key", "left")
+    added = {index: F.coalesce("__index", F.lit(unknown))} | ({shown: F.coalesce("__label", F.col(label))} if shown else {})
+    return found.withColumns(added).drop("__key", "__label", "__index")
+
+
 def feature_order(cols: Sequence[str]) -> list[str]:
     """The layout of every feature vector: alphabetical."""
     return sorted(cols)

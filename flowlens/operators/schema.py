@@ -69,6 +69,27 @@ def castable_profile(df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES) ->
     return counts.select(F.inline(F.array(*entries))).withColumn("is_numeric", numeric)
 
 
+def cast_failures(df: DataFrame, by: str = K.SPLIT, exclude: Iterable[str] = K.NON_FEATURES) -> DataFrame:
+    """Per value of ``by`` and column: rows, NULLs, values that cast to double, and values that fail to.
+
+    Columns become rows and are counted in two steps, within tasks and then by split and column, so that a table
+    of thousands of columns is no aggregate of thousands of counts.
+    """
+    cols = [c for c in df.columns if c != by and c not in set(exclude)]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], f"`{by}` string, column string, row_count long, nulls long, castable long, failed long"
+        )
+    texts = df.select(F.col(by), *[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
+    long = texts.unpivot([by], cols, "column", "value")
+    return long.groupBy(by, "column").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("value").isNull()).alias("nulls"),
+        F.count(F.col("value").try_cast("double")).alias("castable"),
+        F.count_if(F.col("value").isNotNull() & F.col("value").try_cast("double").isNull()).alias("failed"),
+    )
+
+
 def detect_numeric(df: DataFrame, exclude: Iterable[str] = K.NON_FEATURES) -> list[str]:
     """Names of the numeric columns, in table order."""
     found = {r[0] for r in castable_profile(df, exclude).where("is_numeric").select("column").collect()}

@@ -20,7 +20,7 @@ from flowlens.operators.clustering import (
     fit_kmeans,
     silhouette,
 )
-from flowlens.operators.evaluation import evaluate_at_threshold, run_figures, score_by_class, unseen_detection
+from flowlens.operators.evaluation import compare_reports, evaluate_at_threshold, run_figures, score_by_class, unseen_detection
 from flowlens.operators.ranking import auc_expr, rank_truth, score_quantiles
 from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
@@ -176,6 +176,7 @@ def optimise_clusters(
     report = {
         "base_model": model_report(spark, layout, base),
         "optimized_model": model_report(spark, layout, name),
+        "comparison": compare_reports(spark, model_report(spark, layout, base), model_report(spark, layout, name)),
         "search_grid": [r.asDict() for r in results.orderBy("position").collect()],  # one row per configuration
         "sample_fraction": fraction,
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowlens import conventions as K
 from flowlens.operators.evaluation import (
     binary_from_cells,
+    compare_reports,
     confusion_cells,
     detection_by_class,
     macro_metrics,
@@ -124,6 +125,7 @@ def optimise_forest(
             "avg_cv_f1": chosen["avg_metric"],
             "crossvalidator_time_s": round(search_seconds, 4),
         },
+        "comparison": compare_reports(spark, model_report(spark, layout, base), model_report(spark, layout, name)),
         "search_config": {**grid, "folds": folds, "sample_fraction": fraction, "combinations": results.count()},
     }
     write_values(spark, report, layout("reports", f"{name}_comparison"))

@@ -21,7 +21,7 @@ _PREPARED: dict[tuple[str, str], Layout] = {}
 def prepared(spark, sf) -> Layout:
     """The dirty rows as raw files of train and test days, prepared once per session and folder.
 
-    Text that is no number would make its column text, so it is missing here. All copies of a split lie in
+    Text that is no number would make its column text, so it is missing here. All copies of a row lie in
     one file, as a row's file is part of the row.
     """
     key = (spark.sparkContext.applicationId, sf)
@@ -34,7 +34,7 @@ def prepared(spark, sf) -> Layout:
         raw = shared_dir(spark, "raw")
         for split, days in (("train", (2, 4, 6)), ("test", (3, 5))):
             part = rows.where(F.col("day").isin(*days)).drop("day")
-            part.coalesce(1).write.option("header", True).csv(f"{raw}/{split}")
+            part.repartition(*part.columns).write.option("header", True).csv(f"{raw}/{split}")
         layout = Layout(shared_dir(spark, "project"))
         prepare(spark, f"{raw}/train", f"{raw}/test", layout)
         _PREPARED[key] = layout

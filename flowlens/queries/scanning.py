@@ -9,6 +9,7 @@ from flowlens.functions.names import normalized
 from flowlens.operators.schema import (
     align_schema,
     cast_features,
+    cast_failures,
     castable_profile,
     detect_numeric,
     normalize_columns,
@@ -264,3 +265,18 @@ def wire_encode(spark, sf):
         "l_quantity", F.col("l_returnflag").alias("label"), "l_linenumber"
     )
     return to_wire(df)
+
+
+FAILED_COLUMNS = {"q_txt": "q_txt", "p_txt": "p_txt", "flag": "label", "l_partkey": "l_partkey"}
+FAILED_SQL = " UNION ALL ".join(
+    f"""SELECT l_linenumber % 2 AS half, '{name}' AS "column", count(*) AS row_count, count(*) - count({c}) AS nulls,
+    count(TRY_CAST({c} AS DOUBLE)) AS castable, count({c}) - count(TRY_CAST({c} AS DOUBLE)) AS failed FROM @dirty GROUP BY 1"""
+    for name, c in FAILED_COLUMNS.items()
+)
+
+
+@query("cast_failures", FAILED_SQL)
+def cast_failures_query(spark, sf):
+    """Text that is no number told apart from missing values, by column and split."""
+    rows = dirty(spark, sf).select((F.col("l_linenumber") % 2).alias("half"), *[F.col(c).alias(n) for n, c in FAILED_COLUMNS.items()])
+    return cast_failures(rows, "half", exclude=[])

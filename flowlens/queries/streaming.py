@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import flag_anomaly
+from flowlens.operators.features import apply_label_dictionary, fit_label_dictionary, label_collisions
 from flowlens.queries.modelling import fitted_scorer
 from flowlens.queries.registry import FLOW_FEATURES, flows, query, table
 from flowlens.sources.documents import read_metrics
@@ -151,6 +152,24 @@ def committing_writer(paths):
     )
 
 
+@query(
+    "label_dictionary_stream",
+    """SELECT event_type AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE) AS label_index, count(*) AS n,
+    CAST(3 AS BIGINT) AS spellings FROM events GROUP BY event_type""",
+)
+def label_dictionary_stream(spark, sf):
+    """A dictionary fitted on one way of writing labels gives a stream that writes them otherwise the same index."""
+    dictionary = fit_label_dictionary(table(spark, sf, "events").select(F.col("event_type").alias("label")))
+    spelled = F.when(F.col("event_id") % 3 == 0, F.upper("event_type")).when(F.col("event_id") % 3 == 1, F.initcap("event_type"))
+    rows = table(spark, sf, "events").withColumn("event_type", F.coalesce(spelled, F.col("event_type")))
+    stream = parse_wire(replayed(spark, to_wire(rows.select("event_id", "value", "event_type"), tail=["event_type"])), EVENT_SCHEMA)
+    indexed = apply_label_dictionary(stream.withColumnRenamed("event_type", "written"), dictionary.withColumnRenamed("label", "written"), "written", shown="label")
+    found = run_to_table(spark, indexed.select("written", "label", K.LABEL_INDEX), "indexed")
+    several = label_collisions(found, "written").select("key", "spellings").distinct()
+    counts = found.groupBy("label", K.LABEL_INDEX).agg(F.count("*").alias("n"))
+    return counts.join(several.withColumnRenamed("key", "label"), "label")
+
+
 @query(
     "stream_commit_restart",
     f"""SELECT CAST(event_id AS DOUBLE) AS event_id, event_type AS label,

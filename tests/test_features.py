@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import joins
 from flowlens.operators.features import (
+    apply_label_dictionary,
     apply_label_index,
     assemble,
     attach_class_name,
     class_weights,
+    fit_label_dictionary,
     fit_label_index,
     fit_scaler,
+    label_collisions,
     scale,
     weighted_training_set,
 )
@@ -92,3 +95,25 @@ def test_class_name_marker(spark):
     assert {r.idx: r.c for r in attach_class_name(df, names, "idx", "c").collect()} == {0.0: "x", 1.0: "y", 2.0: "__unseen__"}
     marked = attach_class_name(df, names, "idx", "c", F.concat(F.lit("idx_"), F.col("idx").cast("int").cast("string")))
     assert {r.c for r in marked.collect()} == {"x", "y", "idx_2"}
+
+
+def test_label_dictionary_joins_spellings(spark):
+    rows = [("DoS Hulk",), ("dos hulk ",), ("DoS Hulk",), (" DOS   HULK",), ("Benign",), ("BENIGN",), ("Bot",), (None,), ("  ",)]
+    train = spark.createDataFrame(rows, "label string")
+    known = {r.key: (r.label, r.label_index, r.n) for r in fit_label_dictionary(train).collect()}
+    # of two spellings with one row each the first alphabetically is shown
+    assert known == {"dos hulk": ("DoS Hulk", 0.0, 4), "benign": ("BENIGN", 1.0, 2), "bot": ("Bot", 2.0, 1)}
+    found = {(r.key, r.spelling, r.n, r.spellings) for r in label_collisions(train).collect()}
+    assert found == {
+        ("dos hulk", "DoS Hulk", 2, 3), ("dos hulk", "dos hulk ", 1, 3), ("dos hulk", " DOS   HULK", 1, 3),
+        ("benign", "Benign", 1, 2), ("benign", "BENIGN", 1, 2),
+    }
+    test = spark.createDataFrame([("dos\tHulk",), ("BOT",), ("new",), (None,), ("",)], "label string")
+    got = {r.label: (r.label_index, r.name) for r in apply_label_dictionary(test, fit_label_dictionary(train), shown="name").collect()}
+    assert got == {"dos\tHulk": (0.0, "DoS Hulk"), "BOT": (2.0, "Bot"), "new": (3.0, "new"), None: (3.0, None), "": (3.0, "")}
+
+
+def test_label_dictionary_of_nothing(spark):
+    none = spark.createDataFrame([(None,)], "label string")
+    assert fit_label_dictionary(none).count() == 0 and label_collisions(none).count() == 0
+    assert apply_label_dictionary(none, fit_label_dictionary(none)).first().label_index == 0

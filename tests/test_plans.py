@@ -113,9 +113,14 @@ def test_optimise(spark, project):
     assert [r["k"] for r in clusters["search_grid"]] == [2, 3]
     assert clusters["base_model"]["hyperparameters"]["k"] == 4
     assert clusters["optimized_model"]["hyperparameters"]["k"] in (2, 3)
+    compared = {r["metric"]: r for r in clusters["comparison"]}
+    assert "hyperparameters" not in compared
+    assert compared["wssse"]["change"] == compared["wssse"]["optimised"] - compared["wssse"]["base"]
+    assert compared["wssse"]["base"] == clusters["base_model"]["wssse"]
     missing = optimise_forest(spark, layout, base="never_trained", grid={"trees": [3], "depth": [2, 4], "subset": ["sqrt"]}, folds=2)
     assert missing["base_model"]["f1_weighted"] is None and missing["base_model"]["hyperparameters"] == K.FOREST
     assert missing["search_config"]["combinations"] == 2
+    assert all(r["base"] is None for r in missing["comparison"] if r["metric"] in ("f1_weighted", "accuracy"))
     assert missing["optimized_model"]["avg_cv_f1"] > 0
 
 

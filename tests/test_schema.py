@@ -6,6 +6,7 @@ from flowlens.functions.names import normalize_name, normalized
 from flowlens.operators.schema import (
     align_schema,
     cast_features,
+    cast_failures,
     castable_profile,
     detect_numeric,
     normalize_columns,
@@ -120,3 +121,17 @@ def test_union_by_name(spark):
 
 def test_wire_schema():
     assert wire_schema(["a", "b"]) == "`a` double, `b` double, `label` string"
+
+
+def test_cast_failures_of_thousands_of_columns(spark):
+    n = 2000
+    names = [f"c{i}" for i in range(n)]
+    rows = [("a", *["1.5"] * n), ("a", *[None if i % 2 else "x" for i in range(n)]), ("b", *["NaN"] * n)]
+    df = spark.createDataFrame(rows, ", ".join(["split string", *(f"{c} string" for c in names)]))
+    found = {(r.split, r.column): tuple(r[2:]) for r in cast_failures(df, "split").collect()}
+    assert len(found) == 2 * n
+    assert found["a", "c0"] == (2, 0, 1, 1) and found["a", "c1"] == (2, 1, 1, 0) and found["b", "c7"] == (1, 0, 1, 0)
+
+
+def test_cast_failures_of_no_columns(spark):
+    assert cast_failures(spark.createDataFrame([("a",)], "split string"), "split").count() == 0
