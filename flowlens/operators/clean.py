@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import all_finite, all_values, infinity_as_nan
+from flowlens.workspace import materialize
+
+#: Repeated hashes that may be broadcast, 16 bytes each.
+BROADCAST_HASHES = 500_000
+#: From so many columns on, three reads with exchanged hashes are taken rather than one with exchanged rows.
+WIDE_COLUMNS = 16
 
 
 def drop_invalid(df: DataFrame, numeric: Sequence[str], label: str = K.LABEL) -> DataFrame:
@@ -47,11 +53,34 @@ def dedup(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     return kept.select(*[F.col(f"kept.{c}").alias(c) if c in ignore else F.col(c) for c in df.columns])
 
 
+def dedup_by_hash(df: DataFrame, ignore: Sequence[str] = (), most: int = BROADCAST_HASHES) -> DataFrame:
+    """``dedup`` for wide rows with few copies: hashes travel instead of rows.
+
+    A first job shuffles 128 bits per row and writes the hashes that occur more than once. A row whose hash occurs once
+    is distinct and never leaves its task; the others are compared in full, so that two texts of one
+    hash stay two rows. Where more than ``most`` hashes repeat, they are too many to send to every task, and
+    ``dedup`` shuffles the rows. The rows are read three times: give a written table or a plain scan of one, whose
+    rows are the same each time.
+    """
+    content = [F.col(f"`{c}`") for c in df.columns if c not in ignore]
+    halves = F.struct(F.xxhash64(*content), F.xxhash64(F.lit(1), *content))  # two seeds
+    hashes = df.select(halves.alias("__hash")).groupBy("__hash").agg(F.count("*").alias("n"))
+    repeated = materialize(hashes.where("n > 1").select("__hash"), "hashes")
+    if repeated.count() > most:
+        return dedup(df, ignore)
+    known, rows = F.broadcast(repeated), df.withColumn("__hash", halves)
+    single = rows.join(known, "__hash", "left_anti").select(*df.columns)
+    copies = rows.join(known, "__hash", "left_semi").select(*df.columns)
+    return single.unionByName(dedup(copies, ignore))
+
+
 def clean_rows(
     df: DataFrame, numeric: Sequence[str], label: str = K.LABEL, ignore: Sequence[str] = ()
 ) -> DataFrame:
-    """Drop invalid rows, then duplicates."""
-    return dedup(drop_invalid(df, numeric, label), ignore)
+    """Drop invalid rows, then duplicates: of wide rows by their hashes, which reads them three times
+    (see ``dedup_by_hash``)."""
+    valid = drop_invalid(df, numeric, label)
+    return (dedup_by_hash if len(df.columns) >= WIDE_COLUMNS else dedup)(valid, ignore)
 
 
 STEPS = [("nulls", "n0", "n1"), ("infinite", "n1", "n2"), ("duplicates", "n2", "n3")]

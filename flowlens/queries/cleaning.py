@@ -13,7 +13,7 @@ from flowlens.functions.predicates import (
     value_band,
     weekday_token,
 )
-from flowlens.operators.clean import clean_audit, clean_rows, dedup, drop_invalid, drop_nan, drop_nulls, inf_to_nan
+from flowlens.operators.clean import clean_audit, clean_rows, dedup_by_hash, drop_invalid, drop_nan, drop_nulls, inf_to_nan
 from flowlens.operators.evaluation import benign_rows, classes_in, match_classes
 from flowlens.operators.sampling import bernoulli_sample, hash_sample, stratified_sample
 from flowlens.operators.schema import route_split, with_split
@@ -54,6 +54,18 @@ def clean_dedup(spark, sf):
     return clean_rows(typed(spark, sf), NUMERIC)
 
 
+@query(
+    "clean_dedup_wide",
+    """SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_partkey % 20 = 0) rows
+    WHERE l_returnflag IS NOT NULL AND l_quantity IS NOT NULL AND l_tax IS NOT NULL""",
+)
+def clean_dedup_wide(spark, sf):
+    """Whole rows of lineitem, a twentieth of them twice: only hashes and the copies are shuffled."""
+    rows = table(spark, sf, "lineitem")
+    again = rows.where("l_partkey % 20 = 0")
+    return clean_rows(rows.unionAll(again), ["l_quantity", "l_tax"], "l_returnflag")
+
+
 COPIES_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, 'a.csv' AS _source_file FROM @valid
     UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, 'b.csv' FROM @valid WHERE l_partkey % 3 = 0"""
 
@@ -67,7 +79,7 @@ def clean_dedup_content(spark, sf):
     """Copies that differ only in the file they come from count as copies."""
     rows = drop_invalid(typed(spark, sf), NUMERIC)
     again = rows.where("l_partkey % 3 = 0").withColumn("_source_file", F.lit("b.csv"))
-    return dedup(rows.withColumn("_source_file", F.lit("a.csv")).unionByName(again), ignore=["_source_file"])
+    return dedup_by_hash(rows.withColumn("_source_file", F.lit("a.csv")).unionByName(again), ignore=["_source_file"])
 
 
 @query(

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from flowlens.operators.clean import clean_audit, clean_rows, dedup, drop_invalid, drop_nan, drop_nulls, inf_to_nan
+from flowlens.operators.clean import clean_audit, clean_rows, dedup, dedup_by_hash, drop_invalid, drop_nan, drop_nulls, inf_to_nan
 
 INF, NAN = float("inf"), float("nan")
 ROWS = [
@@ -34,6 +34,28 @@ def test_dedup_by_content_keeps_one_source(spark):
     assert dedup(df, ignore=["src"]).columns == ["x", "src"]
 
 
+def test_dedup_by_hash_equals_dedup(spark):
+    rows = [
+        (0.0, "a", [1.0], "f2"), (-0.0, "a", [1.0], "f1"), (NAN, None, None, "f3"), (-NAN, None, None, "f4"),
+        (None, "a", [0.0], "f5"), (None, "a", [-0.0], "f6"), (None, "a", [], "f7"), (1.0, None, [NAN], "f8"),
+    ] * 2 + [(1.0, "b", [None], "f9"), (None, None, None, None)]  # nulls are skipped by hashes: many share one
+    df = spark.createDataFrame(rows, "x double, name string, v array<double>, src string")
+    for ignore in ([], ["src"], ["src", "x"]):
+        whole = sorted(map(str, dedup(df, ignore).collect()))
+        for most in (0, 100):
+            assert sorted(map(str, dedup_by_hash(df, ignore, most).collect())) == whole
+    assert dedup_by_hash(df.limit(0)).count() == 0
+
+
+def test_single_rows_are_not_shuffled(spark):
+    df = spark.range(100).union(spark.range(5)).select("id", F.repeat(F.lit("x"), 50).alias("wide"))
+    once = dedup_by_hash(df)
+    assert once.count() == 100
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("hashpartitioning") == 1  # that of the copies
+
+
 def test_audit_both_ways(spark):
     df = frame(spark)
     full = [tuple(r) for r in clean_audit(df, ["x", "y"]).orderBy("step_no").collect()]
