@@ -18,7 +18,7 @@ from flowlens.operators.schema import (
     union_by_name,
 )
 from flowlens.queries.registry import dirty, query, table
-from flowlens.sources.csv import list_csv, read_csv_files, read_raw_csv, read_raw_csv_by_name
+from flowlens.sources.csv import read_csv_files, read_raw_csv, read_raw_csv_by_name
 from flowlens.sources.documents import (
     FEATURE_SCHEMA,
     append_metrics,
@@ -72,8 +72,7 @@ def scan_csv_fallback(spark, sf):
     )
     customers.write.option("header", True).csv(f"{path}/customers")
     suppliers.write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/suppliers")
-    files = sorted(r.path for r in list_csv(spark, path).collect())
-    return read_csv_files(spark, files, ("UTF-8", "ISO-8859-1")).drop(K.SOURCE_FILE)
+    return read_csv_files(spark, path, ("UTF-8", "ISO-8859-1")).drop(K.SOURCE_FILE)
 
 
 @query(
@@ -89,8 +88,7 @@ def scan_csv_by_name(spark, sf):
     suppliers = as_text(table(spark, sf, "supplier").select("s_acctbal", "s_suppkey", "s_name"))
     customers.toDF("Acct Key", "Name", "Balance", "Segment").write.option("header", True).csv(f"{path}/customers")
     suppliers.toDF("balance", "ACCT KEY", "name").write.option("header", True).csv(f"{path}/suppliers")
-    files = sorted(r.path for r in list_csv(spark, path).collect())
-    return read_raw_csv_by_name(spark, files).drop(K.SOURCE_FILE)
+    return read_raw_csv_by_name(spark, path).drop(K.SOURCE_FILE)
 
 
 @query(

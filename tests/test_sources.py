@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.sources.csv import (
+    first_lines,
+    group_by_header,
     list_csv,
     read_raw_csv,
     read_raw_csv_by_name,
@@ -73,6 +75,45 @@ def test_repeated_header_names(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path / "empty"))
 
 
+def test_many_files_with_several_headers(spark, tmp_path):
+    for i in range(300):
+        head = ("x,y", "y,x", "\n\nX, y ")[i % 3]
+        put(tmp_path / f"part {i % 7}" / f"a+b %41 {i}.csv", f"{head}\n{i},{-i}\nx,y\n")
+    put(tmp_path / "processed" / "d.csv", "other\n8\n")
+    put(tmp_path / "empty.csv", "")
+    put(tmp_path / "blank.csv", "\n  \n")
+    groups = {bytes(r.header): r.files for r in group_by_header(spark, str(tmp_path)).collect()}
+    assert groups == {b"x,y": 100, b"y,x": 100, b"X, y ": 100}
+    df = read_raw_csv_by_name(spark, str(tmp_path))
+    assert sorted(df.columns) == sorted(["x", "y", K.SOURCE_FILE])
+    wanted = [(str(i), str(-i)) if i % 3 != 1 else (str(-i), str(i)) for i in range(300)]
+    wanted += [("y", "x") if i % 3 == 1 else ("x", "y") for i in range(300)]  # a later line like the header is a row
+    assert sorted((r.x, r.y) for r in df.collect()) == sorted(wanted)
+
+
+def test_one_header_needs_no_list_of_files(spark, tmp_path):
+    for i in range(50):
+        put(tmp_path / f"{i}.csv", f"x,y\n{i},z\n")
+    put(tmp_path / "processed" / "d.csv", "other\n8\n")
+    df = read_raw_csv_by_name(spark, str(tmp_path))
+    assert df.count() == 50 and df.columns == ["x", "y", K.SOURCE_FILE]
+    assert read_raw_csv(spark, str(tmp_path)).count() == 50
+    put(tmp_path / "only" / "empty.csv", "")
+    with pytest.raises(FileNotFoundError):
+        read_raw_csv_by_name(spark, str(tmp_path / "only"))
+
+
+def test_first_line_of_a_file_in_several_splits(spark, tmp_path):
+    put(tmp_path / "a.csv", "x,y\n" + "1,2\n" * 50_000)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        rows = first_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [bytes(r.header) for r in rows] == [b"x,y"]
+
+
 def test_encoding_fallback(spark, tmp_path):
     put(tmp_path / "u.csv", "x,label\n1,señal\n")
     put(tmp_path / "l.csv", "x,label\n2,señal\n", "latin-1")
