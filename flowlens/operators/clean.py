@@ -75,12 +75,18 @@ def dedup_by_hash(df: DataFrame, ignore: Sequence[str] = (), most: int = BROADCA
 
 
 def clean_rows(
-    df: DataFrame, numeric: Sequence[str], label: str = K.LABEL, ignore: Sequence[str] = ()
+    df: DataFrame,
+    numeric: Sequence[str],
+    label: str = K.LABEL,
+    ignore: Sequence[str] = (),
+    by_hash: bool | None = None,
 ) -> DataFrame:
-    """Drop invalid rows, then duplicates: of wide rows by their hashes, which reads them three times
-    (see ``dedup_by_hash``)."""
+    """Drop invalid rows, then duplicates. Unless ``by_hash`` says otherwise, those of wide rows are found by
+    hashes, which reads the rows three times (see ``dedup_by_hash``)."""
     valid = drop_invalid(df, numeric, label)
-    return (dedup_by_hash if len(df.columns) >= WIDE_COLUMNS else dedup)(valid, ignore)
+    if by_hash is None:
+        by_hash = len(df.columns) >= WIDE_COLUMNS
+    return (dedup_by_hash if by_hash else dedup)(valid, ignore)
 
 
 STEPS = [("nulls", "n0", "n1"), ("infinite", "n1", "n2"), ("duplicates", "n2", "n3")]

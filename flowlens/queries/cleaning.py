@@ -55,15 +55,15 @@ def clean_dedup(spark, sf):
 
 
 @query(
-    "clean_dedup_wide",
+    "clean_dedup_hash",
     """SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_partkey % 20 = 0) rows
     WHERE l_returnflag IS NOT NULL AND l_quantity IS NOT NULL AND l_tax IS NOT NULL""",
 )
-def clean_dedup_wide(spark, sf):
+def clean_dedup_hash(spark, sf):
     """Whole rows of lineitem, a twentieth of them twice: only hashes and the copies are shuffled."""
     rows = table(spark, sf, "lineitem")
     again = rows.where("l_partkey % 20 = 0")
-    return clean_rows(rows.unionAll(again), ["l_quantity", "l_tax"], "l_returnflag")
+    return clean_rows(rows.unionAll(again), ["l_quantity", "l_tax"], "l_returnflag", by_hash=True)
 
 
 COPIES_SQL = """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, q, p, label, 'a.csv' AS _source_file FROM @valid
