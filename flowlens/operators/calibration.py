@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,3 +93,31 @@ def calibrate(
     benign = df.where(F.col(truth) == 0)
     candidates = threshold_candidates(score_quantiles(benign, score, probabilities, rel_err), points)
     return best_threshold(calibrate_grid(df, candidates, score, truth))
+
+
+def fold_of(cols: Sequence[Column | str], folds: int) -> Column:
+    """The fold of a row, from its own values: copies of a row share a fold, whatever the partitions or the run."""
+    return F.pmod(F.xxhash64(*cols), F.lit(folds)).cast("int")
+
+
+def cross_fitted(
+    df: DataFrame,
+    fit: Callable[[DataFrame], Any],
+    apply: Callable[[Any, DataFrame], DataFrame],
+    folds: int,
+    fold: str = "fold",
+) -> DataFrame:
+    """All rows, each scored by a model that never saw it: one fitted without the row's fold.
+
+    ``fit`` gets the rows of the other folds and ``apply`` the model and the rows of its fold. A grid over the
+    result has each candidate's confusion counts added over the folds. Rows whose fold is missing or not in
+    0 .. folds - 1 have no such model and are an error. Give a written table: it is read twice per fold.
+    """
+    if folds < 2:
+        raise ValueError("cross-fitting needs two folds or more")
+    f = F.col(fold)
+    stray = df.where(f.isNull() | (f < 0) | (f >= folds)).limit(1).count()
+    if stray:
+        raise ValueError(f"rows whose {fold} is not in 0 .. {folds - 1}")
+    parts = [apply(fit(df.where(f != i)), df.where(f == i)) for i in range(folds)]
+    return reduce(DataFrame.unionByName, parts)

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import binary_label, flag_anomaly
-from flowlens.operators.calibration import best_threshold, ranked_grid, threshold_candidates
+from flowlens.operators.calibration import (
+    best_threshold,
+    cross_fitted,
+    fold_of,
+    ranked_grid,
+    threshold_candidates,
+)
 from flowlens.operators.clustering import (
     centroid_table,
     cluster_summary,
@@ -87,17 +93,28 @@ def calibrate_clusters(
     probabilities: Sequence[float] = K.QUANTILES,
     points: int = K.GRID_POINTS,
     rel_err: float = K.QUANTILE_ERROR,
+    folds: int | None = None,
 ) -> dict:
     """Choose the threshold on the labelled training rows and store it.
 
     The scores are written once and ranked once; threshold grid and AUC are sums over the ranking.
+    The model has seen the benign training rows, whose distances are thus a little short. With ``folds``, each
+    row is scored by clusters fitted, with the stored model's parameters, on the benign rows of the other folds.
     """
-    model = load_model(layout("models", name))
+    benign = benign or benign_label(layout)
     train = read_table(spark, layout("processed", "train"))
-    write_table(
-        score(model, train, benign or benign_label(layout)).select(K.SCORE, K.TRUTH),
-        layout("scores", f"{name}_calibration"),
-    )
+    if folds is None:
+        scores = score(load_model(layout("models", name)), train, benign)
+    else:
+        trained = read_values(spark, layout("reports", f"{name}_train"))
+        params = {p: trained.get(p, default) for p, default in K.CLUSTERS.items()}
+        scores = cross_fitted(
+            train.select(K.LABEL, K.SCALED_VECTOR, fold_of([K.SCALED_VECTOR], folds).alias("fold")),
+            lambda rows: fit_kmeans(rows.where(F.col(K.LABEL) == benign), **params),
+            lambda model, rows: score(model, rows, benign),
+            folds,
+        )
+    write_table(scores.select(K.SCORE, K.TRUTH), layout("scores", f"{name}_calibration"))
     scored = read_table(spark, layout("scores", f"{name}_calibration"))
     quantiles = score_quantiles(scored.where(F.col(K.TRUTH) == 0), K.SCORE, probabilities, rel_err)
     found = {r["probability"]: r["quantile"] for r in quantiles.collect()}
@@ -111,6 +128,7 @@ def calibrate_clusters(
         "auc_roc": ranking.agg(auc_expr().alias("auc_roc")).first()["auc_roc"],
         **{f"percentile_{f'{p:g}'[2:].ljust(2, '0')}": q for p, q in sorted(found.items())},
         "calibration_records": sum(best[c] for c in ("tp", "fp", "fn", "tn")),
+        "calibration_folds": folds,
     }
     write_values(spark, report, layout("reports", f"{name}_threshold"))
     return report

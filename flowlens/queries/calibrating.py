@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.operators.calibration import best_threshold, calibrate_grid, ranked_grid, threshold_candidates
+from flowlens.functions.predicates import binary_label
+from flowlens.operators.calibration import (
+    best_threshold,
+    calibrate_grid,
+    cross_fitted,
+    ranked_grid,
+    threshold_candidates,
+)
+from flowlens.operators.clustering import distance_to_centroid, mean_centroids
 from flowlens.operators.evaluation import evaluate_at_threshold, score_stats
 from flowlens.operators.ranking import auc, rank_truth, ranked_quantiles, roc_curve, score_quantiles
-from flowlens.queries.registry import calibration_part, held_out_part, query, scored, table
+from flowlens.queries.registry import BENIGN_FLOW, calibration_part, flows, held_out_part, query, scored, table
 
 RATES = ["precision", "recall", "f1", "fpr", "accuracy"]
 PROBABILITIES = ", ".join(f"(CAST({p} AS DOUBLE))" for p in K.QUANTILES)
@@ -141,6 +149,41 @@ def evaluate_at_threshold_query(spark, sf):
     )
 
 
+FOLDS = 3
+CUTS = [3.217, 6.043, 9.511, 12.37, 15.83, 20.19, 24.77]
+
+CROSSFIT_SQL = f"""WITH f AS (SELECT l_orderkey % {FOLDS} AS fold, l_quantity AS q, l_tax AS t,
+        CASE WHEN label = '{BENIGN_FLOW}' THEN 0 ELSE 1 END AS truth FROM @flows),
+    m AS (SELECT o.fold, avg(q) AS mq, avg(t) AS mt FROM range({FOLDS}) o(fold) JOIN f ON f.fold <> o.fold
+        WHERE truth = 0 GROUP BY o.fold),
+    s AS (SELECT truth, sqrt((q - mq) * (q - mq) + (t - mt) * (t - mt)) AS score FROM f JOIN m ON f.fold = m.fold)
+    SELECT threshold, count(*) FILTER (score > threshold AND truth = 1) AS tp,
+        count(*) FILTER (score > threshold AND truth = 0) AS fp,
+        count(*) FILTER (score <= threshold AND truth = 1) AS fn,
+        count(*) FILTER (score <= threshold AND truth = 0) AS tn
+    FROM s, (VALUES {", ".join(f"(CAST({c} AS DOUBLE))" for c in CUTS)}) c(threshold) GROUP BY threshold"""
+
+
+@query("calibrate_crossfit", CROSSFIT_SQL)
+def calibrate_crossfit(spark, sf):
+    """Confusion counts of fixed thresholds, each order scored by the centre of the benign rows of the other folds."""
+    rows = flows(spark, sf).select(
+        (F.col("l_orderkey") % FOLDS).cast("int").alias("fold"),
+        F.array("l_quantity", "l_tax").cast("array<double>").alias("x"),
+        binary_label(F.col("label"), BENIGN_FLOW).alias("truth"),
+        F.lit(0).alias(K.CLUSTER),
+    )
+
+    def fit(part):
+        return mean_centroids(part.where("truth = 0"), "x", K.CLUSTER)
+
+    def distances(centre, part):
+        return distance_to_centroid(part, centre, "x")
+
+    grid = calibrate_grid(cross_fitted(rows, fit, distances, FOLDS), CUTS, K.SCORE, "truth")
+    return grid.select("threshold", "tp", "fp", "fn", "tn")
+
+
 @query(
     "roc_curve",
     f"""SELECT score, tp, fp, round(tp / all_pos, 9) AS tpr, round(fp / all_neg, 9) AS fpr

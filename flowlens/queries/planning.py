@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
+from flowlens.plans.clusters import calibrate_clusters, train_clusters
 from flowlens.plans.layout import Layout
 from flowlens.plans.prepare import prepare
 from flowlens.queries.registry import dirty, query
@@ -88,3 +89,27 @@ def plan_train_table(spark, sf) -> DataFrame:
     return rows.groupBy(K.LABEL, K.LABEL_INDEX, F.round(K.CLASS_WEIGHT, 9).alias(K.CLASS_WEIGHT)).agg(
         F.count("*").alias("n"), F.max(F.size(vector_to_array(K.SCALED_VECTOR))).alias("features")
     )
+
+
+@query(
+    "plan_crossfit_threshold",
+    f"""SELECT count(*) AS records, count(*) FILTER (label <> 'N') AS attacks, TRUE AS consistent
+    FROM {CLEAN_SQL} c WHERE split = 'train'""",
+)
+def plan_crossfit_threshold(spark, sf) -> DataFrame:
+    """The calibration plan with three folds scores every cleaned training row once; the threshold it
+    reports has the counts it reports."""
+    layout = prepared(spark, sf)
+    train_clusters(spark, layout, "N", "crossfit", k=3, max_iter=10)
+    report = calibrate_clusters(spark, layout, "N", "crossfit", folds=3)
+    scored = read_table(spark, layout("scores", "crossfit_calibration"))
+    above, attack = F.col(K.SCORE) > report["threshold_optimal"], F.col(K.TRUTH) == 1
+    tp, fp = F.count_if(above & attack), F.count_if(above & ~attack)
+    return scored.agg(
+        F.count("*").alias("records"),
+        F.count_if(attack).alias("attacks"),
+        (
+            (F.abs(tp / F.greatest(tp + fp, F.lit(1)) - report["precision"]) < 1e-9)
+            & (F.lit(report["calibration_records"]) == F.count("*"))
+        ).alias("consistent"),
+    )

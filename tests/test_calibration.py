@@ -2,9 +2,18 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowlens.operators import ranking as ranking_ops
-from flowlens.operators.calibration import best_threshold, calibrate, calibrate_grid, ranked_grid, threshold_candidates
+from flowlens.operators.calibration import (
+    best_threshold,
+    calibrate,
+    calibrate_grid,
+    cross_fitted,
+    fold_of,
+    ranked_grid,
+    threshold_candidates,
+)
 from flowlens.operators.evaluation import evaluate_at_threshold, report_at
 from flowlens.operators.ranking import score_quantiles
 
@@ -101,3 +110,28 @@ def test_a_ranking_gives_what_the_rows_give(spark, ranges):
     assert ranked_grid(ranking, cuts).collect() == calibrate_grid(df.where("truth is not null"), cuts, "score", "truth").collect()
     for cut in cuts:
         assert report_at(ranking, cut).collect() == evaluate_at_threshold(df, cut, "score", "truth").collect()
+
+
+def test_cross_fitted_models_never_see_their_rows(spark):
+    df = spark.createDataFrame([(i, i % 3, float(i * i)) for i in range(30)], "id int, fold int, x double")
+
+    def fit(rows):
+        return sorted(r.id for r in rows.collect())
+
+    def apply(seen, rows):
+        return rows.withColumn("seen", F.col("id").isin(seen)).withColumn("n", F.lit(len(seen)))
+
+    got = cross_fitted(df, fit, apply, 3).collect()
+    assert sorted(r.id for r in got) == list(range(30)) and not any(r.seen for r in got) and {r.n for r in got} == {20}
+    for bad in (None, -1, 3):
+        stray = df.union(spark.createDataFrame([(99, bad, 1.0)], df.schema))
+        with pytest.raises(ValueError, match="fold"):
+            cross_fitted(stray, fit, apply, 3)
+    with pytest.raises(ValueError, match="two"):
+        cross_fitted(df, fit, apply, 1)
+
+
+def test_copies_share_a_fold(spark):
+    df = spark.createDataFrame([(i % 50, None if i % 5 else 1.0) for i in range(200)], "a int, b double")
+    folds = df.select("a", fold_of(["a", "b"], 4).alias("fold")).distinct()
+    assert folds.count() == 50 and {r.fold for r in folds.collect()} == {0, 1, 2, 3}

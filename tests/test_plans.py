@@ -83,6 +83,10 @@ def test_clusters(spark, project):
     assert {"percentile_90", "percentile_95", "percentile_97", "percentile_99", "percentile_999"} <= set(calibrated)
     assert calibrated["percentile_90"] <= calibrated["threshold_optimal"] <= calibrated["percentile_999"]
     assert calibrated["calibration_records"] == read_table(spark, layout("processed", "train")).count()
+    crossed = calibrate_clusters(spark, layout, rel_err=0, folds=3)
+    assert crossed["calibration_records"] == calibrated["calibration_records"] and crossed["calibration_folds"] == 3
+    assert crossed["threshold_optimal"] != calibrated["threshold_optimal"] and crossed["auc_roc"] > 0.6
+    calibrate_clusters(spark, layout, rel_err=0)
     report = evaluate_clusters(spark, layout)
     test = read_table(spark, layout("processed", "test"))
     assert report["binary"]["total_records"] == test.count()
