@@ -152,11 +152,12 @@ def evaluate_at_threshold_query(spark, sf):
 FOLDS = 3
 CUTS = [3.217, 6.043, 9.511, 12.37, 15.83, 20.19, 24.77]
 
-CROSSFIT_SQL = f"""WITH f AS (SELECT l_orderkey % {FOLDS} AS fold, l_quantity AS q, l_tax AS t,
+CROSSFIT_SQL = f"""WITH f AS (SELECT l_orderkey % {FOLDS} AS fold, l_linenumber % 2 AS side, l_quantity AS q, l_tax AS t,
         CASE WHEN label = '{BENIGN_FLOW}' THEN 0 ELSE 1 END AS truth FROM @flows),
-    m AS (SELECT o.fold, avg(q) AS mq, avg(t) AS mt FROM range({FOLDS}) o(fold) JOIN f ON f.fold <> o.fold
-        WHERE truth = 0 GROUP BY o.fold),
-    s AS (SELECT truth, sqrt((q - mq) * (q - mq) + (t - mt) * (t - mt)) AS score FROM f JOIN m ON f.fold = m.fold)
+    m AS (SELECT o.fold, side, avg(q) AS mq, avg(t) AS mt FROM range({FOLDS}) o(fold) JOIN f ON f.fold <> o.fold
+        WHERE truth = 0 GROUP BY o.fold, side),
+    s AS (SELECT truth, sqrt((q - mq) * (q - mq) + (t - mt) * (t - mt)) AS score FROM f JOIN m
+        ON f.fold = m.fold AND f.side = m.side)
     SELECT threshold, count(*) FILTER (score > threshold AND truth = 1) AS tp,
         count(*) FILTER (score > threshold AND truth = 0) AS fp,
         count(*) FILTER (score <= threshold AND truth = 1) AS fn,
@@ -166,12 +167,13 @@ CROSSFIT_SQL = f"""WITH f AS (SELECT l_orderkey % {FOLDS} AS fold, l_quantity AS
 
 @query("calibrate_crossfit", CROSSFIT_SQL)
 def calibrate_crossfit(spark, sf):
-    """Confusion counts of fixed thresholds, each order scored by the centre of the benign rows of the other folds."""
+    """Confusion counts of fixed thresholds, each order scored by the centres of two groups of
+    the benign rows of the other folds."""
     rows = flows(spark, sf).select(
         (F.col("l_orderkey") % FOLDS).cast("int").alias("fold"),
         F.array("l_quantity", "l_tax").cast("array<double>").alias("x"),
         binary_label(F.col("label"), BENIGN_FLOW).alias("truth"),
-        F.lit(0).alias(K.CLUSTER),
+        (F.col("l_linenumber") % 2).cast("int").alias(K.CLUSTER),
     )
 
     def fit(part):
