@@ -6,7 +6,7 @@ encoding of a shorter prefix plus one token, and the transducer keeps only the l
 A token that ends after the current byte starts at most ``lookahead`` bytes back, ``lookahead`` being
 computed from the merge list (its longest token). As soon as all prefixes inside that window have a common
 start, the tokens of that start can't change any more and are emitted; what lies before is forgotten. Memory
-doesn't grow with the text.
+doesn't grow with the text. All words pass through it; the tokens of short words are remembered for a while.
 
 Decoding maps tokens to bytes and feeds them, block by block, to an incremental UTF-8 state machine.
 """
@@ -17,7 +17,7 @@ import codecs
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -32,12 +32,14 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N
         r"\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: The same for ASCII texts, in the faster engine.
 ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
-#: Texts are cut into words in pieces of about so many characters.
+#: Texts are cut into words in pieces of so many characters; longer ones only where a word is longer.
 PIECE = 1 << 16
 SAFE_CUT = re.compile(r"(?<=[0-9A-Za-z.,]) (?=[0-9A-Za-z])")
-#: Words up to this many bytes are remembered, two generations of so many words; longer ones are streamed.
-REMEMBERED_BYTES, REMEMBERED_WORDS = 64, 1 << 17
-REMEMBERED_PAIRS = 1 << 18
+#: The tokens of words up to so many characters are remembered, two generations of so many words.
+REMEMBERED_LENGTH, REMEMBERED_WORDS = 64, 1 << 17
+REMEMBERED_PAIRS = 1 << 19
+#: Bytes of a word reach the transducer in chunks of so many characters.
+CHUNK = 1 << 12
 DECODED_AT_ONCE = 1 << 14
 OUTPUTS = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 
@@ -52,15 +54,15 @@ def byte_names() -> dict[str, int]:
 class Remembered(dict):
     """The tokens of words seen of late: of two generations, the older one is dropped when the younger is full."""
 
-    def __init__(self, find) -> None:
+    def __init__(self, find: Callable[[str], Iterator[int]]) -> None:
         self.find, self.older = find, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> Iterable[int]:
+        if len(word) > REMEMBERED_LENGTH:
+            return self.find(word)
         found = self.older.get(word)
         if found is None:
-            found = self.find(word)
-            if len(word) > REMEMBERED_BYTES:
-                return found
+            found = tuple(self.find(word))
         if len(self) >= REMEMBERED_WORDS:
             self.older = dict(self)
             self.clear()
@@ -69,7 +71,7 @@ class Remembered(dict):
 
 
 def pieces(text: str) -> Iterator[str]:
-    """The text in pieces that end between words: in front of single spaces."""
+    """The text in pieces of about ``PIECE`` that end between words, where single spaces allow it."""
     at = 0
     while len(text) - at > PIECE and (cut := SAFE_CUT.search(text, at + PIECE)):
         yield text[at : cut.start()]
@@ -77,6 +79,21 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def words_of(text: str, pattern) -> Iterator[list[str]]:
+    """The words of a text, in runs. A word is certain once two more follow it in the piece at hand."""
+    at, size = 0, PIECE
+    while at < len(text):
+        found = pattern.findall(text[at : at + size] if at or size < len(text) else text)
+        if at + size < len(text):
+            # the end of a piece may cut a word, or the letters of 're or 'll from their apostrophe
+            found = found[:-2]
+        if found:
+            yield found
+            at, size = at + sum(map(len, found)), PIECE
+        else:
+            size *= 2
+
+
 class Transducer:
     """The tables of one vocabulary, given as the JSON text of a tokenizer file."""
 
@@ -99,25 +116,14 @@ class Transducer:
                 raise ValueError(f"two merges make {left + right!r}")
             self.rank[vocab[left], vocab[right]] = rank
             self.parts[made] = (vocab[left], vocab[right], rank)
-        #: every ending of a token -> the token that it is, or -1
-        self.endings: dict[bytes, int] = {}
-        for i in chain(self.parts, (vocab[c] for c in names if c in vocab)):
-            word = self.bytes_of[i]
-            for at in range(1, len(word)):
-                self.endings.setdefault(word[at:], -1)
-            self.endings[word] = i
-        #: the same for beginnings, which are tried for short words, and the longest token that begins a token
-        self.beginnings: dict[bytes, int] = {}
-        for word, i in self.endings.items():
-            if i >= 0:
-                for to in range(1, len(word)):
-                    self.beginnings.setdefault(word[:to], self.endings.get(word[:to], -1))
-                self.beginnings[word] = i
+        #: every beginning of a token -> the longest token that it ends with; token -> the next shorter one that it ends with
+        of_bytes = {self.bytes_of[i]: i for i in chain(self.parts, (vocab[c] for c in names if c in vocab))}
+        longest = lambda word, at: next((of_bytes[word[i:]] for i in range(at, len(word)) if word[i:] in of_bytes), -1)
+        self.beginnings = {word[:to]: -1 for word in of_bytes for to in range(1, len(word) + 1)}
+        for word in self.beginnings:
+            self.beginnings[word] = longest(word, 0)
+        self.shorter = [longest(word, 1) for word in self.table]
         self.sizes = [len(x) for x in self.table]
-        self.shorter = [
-            next((t for to in range(len(x) - 1, 0, -1) if (t := self.beginnings.get(x[:to], -1)) >= 0), -1)
-            for x in self.table
-        ]
         self.lookahead = max(len(self.bytes_of[i]) for i in self.parts)
         self.words, self.ascii_words = regex.compile(WORDS), re.compile(ASCII_WORDS, re.ASCII)
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
@@ -160,32 +166,35 @@ class Transducer:
             known = self.stable_pairs[left, right] = self._apart(left, right)
         return known
 
-    def _extend(self, ends: list[int], window: bytes) -> None:
-        """Append the last token of each further prefix of the window."""
-        ending, pairs, stable = self.endings.get, self.stable_pairs.get, self.stable
+    def _extend(self, ends: list[int], window: bytes, start: int) -> int:
+        """Append the last token of each further prefix of the window.
+
+        From ``start`` on the bytes begin a token, and from no place before it; the new such place is returned. So
+        tokens that end at the same byte are found in one step, the longest first.
+        """
+        begins, pairs, stable, sizes, shorter = self.beginnings.get, self.stable_pairs.get, self.stable, self.sizes, self.shorter
         for end in range(len(ends), len(window) + 1):
-            start, fits = end - 1, []
-            while start >= 0 and (token := ending(window[start:end])) is not None:
-                if token >= 0:
-                    fits.append((start, token))
-                start -= 1
-            for start, token in reversed(fits):
-                before = ends[start]
-                if before < 0 or (known := pairs((before, token))) or known is None and stable(before, token):
-                    ends.append(token)
-                    break
+            while (token := begins(window[start:end])) is None:
+                start += 1
+            while (before := ends[end - sizes[token]]) >= 0 and not (
+                known if (known := pairs((before, token))) is not None else stable(before, token)
+            ):
+                token = shorter[token]
+            ends.append(token)
+        return start
 
     def stream(self, word: Iterable[bytes]) -> Iterator[int]:
         """The tokens of one word that comes in chunks of bytes, each as soon as it is certain."""
         # the last token of each prefix of the window; in front of the window lies what has been emitted
-        ends, window = [-1], b""
+        ends, window, start = [-1], b"", 0
         for chunk in word:
             for at in range(0, len(chunk), self.lookahead):
                 window += chunk[at : at + self.lookahead]
-                self._extend(ends, window)
+                start = self._extend(ends, window, start)
                 if len(ends) > 4 * self.lookahead and (keep := self._certain(ends)):
                     yield from self._back(ends, keep)
-                    window, ends = window[keep:], ends[keep:]
+                    # no token is longer than the lookahead: a place in front of the border begins none that goes on
+                    window, ends, start = window[keep:], ends[keep:], max(0, start - keep)
         yield from self._back(ends, len(ends) - 1)
 
     def _certain(self, ends: list[int]) -> int:
@@ -204,44 +213,10 @@ class Transducer:
             end -= len(self.bytes_of[ends[end]])
         return found[::-1]
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        """The tokens of a word: a whole short word is at hand, so that only some prefixes need be looked at.
-
-        The longest token comes first; where a border isn't stable, the next shorter one, else one step back.
-        No prefix is reached twice, as each has but one encoding.
-        """
-        data = word.encode()
-        end = len(data)
-        if end > REMEMBERED_BYTES:
-            return tuple(self.stream([data]))
-        found, at, reached = [], 0, set()
-        pairs, stable, sizes, shorter = self.stable_pairs.get, self.stable, self.sizes, self.shorter
-        token = self._longest(data, 0)
-        while True:
-            to = at + sizes[token]
-            if to not in reached and (
-                not found or (known := pairs((found[-1], token))) or known is None and stable(found[-1], token)
-            ):
-                found.append(token)
-                if to == end:
-                    return tuple(found)
-                reached.add(to)
-                at, token = to, self._longest(data, to)
-                continue
-            token = shorter[token]
-            while token < 0:
-                token = found.pop()
-                at -= sizes[token]
-                token = shorter[token]
-
-    def _longest(self, data: bytes, at: int) -> int:
-        """The longest token that the bytes from ``at`` on begin with."""
-        begins, token, to = self.beginnings.get, -1, at + 1
-        while to <= len(data) and (known := begins(data[at:to])) is not None:
-            if known >= 0:
-                token = known
-            to += 1
-        return token
+    def _word(self, word: str) -> Iterator[int]:
+        if len(word) <= CHUNK:
+            return self.stream((word.encode(),))
+        return self.stream(word[at : at + CHUNK].encode() for at in range(0, len(word), CHUNK))
 
     def encode(self, text: str) -> Iterator[int]:
         """The tokens of a text, in order; strings of special tokens become these tokens."""
@@ -253,10 +228,8 @@ class Transducer:
         yield from self._plain(text[at:] if at else text)
 
     def _plain(self, text: str) -> Iterator[int]:
-        words = self.ascii_words if text.isascii() else self.words
-        return chain.from_iterable(
-            chain.from_iterable(map(self.remembered.__getitem__, words.findall(piece))) for piece in pieces(text)
-        )
+        runs = words_of(text, self.ascii_words if text.isascii() else self.words)
+        return chain.from_iterable(map(self.remembered.__getitem__, chain.from_iterable(runs)))
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """Pieces of text for tokens as they come; bytes that are no UTF-8 become U+FFFD."""
@@ -278,23 +251,26 @@ def transducer(definition: str) -> Transducer:
 
 
 def row_outputs(tables: Transducer, text: str | None, outputs: list[str]) -> list:
-    """What ``outputs`` name, for one text."""
-    ids = list(tables.encode(text or ""))
-    found: dict[str, object] = {"ids": ids, "n_tokens": len(ids)}
-    if "ids_sha256" in outputs:
-        digest = hashlib.sha256()
-        for at in range(0, len(ids), DECODED_AT_ONCE):
-            if at:
-                digest.update(b",")
-            digest.update(",".join(map(tables.decimal.__getitem__, ids[at : at + DECODED_AT_ONCE])).encode())
-        found["ids_sha256"] = digest.hexdigest()
-    if "decoded" in outputs:
-        found["decoded"] = "".join(tables.decode(ids))
-    if "decoded_sha256" in outputs:
-        digest = hashlib.sha256()
-        for piece in tables.decode(ids):
-            digest.update(piece.encode())
-        found["decoded_sha256"] = digest.hexdigest()
+    """What ``outputs`` name, for one text. Tokens go by in blocks; only ``ids`` and ``decoded`` hold the whole."""
+    machine = codecs.getincrementaldecoder("utf-8")("replace")
+    n, ids, decoded, of_ids, of_text = 0, [], [], hashlib.sha256(), hashlib.sha256()
+    stream = tables.encode(text or "")
+    while True:
+        block = list(islice(stream, DECODED_AT_ONCE))
+        if "ids" in outputs:
+            ids += block
+        if "ids_sha256" in outputs and block:
+            of_ids.update((("," if n else "") + ",".join(map(tables.decimal.__getitem__, block))).encode())
+        if "decoded" in outputs or "decoded_sha256" in outputs:
+            piece = machine.decode(b"".join(map(tables.table.__getitem__, block)), final=not block)
+            of_text.update(piece.encode())
+            if "decoded" in outputs:
+                decoded.append(piece)
+        n += len(block)
+        if not block:
+            break
+    found = {"ids": ids, "n_tokens": n, "ids_sha256": of_ids.hexdigest(), "decoded": "".join(decoded)}
+    found["decoded_sha256"] = of_text.hexdigest()
     return [found[name] for name in outputs]
 
 

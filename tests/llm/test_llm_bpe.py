@@ -75,21 +75,55 @@ def test_streaming_in_chunks_emits_early_and_forgets(own):
 
 
 def test_long_texts_are_cut_between_words(own, monkeypatch):
-    text = "The cat's 12 dogs,  and  the rest.\n " * 300 + "x" * 500
-    whole = library(text)
-    for size in (1, 10, 333):
-        monkeypatch.setattr(bpe, "PIECE", size)
-        assert "".join(bpe.pieces(text)) == text
-        assert list(own.encode(text)) == whole
+    for text in (
+        "The cat's 12 dogs,  and  the rest.\n " * 300 + "x" * 500,
+        "they're we'll '' 'll'll I've!'re\n\n  'd  " * 100,
+        "\u4e2d\u6587\u3002\u5b57\u3002" * 400 + " \u00e9t\u00e9's" * 50,
+        "=" * 700 + " " * 900 + "'" * 300,
+    ):
+        whole = library(text)
+        for size in (1, 2, 3, 10, 333):
+            monkeypatch.setattr(bpe, "PIECE", size)
+            for pattern in (own.words, *([own.ascii_words] if text.isascii() else [])):
+                assert [w for run in bpe.words_of(text, pattern) for w in run] == pattern.findall(text)
+            assert list(own.encode(text)) == whole
+
+
+def test_every_word_passes_through_the_transducer(own, monkeypatch):
+    seen = []
+    stream = own.stream
+    monkeypatch.setattr(own, "stream", lambda chunks: stream(seen.append(c) or c for c in chunks))
+    monkeypatch.setattr(own, "remembered", bpe.Remembered(own._word))
+    monkeypatch.setattr(bpe, "CHUNK", 100)
+    text = "a bb ccc a bb " + "thequickbrownfox" * 100
+    assert list(own.encode(text)) == library(text)
+    assert b"".join(seen) == b"a bb ccc a" + b" " + b"thequickbrownfox" * 100 and max(map(len, seen)) == 100
+
+
+def test_memory_stays_flat_on_a_long_word(own):
+    import tracemalloc
+
+    def peak(n):
+        word = "thequickbrownfoxé" * n
+        tracemalloc.start()
+        made = bpe.row_outputs(own, word, ["n_tokens", "ids_sha256", "decoded_sha256"])
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert made[0] == len(library(word))
+        return found
+
+    peak(1_000)
+    # copies of the word itself and no more: 300,000 numbers would take ten times its size
+    assert peak(60_000) < peak(6_000) + 4 * 17 * 60_000
 
 
 def test_remembered_words_are_bounded(own, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 5)
-    memory = bpe.Remembered(lambda w: (len(w),))
+    memory = bpe.Remembered(lambda w: iter((len(w),)))
     for n in range(100):
         assert memory["x" * (n % 17)] == (n % 17,)
         assert len(memory) <= 5 and len(memory.older) <= 5
-    assert memory["y" * 1000] == (1000,) and "y" * 1000 not in memory
+    assert list(memory["y" * 1000]) == [1000] and "y" * 1000 not in memory
 
 
 def test_decoding_of_broken_bytes(own):
