@@ -36,8 +36,10 @@ ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\
 PIECE = 1 << 16
 SAFE_CUT = re.compile(r"(?<=[0-9A-Za-z.,]) (?=[0-9A-Za-z])")
 #: The tokens of words up to so many characters are remembered, two generations of so many words.
-REMEMBERED_LENGTH, REMEMBERED_WORDS = 64, 1 << 17
+REMEMBERED_LENGTH, REMEMBERED_WORDS = 64, 1 << 18
 REMEMBERED_PAIRS = 1 << 19
+#: The transducer's states after so many first bytes of a word are remembered, up to so many.
+HEAD, REMEMBERED_HEADS = 5, 1 << 16
 #: Bytes of a word reach the transducer in chunks of so many characters.
 CHUNK = 1 << 12
 DECODED_AT_ONCE = 1 << 14
@@ -130,6 +132,7 @@ class Transducer:
         self.decimal = [str(i) for i in range(len(self.table))]
         self.edges: tuple[dict, dict] = ({}, {})
         self.stable_pairs: dict[tuple[int, int], bool] = {}
+        self.heads: dict[bytes, tuple[list[int], int]] = {}
         self.remembered = Remembered(self._word)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float, float]]:
@@ -183,6 +186,16 @@ class Transducer:
             ends.append(token)
         return start
 
+    def _begun(self, head: bytes) -> tuple[list[int], int]:
+        """The state after the first bytes of a word, which many words share."""
+        if head not in self.heads:
+            if len(self.heads) >= REMEMBERED_HEADS:
+                self.heads.clear()
+            ends = [-1]
+            self.heads[head] = ends, self._extend(ends, head, 0)
+        ends, start = self.heads[head]
+        return ends.copy(), start
+
     def stream(self, word: Iterable[bytes]) -> Iterator[int]:
         """The tokens of one word that comes in chunks of bytes, each as soon as it is certain."""
         # the last token of each prefix of the window; in front of the window lies what has been emitted
@@ -190,6 +203,8 @@ class Transducer:
         for chunk in word:
             for at in range(0, len(chunk), self.lookahead):
                 window += chunk[at : at + self.lookahead]
+                if len(ends) == 1 and ends[0] < 0:
+                    ends, start = self._begun(window[:HEAD])
                 start = self._extend(ends, window, start)
                 if len(ends) > 4 * self.lookahead and (keep := self._certain(ends)):
                     yield from self._back(ends, keep)
@@ -220,12 +235,15 @@ class Transducer:
 
     def encode(self, text: str) -> Iterator[int]:
         """The tokens of a text, in order; strings of special tokens become these tokens."""
+        return self._marked(text) if self.specials.search(text) else self._plain(text)
+
+    def _marked(self, text: str) -> Iterator[int]:
         at = 0
         for mark in self.specials.finditer(text):
             yield from self._plain(text[at : mark.start()])
             yield self.special[mark.group()]
             at = mark.end()
-        yield from self._plain(text[at:] if at else text)
+        yield from self._plain(text[at:])
 
     def _plain(self, text: str) -> Iterator[int]:
         runs = words_of(text, self.ascii_words if text.isascii() else self.words)
