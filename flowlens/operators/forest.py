@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
-from flowlens.functions.predicates import binary_label
+from flowlens.functions.predicates import binary_label, levels_below
+from flowlens.workspace import discard, materialize
+
+#: Bins of a feature that a tree tells apart (Spark's default).
+BINS = 32
+#: From so many rows on a forest is fitted on the cells of its bins, if these are at most a quarter of the rows.
+MANY_ROWS, ROWS_PER_CELL = 2_000_000, 4
+#: Trees fitted at the same time; cells in a file.
+TREES_AT_ONCE, CELLS_PER_FILE = 8, 50_000
 
 
 def forest(
@@ -30,20 +42,138 @@ def forest(
     )
 
 
-def fit_forest(df: DataFrame, **params) -> PipelineModel:
+def fit_forest(df: DataFrame, by_cells: bool | None = None, **params) -> PipelineModel:
+    """A forest on all rows. Many rows that share few cells are fitted by ``fit_on_cells``; ``by_cells`` decides otherwise."""
+    rows = df.count() if by_cells is None else 0
+    if by_cells or rows >= MANY_ROWS:
+        model = fit_on_cells(df, None if by_cells else rows // ROWS_PER_CELL, **params)
+        if model is not None:
+            return PipelineModel(stages=[model])
     return Pipeline(stages=[forest(**params)]).fit(df)
 
 
+def bin_values(df: DataFrame, vec: str = K.SCALED_VECTOR) -> list[list[float]]:
+    """For each feature the ascending values that stand for its bins, from all rows.
+
+    A feature of at most ``BINS`` values has them all; another has its ends and quantiles between them.
+    """
+    x = df.select(vector_to_array(vec).alias("x"))
+    first = x.first()
+    if first is None:
+        return []
+    at = [F.col("x")[i] for i in range(len(first.x))]
+    between = [i / (BINS - 1) for i in range(1, BINS - 1)]
+    ends = x.agg(
+        *[
+            F.struct(
+                F.approx_count_distinct(c).alias("n"),
+                F.concat(F.array(F.min(c)), F.percentile_approx(c, between), F.array(F.max(c))).alias("quantiles"),
+            ).alias(str(i))
+            for i, c in enumerate(at)
+        ]
+    ).first()
+    few = [i for i in range(len(at)) if ends[i].n <= 2 * BINS]
+    all_values = x.agg(F.lit(0), *[F.collect_set(at[i]) for i in few]).first()[1:]  # some 2 * BINS values a feature
+    found = [sorted(set(e.quantiles)) for e in ends]
+    for i, values in zip(few, all_values):
+        if len(values) <= BINS:
+            found[i] = sorted(values)
+    return found
+
+
+def forest_cells(df: DataFrame, values: Sequence[Sequence[float]], vec: str, label: str, weight_col: str | None) -> DataFrame:
+    """Rows per cell: label, weight, the vector of the bins' values as an array, and the number of rows ``n``.
+
+    A value belongs to the nearest bin value, of two as near to the lower. That is the side on which a tree puts it
+    that splits halfway between neighbouring bin values, as trees fitted on the cells do.
+    """
+    weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
+    x = df.select(F.col(label).cast("double").alias("label"), weight.alias("weight"), vector_to_array(vec).alias("x"))
+    borders = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in values]
+    bins = [levels_below(F.col("x")[i], cuts).alias(f"b{i}") for i, cuts in enumerate(borders)]
+    counted = x.select("label", "weight", *bins).groupBy("label", "weight", *(f"b{i}" for i in range(len(bins)))).agg(
+        F.count("*").alias("n")
+    )
+    at = [F.element_at(F.array(*map(F.lit, v)), F.col(f"b{i}") + 1) for i, v in enumerate(values)]
+    return counted.select("label", "weight", F.array(*at).alias("x"), "n")
+
+
+def with_draws(cells: DataFrame, trees: int, seed: int) -> DataFrame:
+    """``cells`` with a weight per tree, ``w0`` and so on: how often bootstrapping draws the cell's rows, times their weight.
+
+    Each row is drawn a Poisson(1) number of times, the ``n`` rows of a cell thus Poisson(n) times. The numbers depend on
+    the cell and the seed only.
+    """
+    names = [f"w{i}" for i in range(trees)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n = (batch.column(c).to_numpy() for c in ("key", "n"))
+            drawn = [np.random.default_rng([seed, int(key) & (2**64 - 1)]).poisson(m, trees) for key, m in zip(keys, n)]
+            weights = np.array(drawn, dtype=float).reshape(-1, trees) * batch.column("weight").to_numpy()[:, None]
+            columns = [batch.column("label"), batch.column("x"), *(pa.array(weights[:, i]) for i in range(trees))]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "x", *names])
+
+    keyed = cells.withColumn("key", F.xxhash64("label", "weight", "x"))
+    return keyed.mapInArrow(run, "label double, x array<double>, " + ", ".join(f"{n} double" for n in names))
+
+
+def fit_on_cells(
+    df: DataFrame,
+    most: int | None = None,
+    trees: int = K.FOREST["trees"],
+    depth: int = K.FOREST["depth"],
+    subset: str = K.FOREST["subset"],
+    weight_col: str | None = K.CLASS_WEIGHT,
+    seed: int = K.SEED,
+    vec: str = K.SCALED_VECTOR,
+    label: str = K.LABEL_INDEX,
+) -> RandomForestClassificationModel | None:
+    """A forest of all rows, fitted on the cells that the features' bins cut them into; None if there are more than ``most``.
+
+    A tree tells no more than ``BINS`` bins of a feature apart, so rows of one label and weight in one cell are the same to
+    it. Every row counts, in a cell's number of rows. The cells are bounded by the bins, however many rows there are.
+    Each tree is fitted by itself on its own bootstrap weights; the trees are then put together.
+    """
+    spark, values = df.sparkSession, bin_values(df, vec)
+    if not values:
+        return None
+    cells = materialize(forest_cells(df, values, vec, label, weight_col), "cells")
+    if most is not None and cells.count() > most:
+        discard(cells)
+        return None
+    given = df.schema[label].metadata
+    if "ml_attr" not in given:
+        given = {"ml_attr": {"type": "nominal", "num_vals": int(cells.agg(F.max("label")).first()[0]) + 1}}
+    drawn = materialize(with_draws(cells, trees, seed), "draws", rows_per_file=CELLS_PER_FILE)
+    rows = drawn.withColumn(vec, array_to_vector("x")).withColumn(label, F.col("label").alias(label, metadata=given))
+
+    def fit(i: int) -> RandomForestClassificationModel:
+        learner = forest(1, depth, subset, f"w{i}", seed + i, vec, label).setBootstrap(False)
+        return learner.fit(rows.where(F.col(f"w{i}") > 0).select(label, vec, f"w{i}"))
+
+    with ThreadPool(TREES_AT_ONCE) as pool:
+        fitted = pool.map(inheritable_thread_target(spark)(fit), range(trees), chunksize=1)
+    discard(cells)
+    discard(drawn)
+    return _made_of(spark, [m._java_obj.trees()[0] for m in fitted], fitted[0])
+
+
 def part_of(spark: SparkSession, model: RandomForestClassificationModel, low: int, high: int) -> RandomForestClassificationModel:
     """The forest of the trees from ``low`` up to ``high`` of a fitted one."""
-    java, gateway = model._java_obj, spark.sparkContext._gateway
-    trees = java.trees()
-    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, high - low)
-    for i in range(low, high):
-        some[i - low] = trees[i]
+    return _made_of(spark, model._java_obj.trees()[low:high], model)
+
+
+def _made_of(spark: SparkSession, trees: Sequence, like: RandomForestClassificationModel) -> RandomForestClassificationModel:
+    """A forest of the given trees, with the features and classes of ``like``."""
+    gateway = spark.sparkContext._gateway
+    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, len(trees))
+    for i, tree in enumerate(trees):
+        some[i] = tree
     made = gateway.jvm.org.apache.spark.ml.classification.RandomForestClassificationModel
-    part = RandomForestClassificationModel(made(some, model.numFeatures, model.numClasses))
-    return part.setFeaturesCol(model.getFeaturesCol())
+    java = made(some, like.numFeatures, like.numClasses)
+    java.set(java.numTrees(), len(trees))  # a saved forest is read back by this number
+    return RandomForestClassificationModel(java).setFeaturesCol(like.getFeaturesCol())
 
 
 def running_predictions(model: RandomForestClassificationModel, df: DataFrame, sizes: Sequence[int]) -> tuple[DataFrame, list[str]]:

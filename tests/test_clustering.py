@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators import clustering
+from flowlens.operators import forest as forest_module
 from flowlens.operators.clustering import (
     assign_centroid,
     centroid_table,
@@ -15,9 +16,13 @@ from flowlens.operators.clustering import (
     mean_centroids,
     silhouette,
 )
-from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, forest, part_of, predict, running_predictions
+from flowlens.operators.forest import (
+    attack_probability, bin_values, feature_importance, fit_forest, fit_on_cells, forest, forest_cells, part_of, predict,
+    running_predictions, with_draws,
+)
 from flowlens.operators.sampling import stratified_sample
 from flowlens.operators.search import best_forest, refit_kmeans, search_forest, search_kmeans, select_model
+from flowlens.sources.tables import load_model, save_model
 from flowlens.workspace import materialize
 
 
@@ -153,6 +158,43 @@ def test_forest(spark, flows):
     assert again.select("prediction").exceptAll(scored.select("prediction")).count() == 0
 
 
+def test_forest_on_cells_counts_every_row(spark, flows, tmp_path):
+    wide = flows.withColumn("c", F.col("a") * 100 + F.col("b") * F.col("b") * F.col("b")).withColumn(
+        K.SCALED_VECTOR, array_to_vector(F.array("a", "b", "c"))
+    )
+    values = bin_values(wide)
+    assert values[:2] == [[float(i) for i in range(n)] for n in (10, 7)] and 10 < len(values[2]) <= 32
+    assert (values[2][0], values[2][-1]) == (0.0, 1116.0)
+    rows = [(r.label, r.x, r.n) for r in forest_cells(wide, values, K.SCALED_VECTOR, K.LABEL_INDEX, K.CLASS_WEIGHT).collect()]
+    assert len(rows) == len({x[:1] + tuple(x[1]) for x in rows}) == 70 and sum(x[2] for x in rows) == 600
+    nearest = lambda v: min(values[2], key=lambda r: (abs(r - v), r))
+    assert {tuple(x[1]) for x in rows} == {(r.a, r.b, nearest(r.c)) for r in wide.collect()}
+
+    model = fit_forest(wide, by_cells=True, trees=5, depth=4)
+    scored = predict(model, wide)
+    assert scored.where(F.col("prediction") == F.col(K.LABEL_INDEX)).count() == 600
+    again = predict(fit_forest(wide, by_cells=True, trees=5, depth=4), wide)
+    assert again.select("probability").exceptAll(scored.select("probability")).count() == 0
+    save_model(model, str(tmp_path / "model"))
+    assert len(load_model(str(tmp_path / "model")).stages[0].trees) == 5
+    assert fit_on_cells(wide, most=69, trees=2) is None
+
+
+def test_many_rows_are_fitted_on_their_cells(flows, monkeypatch):
+    monkeypatch.setattr(forest_module, "MANY_ROWS", 500)
+    chosen = []
+    monkeypatch.setattr(forest_module, "fit_on_cells", lambda *a, **k: chosen.append(a[1]))
+    assert fit_forest(flows, trees=2, depth=2).stages[0].getNumTrees == 2 and chosen == [150]
+
+
+def test_draws_of_a_cell_are_those_of_its_rows(spark):
+    cells = spark.createDataFrame([(0.0, 2.0, [float(i)], 50) for i in range(40)], "label double, weight double, x array<double>, n long")
+    drawn = np.array([[r[f"w{t}"] / 2 for t in range(25)] for r in with_draws(cells, 25, 1).orderBy("x").collect()])
+    assert abs(drawn.mean() - 50) < 1 and 40 < drawn.var() < 60  # Poisson(50), not 50 times one draw
+    again = with_draws(cells.repartition(3), 25, 1).orderBy("x").collect()
+    assert [[r[f"w{t}"] / 2 for t in range(25)] for r in again] == drawn.tolist()
+
+
 def test_search_forest(flows):
     results = search_forest(flows, {"trees": [2], "depth": [1, 4], "subset": ["sqrt"]}, folds=2, fraction=0.6)
     assert [(r.position, r.depth) for r in results.orderBy("position").collect()] == [(0, 1), (1, 4)]
