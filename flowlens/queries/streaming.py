@@ -299,6 +299,8 @@ def sla_records_query(spark, sf):
         run(stream)
         if not listener.finished.wait(60):
             raise TimeoutError(f"no end of stream {name} was reported")
+        if listener.errors:
+            raise listener.errors[0]
         logs.append(read_metrics(spark, log).withColumn("stream", F.lit(name)))
     return logs[0].unionByName(logs[1]).groupBy("stream").agg(
         F.sum("numRows").alias("total_rows"),

@@ -66,9 +66,10 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_metrics(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
-    """Write the record of one micro-batch; a batch that runs again replaces its record."""
-    df.write.mode("overwrite").json(f"{path}/query_id={query_id}/batch_id={int(batch_id)}")
+def write_metrics(df: DataFrame, path: str, query_id: str, batch: str = "batchId") -> None:
+    """Write the records of some micro-batches in one job; a batch that runs again replaces its record."""
+    records = df.withColumn("batch_id", df[batch]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    records.partitionBy("batch_id").json(f"{path}/query_id={query_id}")
 
 
 def read_metrics(spark: SparkSession, path: str, schema=SLA_SCHEMA) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import queue
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,8 +62,9 @@ def sla_records(progress: DataFrame, ignore_idle: bool = False) -> DataFrame:
 class SlaListener(StreamingQueryListener):
     """Writes one service-level record per finished micro-batch of the query with the given name.
 
-    Batches without input leave no record. Once its query has ended, the listener removes itself and sets
-    ``finished``.
+    Batches without input leave no record. Records that wait are written together by a thread of the listener, so that
+    the log keeps up with batches shorter than a write. Once its query has ended and all records are written, the
+    listener removes itself and sets ``finished``; ``errors`` has what kept records from being written.
     """
 
     def __init__(self, spark: SparkSession, path: str, name: str, ignore_idle: bool = False):
@@ -71,19 +73,20 @@ class SlaListener(StreamingQueryListener):
         self.name = name
         self.ignore_idle = ignore_idle
         self.query_id = None
+        self.waiting: queue.SimpleQueue[tuple | None] = queue.SimpleQueue()
+        self.errors: list[Exception] = []
         self.finished = threading.Event()
 
     def onQueryStarted(self, event):
         if event.name == self.name:
             self.query_id = str(event.id)
+            threading.Thread(target=self._write_waiting, daemon=True).start()
 
     def onQueryProgress(self, event):
         progress = event.progress
         if str(progress.id) != self.query_id or not progress.numInputRows:
             return
-        rows = self.spark.createDataFrame([progress_row(progress)], PROGRESS_SCHEMA)
-        record = sla_records(rows, self.ignore_idle).select(F.lit(self.query_id).alias("query_id"), "*")
-        write_metrics(record.coalesce(1), self.path, self.query_id, progress.batchId)
+        self.waiting.put(progress_row(progress))
 
     def onQueryIdle(self, event):
         pass
@@ -91,7 +94,27 @@ class SlaListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if str(event.id) == self.query_id:
             self.spark.streams.removeListener(self)
-            self.finished.set()
+            self.waiting.put(None)
+
+    def _write_waiting(self) -> None:
+        running = True
+        while running:
+            rows = [self.waiting.get()]
+            while not self.waiting.empty():
+                rows.append(self.waiting.get())
+            running = None not in rows
+            try:
+                self._write([r for r in rows if r is not None])
+            except Exception as err:  # the records of later batches are still wanted
+                self.errors.append(err)
+        self.finished.set()
+
+    def _write(self, rows: list[tuple]) -> None:
+        if rows:
+            rows = list({r[0]: r for r in rows}.values())  # the last record of a batch
+            progress = self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1)
+            record = sla_records(progress, self.ignore_idle).select(F.lit(self.query_id).alias("query_id"), "*")
+            write_metrics(record, self.path, self.query_id)
 
 
 def recent_batches(log: DataFrame, n: int = K.SLA_HISTORY_KEPT, order: str = "batchId") -> DataFrame:

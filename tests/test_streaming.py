@@ -1,3 +1,6 @@
+import time
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +160,29 @@ def test_listener_writes_the_batches_of_its_own_query_once(spark, tmp_path):
         assert all(r.L_E2E_ms > 0 for r in rows)
 
 
+def test_records_that_wait_are_written_together(spark, tmp_path):
+    """A hundred batches that end at once are one write, and the log is whole when the listener has finished."""
+    log = SlaListener(spark, str(tmp_path), "short-batches")
+    jobs, write = [], log._write
+    log._write = lambda rows: (jobs.append(len(rows)), write(rows))
+    log.onQueryStarted(SimpleNamespace(name="short-batches", id="q"))
+    for i in [*range(100), 7]:  # batch 7 once more
+        progress = SimpleNamespace(
+            id="q", numInputRows=i + 1, batchId=i, timestamp="t", durationMs={"triggerExecution": 5}, inputRowsPerSecond=1.0,
+            processedRowsPerSecond=2.0,
+        )
+        log.onQueryProgress(SimpleNamespace(progress=progress))
+        if i == 99:
+            while sum(jobs) < 100:
+                time.sleep(0.05)
+    log.onQueryTerminated(SimpleNamespace(id="q"))
+    assert log.finished.wait(60) and not log.errors
+    assert sum(jobs) == 101 and len(jobs) < 20
+    rows = read_metrics(spark, str(tmp_path)).collect()
+    assert sorted(r.numRows for r in rows) == list(range(1, 101)) and {r.query_id for r in rows} == {"q"}
+    assert len(list(tmp_path.glob("query_id=q/batch_id=*"))) == 100
+
+
 def test_a_log_that_is_not_there_has_no_rows(spark, tmp_path):
     assert read_metrics(spark, str(tmp_path / "nothing")).count() == 0
 
