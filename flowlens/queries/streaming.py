@@ -22,14 +22,17 @@ from flowlens.workspace import shared_dir
 
 EVENT_SCHEMA = "event_id double, value double, event_type string"
 CUT = 60.0
-LINES_PER_FILE, FILES_PER_TRIGGER = 20_000, 2
+LINES_PER_FILE, FILES_PER_CORE = 20_000, 2
 
 
 def replayed(spark, lines):
-    """Write lines to files of a fixed length and replay a fixed number of files per micro-batch."""
+    """Write lines to files of a fixed length and replay so many per micro-batch that every core has its share.
+
+    A micro-batch costs a second or more however few its rows, so batches of two files on many cores take their time for that.
+    """
     path = shared_dir(spark, "wire")
     lines.write.option("maxRecordsPerFile", LINES_PER_FILE).text(path)
-    return replay_stream(spark, path, FILES_PER_TRIGGER)
+    return replay_stream(spark, path, FILES_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def event_lines(spark, sf):

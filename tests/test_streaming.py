@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlens.functions.predicates import rate_band, ratio_band, sla_status, value_band
+from flowlens.queries import streaming
 from flowlens.sources.documents import read_metrics
 from flowlens.sources.tables import read_table
 from flowlens.sources.wire import LINEAGE_SCHEMA, parse_wire, parse_wire_checked, replay_stream
@@ -183,6 +184,16 @@ def test_records_that_wait_are_written_together(spark, tmp_path):
     assert len(list(tmp_path.glob("query_id=q/batch_id=*"))) == 100
 
 
+def test_replayed_batches_give_every_core_its_share(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming, "LINES_PER_FILE", 10)
+    cores, share = spark.sparkContext.defaultParallelism, streaming.FILES_PER_CORE
+    rows = spark.range(0, 30 * cores * share, 1, 1).selectExpr("CAST(id AS STRING) AS value")
+    batches = []
+    replayed = streaming.replayed(spark, rows).writeStream.foreachBatch(lambda df, i: batches.append(df.count()))
+    replayed.option("checkpointLocation", str(tmp_path)).trigger(availableNow=True).start().awaitTermination()
+    assert batches == [10 * cores * share] * 3
+
+
 def test_a_log_that_is_not_there_has_no_rows(spark, tmp_path):
     assert read_metrics(spark, str(tmp_path / "nothing")).count() == 0
 
