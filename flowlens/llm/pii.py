@@ -5,10 +5,10 @@ spelled-out signs, any dotted or grouped run of digits, IPv6, long mixed strings
 trees judge them by format and context. There are no labels for personal data, so weak ones take their place:
 a candidate counts as right if it covers a base span or if ``clear`` says so by what the trees don't see (a word
 that announces it, a checksum, a valid form of the address, randomness). Clear candidates are always added.
-Each kind has trees of its own, from ``TRAINING_ROWS`` distinct candidates of the kind in the whole table (those
-with the smallest hash of their text and context, a documented bound for fitting only). Odd hashes are held
-out; on them the threshold of the kind is the smallest score from which on at least ``PRECISION`` of the
-candidates are right. A kind with too few such rows has its clear candidates only.
+Each kind has trees of its own, from all distinct candidates of the kind in the whole table; candidates with the
+same text and context are one. Those with odd hashes are held out; on all of them the threshold of the kind is the
+smallest score from which on at least ``PRECISION`` of the candidates are right. A kind with too few such rows
+has its clear candidates only.
 
 All scanning is linear in the length of the text.
 """
@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm.queries import query, table
-from flowlens.workspace import materialize
+from flowlens.operators.ranking import running_counts
+from flowlens.workspace import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = (*KINDS, "secret")
-#: Candidates of each kind.
-TRAINING_ROWS = 4000
+#: Texts handled at once.
+TEXTS = 256
 TREES, DEPTH, SEED = 12, 3, 7
 PRECISION, HELD_OUT_ROWS = 0.99, 20
 #: A candidate that covers nearly a base span of its kind counts as right.
@@ -281,57 +282,67 @@ def _sample_hash(text: str, span: Span) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(seen).encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(at, TEXTS) for at in range(0, batch.num_rows, TEXTS))
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Candidates of all documents, at most ``TRAINING_ROWS`` of a kind from a task: ``h``, ``kind``, ``label``, ``features``."""
+    """The distinct candidates of all documents: ``h``, ``kind``, ``features``, ``label``."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(text_col).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, dict[int, tuple[float, list[float]]]] = {kind: {} for kind in ADDED_KINDS}
-        border = dict.fromkeys(ADDED_KINDS, 1 << 63)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for part in _in_parts(batches):
+            found: dict[int, tuple[int, str, list[float], float]] = {}
+            for text in part.column(0).to_pylist():
                 text = text or ""
                 strict = base_spans(text)
                 for span in set(strict) | set(candidates(text)):
-                    h, own = _sample_hash(text, span), kept[span[0]]
-                    if h >= border[span[0]] or h in own:
-                        continue
+                    h = _sample_hash(text, span)
                     near = [s for s in strict if s[0] == span[0] and s[1] < span[2] and span[1] < s[2]] if span[0] in KINDS else []
-                    right = any(alike(s, span) >= ALIKE for s in near) or clear(text, span)
-                    own[h] = float(right), [float(x) for x in features(text, span)]
-                    if len(own) >= 2 * TRAINING_ROWS:
-                        smallest = sorted(own)[: TRAINING_ROWS + 1]
-                        border[span[0]] = smallest.pop()
-                        kept[span[0]] = {x: own[x] for x in smallest}
-        found = [(h, kind, *kept[kind][h]) for kind in ADDED_KINDS for h in sorted(kept[kind])[:TRAINING_ROWS]]
-        columns = [list(x) for x in zip(*found)] or [[], [], [], []]
-        types = [pa.int64(), pa.string(), pa.float64(), pa.list_(pa.float64())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["h", "kind", "label", "features"])
+                    right = float(any(alike(s, span) >= ALIKE for s in near) or clear(text, span))
+                    if h not in found or found[h][3] < right:
+                        found[h] = h, span[0], [float(x) for x in features(text, span)], right
+            columns = [list(x) for x in zip(*found.values())] or [[], [], [], []]
+            types = [pa.int64(), pa.string(), pa.list_(pa.float64()), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["h", "kind", "features", "label"])
 
-    return rows.mapInArrow(run, "h long, kind string, label double, features array<double>")
+    every = rows.mapInArrow(run, "h long, kind string, features array<double>, label double")
+    return every.groupBy("h", "kind", "features").agg(F.max("label").alias("label"))
+
+
+def scored(rows: DataFrame, judge: Judge) -> DataFrame:
+    """``score`` and ``label`` of training rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                width = len(batch.column("features")[0])
+                given = batch.column("features").flatten().to_numpy().reshape(-1, width)
+                yield pa.RecordBatch.from_arrays([pa.array(judge.scores(given)), batch.column("label")], ["score", "label"])
+
+    return rows.select("features", "label").mapInArrow(run, "score double, label double")
 
 
 def fit_judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Judge:
-    """Boosted trees and a threshold for each kind from a bounded sample; without both labels clear candidates only."""
+    """Boosted trees and a threshold for each kind from all candidates; without both labels clear candidates only."""
     rows = materialize(training_rows(docs, id_col, text_col), "pii-training")
+    odd = F.col("h") % 2 != 0
+    sizes = {(r.kind, r.odd, r.label): r.n for r in rows.groupBy("kind", odd.alias("odd"), "label").agg(F.count("*").alias("n")).collect()}
     judge = Judge([], [], {})
     for kind in ADDED_KINDS:
-        found = rows.where(F.col("kind") == kind).dropDuplicates(["h"]).orderBy("h").limit(TRAINING_ROWS).collect()
-        own, held = [r for r in found if r.h % 2 == 0], [r for r in found if r.h % 2 == 1]
-        truth = np.array([r.label for r in held])
-        if truth.sum() < HELD_OUT_ROWS or len({r.label for r in own}) < 2:
+        if sizes.get((kind, True, 1.0), 0) < HELD_OUT_ROWS or not all((kind, False, x) in sizes for x in (0.0, 1.0)):
             continue
-        frame = docs.sparkSession.createDataFrame([(r.label, r.features) for r in own], "label double, features array<double>")
+        of_kind = rows.where(F.col("kind") == kind)
         learner = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
-        model = learner.fit(frame.coalesce(1).select("label", array_to_vector("features").alias("vector")))
+        model = learner.fit(of_kind.where(~odd).select("label", array_to_vector("features").alias("vector")))
         judge.of_kind[kind] = Judge([_tree(t) for t in model.trees], list(model.treeWeights), {})
-        scores = judge.of_kind[kind].scores(np.array([r.features for r in held]))
-        order = np.argsort(-scores, kind="stable")
-        scores, right = scores[order], np.cumsum(truth[order])
-        last = np.append(scores[1:] != scores[:-1], True)  # equal scores stand or fall together
-        good = np.flatnonzero(last & (right >= PRECISION * np.arange(1, len(right) + 1)))
-        if len(good):
-            judge.thresholds[kind] = float(scores[good[-1]])
+        # equal scores stand or fall together
+        ranked = running_counts(scored(of_kind.where(odd), judge.of_kind[kind]), "score", {"n": F.lit(1), "good": F.col("label")})
+        lowest = ranked.where(F.col("cum_good") >= PRECISION * F.col("cum_n")).agg(F.min("score")).first()[0]
+        if lowest is not None:
+            judge.thresholds[kind] = lowest
+    discard(rows)
     return judge
 
 
@@ -357,7 +368,7 @@ def find(docs: DataFrame, judge: Judge | None = None, id_col: str = "doc_id", te
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_parts(batches):
             found = [all_spans(x.as_py() or "", judge) for x in batch.column(1)]
             named = [[[dict(zip(("kind", "start", "end"), s)) for s in x[i]] for x in found] for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
@@ -394,7 +405,7 @@ def redact(docs: DataFrame, judge: Judge | None = None, id_col: str = "doc_id",
     at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_parts(batches):
             columns = list(batch.columns)
             old = columns[at].to_pylist()
             new = [x and redacted(x, all_spans(x, judge)[1]) for x in old]

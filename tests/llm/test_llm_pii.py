@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import time
@@ -164,3 +165,23 @@ def test_short_forms_of_addresses_are_proposed_and_names_are_not():
     for text in ("std::be::a", "abc::def 1", "a::b::c 2", "at 12:30:45", "1::2::3", "x2001:db8::1", "fade::cafe::1"):
         spans = [s for s in pii.candidates(text) if s[0] == "ip"]
         assert not any(pii.clear(text, s) for s in spans), (text, spans)
+
+
+def test_every_candidate_counts_in_trees_and_thresholds(spark):
+    """12,000 codes of which each comes once: training has them all, half of them held out, copies once."""
+    code = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    texts = [f"token = {code(i)} ends" if i % 2 else f"part {code(i)} ends" for i in range(12_000)]
+    docs = table_of(spark, texts + texts[:100])
+    rows = pii.training_rows(docs).where("kind = 'secret'").collect()
+    assert len(rows) == len({r.h for r in rows}) == 12_000 and sum(r.label for r in rows) == 6_000
+
+
+def test_threshold_is_the_lowest_precise_score_of_all_held_out(spark):
+    docs = table_of(spark, with_data(1500))
+    judge, rows = pii.fit_judge(docs), pii.training_rows(docs).where("h % 2 != 0").collect()
+    assert judge.thresholds
+    for kind, threshold in judge.thresholds.items():
+        held = [r for r in rows if r.kind == kind]
+        scores = judge.of_kind[kind].scores(np.array([r.features for r in held]))
+        precise = [s for s in set(scores) if np.mean([r.label for r, x in zip(held, scores) if x >= s]) >= pii.PRECISION]
+        assert threshold == min(precise)
