@@ -43,13 +43,18 @@ def forest(
 
 
 def fit_forest(df: DataFrame, by_cells: bool | None = None, **params) -> PipelineModel:
-    """A forest on all rows. Many rows that share few cells are fitted by ``fit_on_cells``; ``by_cells`` decides otherwise."""
+    """A forest on all rows. Many rows that share few cells are fitted by ``fit_on_cells``; ``by_cells`` decides otherwise.
+
+    The plain fit keeps each row's node of every tree, so that a level of the trees costs a row one step and not the
+    way from the root; the forest is the same.
+    """
     rows = df.count() if by_cells is None else 0
     if by_cells or rows >= MANY_ROWS:
         model = fit_on_cells(df, None if by_cells else rows // ROWS_PER_CELL, **params)
         if model is not None:
             return PipelineModel(stages=[model])
-    return Pipeline(stages=[forest(**params)]).fit(df)
+    learner = forest(**params).setCacheNodeIds(True).setCheckpointInterval(-1)
+    return Pipeline(stages=[learner]).fit(df)
 
 
 def bin_values(df: DataFrame, vec: str = K.SCALED_VECTOR) -> list[list[float]]:

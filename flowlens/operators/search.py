@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators.clustering import centroid_table, distance_to_centroid, fit_kmeans, silhouette
 from flowlens.operators.evaluation import score_stats
-from flowlens.operators.forest import fit_forest, forest, running_predictions
+from flowlens.operators.forest import fit_forest, running_predictions
 from flowlens.operators.sampling import bernoulli_sample, stratified_sample
 from flowlens.workspace import discard, materialize
 
@@ -80,6 +82,17 @@ def refit_kmeans(benign: DataFrame, best: DataFrame, seed: int = K.SEED, vec: st
     return fit_kmeans(benign, k=row["k"], max_iter=row["max_iter"], tol=row["tol"], seed=seed, vec=vec)
 
 
+def features_per_split(subset: str, features: int) -> int | str:
+    """How many features a split of a forest may choose from; a strategy that isn't known here stands for itself."""
+    counts = {
+        "all": features,
+        "sqrt": math.ceil(math.sqrt(features)),
+        "log2": max(1, math.ceil(math.log(features) / math.log(2))),
+        "onethird": math.ceil(features / 3),
+    }
+    return counts.get(subset, subset)
+
+
 def search_forest(
     train: DataFrame,
     grid: Mapping[str, Sequence] = K.FOREST_GRID,
@@ -95,7 +108,8 @@ def search_forest(
 
     The sample is written once with a fold for each row. For each fold, depth and subset one forest is fitted, with
     the most trees of the grid; smaller numbers of trees are its first ones, whose votes are kept while the
-    others' are added. All sizes are scored in one pass, to confusion cells that ``metric`` is computed from;
+    others' are added. Subsets of the same number of features share a forest: with one seed theirs are the same.
+    All sizes are scored in one pass, to confusion cells that ``metric`` is computed from;
     it may be any metric of Spark's evaluator that needs no probabilities.
     """
     spark, sizes = train.sparkSession, sorted(set(grid["trees"]))
@@ -107,10 +121,16 @@ def search_forest(
         labelCol=K.LABEL_INDEX, predictionCol=K.PREDICTION, metricName=metric, weightCol="n"
     )
 
-    def scores(job: tuple[int, int, str]) -> dict[tuple, float]:
-        number, depth, subset = job
-        fitted = forest(sizes[-1], depth, subset, weight_col, seed).fit(sample.where(F.col("__fold") != number))
-        held, names = running_predictions(fitted, sample.where(F.col("__fold") == number), sizes)
+    first = sample.select(F.size(vector_to_array(K.SCALED_VECTOR))).first()
+    alike: dict[int | str, list[str]] = {}
+    for subset in dict.fromkeys(grid["subset"]):
+        alike.setdefault(features_per_split(subset, first[0]) if first else subset, []).append(subset)
+
+    def scores(job: tuple[int, int, list[str]]) -> dict[tuple, float]:
+        number, depth, subsets = job
+        others = sample.where(F.col("__fold") != number)
+        fitted = fit_forest(others, trees=sizes[-1], depth=depth, subset=subsets[0], weight_col=weight_col, seed=seed)
+        held, names = running_predictions(fitted.stages[-1], sample.where(F.col("__fold") == number), sizes)
         each = F.explode(F.array(*(F.struct(F.lit(n).alias("trees"), F.col(c).alias(K.PREDICTION)) for n, c in zip(sizes, names))))
         cells = held.select(K.LABEL_INDEX, weight.alias("__w"), each.alias("x")).groupBy("x.trees", K.LABEL_INDEX, f"x.{K.PREDICTION}")
         rows = cells.agg(F.sum("__w").alias("n")).collect()  # a row per size and pair of classes
@@ -118,10 +138,11 @@ def search_forest(
         for size in sizes:
             own = [r[1:] for r in rows if r["trees"] == size]
             table = spark.createDataFrame(own, f"{K.LABEL_INDEX} double, {K.PREDICTION} double, n double")
-            found[size, depth, subset] = evaluator.evaluate(table) if own else float("nan")
+            score = evaluator.evaluate(table) if own else float("nan")
+            found |= {(size, depth, subset): score for subset in subsets}
         return found
 
-    jobs = [(number, depth, subset) for depth in grid["depth"] for subset in grid["subset"] for number in range(folds)]
+    jobs = [(n, depth, subsets) for depth in sorted(set(grid["depth"]), reverse=True) for subsets in alike.values() for n in range(folds)]
     totals: dict[tuple, list[float]] = {}
     with ThreadPool(parallelism) as pool:
         for found in pool.imap_unordered(inheritable_thread_target(spark)(scores), jobs):

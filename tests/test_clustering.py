@@ -1,12 +1,13 @@
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators import clustering
 from flowlens.operators import forest as forest_module
+from flowlens.operators import search as search_module
 from flowlens.operators.clustering import (
     assign_centroid,
     centroid_table,
@@ -232,6 +233,27 @@ def test_search_scores_equal_separate_fits(flows):
         assert found[trees, depth] == pytest.approx(sum(scores) / 2, abs=1e-9 if trees == 40 else 0.1)
 
 
+def test_subsets_of_as_many_features_share_a_forest(flows, monkeypatch):
+    """Of 5 features, sqrt and log2 both draw three: each fold is fitted once for them and scored as by separate fits."""
+    assert [search_module.features_per_split(s, 4) for s in ("sqrt", "log2", "all", "onethird", "0.5")] == [2, 2, 4, 2, "0.5"]
+    assert search_module.features_per_split("sqrt", 78) == 9 and search_module.features_per_split("log2", 78) == 7
+    five = F.concat(vector_to_array(K.SCALED_VECTOR), F.array(F.rand(1), F.rand(2), F.rand(3)))
+    one_file = materialize(flows.withColumn(K.SCALED_VECTOR, array_to_vector(five)).coalesce(1), "wide")
+    fits = []
+    monkeypatch.setattr(search_module, "fit_forest", lambda *a, **k: fits.append(k["subset"]) or fit_forest(*a, **k))
+    grid = {"trees": [2, 4], "depth": [3], "subset": ["sqrt", "log2", "all"]}
+    found = {(r.trees, r.subset): r.avg_metric for r in search_forest(one_file, grid, folds=2, fraction=1.0).collect()}
+    assert sorted(fits) == ["all", "all", "sqrt", "sqrt"] and len(found) == 6
+    alone = search_forest(one_file, grid | {"subset": ["log2"]}, folds=2, fraction=1.0).collect()
+    assert {r.trees: r.avg_metric for r in alone} == {t: found[t, s] for t, s in found if s == "log2"} == {t: found[t, "sqrt"] for t in (2, 4)}
+
+
+def test_kept_nodes_give_the_same_forest(flows):
+    kept = fit_forest(flows, trees=6, depth=6).stages[0]
+    plain = forest(6, 6).fit(flows)
+    assert kept.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
+
+
 def test_first_of_equal_combinations_wins(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (2, 0.4)], "position int, avg_metric double")
     assert best_forest(df).first().position == 0
