@@ -22,8 +22,8 @@ from flowlens.workspace import discard, materialize
 BINS = 32
 #: From so many rows on a forest is fitted on the cells of its bins, if these are at most a quarter of the rows.
 MANY_ROWS, ROWS_PER_CELL = 2_000_000, 4
-#: Trees fitted at the same time; cells in a file.
-TREES_AT_ONCE, CELLS_PER_FILE = 8, 50_000
+#: Trees fitted at the same time; cells in a file; cells that a task of one tree's fit reads.
+TREES_AT_ONCE, CELLS_PER_FILE, CELLS_PER_TASK = 8, 50_000, 125_000
 
 
 def forest(
@@ -138,13 +138,15 @@ def fit_on_cells(
 
     A tree tells no more than ``BINS`` bins of a feature apart, so rows of one label and weight in one cell are the same to
     it. Every row counts, in a cell's number of rows. The cells are bounded by the bins, however many rows there are.
-    Each tree is fitted by itself on its own bootstrap weights; the trees are then put together.
+    Each tree is fitted by itself on its own bootstrap weights, in few tasks, as others are fitted at the same time; the
+    trees are then put together.
     """
     spark, values = df.sparkSession, bin_values(df, vec)
     if not values:
         return None
     cells = materialize(forest_cells(df, values, vec, label, weight_col), "cells")
-    if most is not None and cells.count() > most:
+    number = cells.count()
+    if most is not None and number > most:
         discard(cells)
         return None
     given = df.schema[label].metadata
@@ -155,7 +157,7 @@ def fit_on_cells(
 
     def fit(i: int) -> RandomForestClassificationModel:
         learner = forest(1, depth, subset, f"w{i}", seed + i, vec, label).setBootstrap(False)
-        return learner.fit(rows.where(F.col(f"w{i}") > 0).select(label, vec, f"w{i}"))
+        return learner.fit(rows.where(F.col(f"w{i}") > 0).select(label, vec, f"w{i}").coalesce(-(-number // CELLS_PER_TASK)))
 
     with ThreadPool(TREES_AT_ONCE) as pool:
         fitted = pool.map(inheritable_thread_target(spark)(fit), range(trees), chunksize=1)
