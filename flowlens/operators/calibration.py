@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from flowlens.functions.predicates import levels_below
 from flowlens.operators.evaluation import with_binary_metrics
 from flowlens.operators.ranking import score_quantiles
 
+#: Models that cross-fitting fits at the same time.
+FITS_AT_ONCE = 3
+
 
 def threshold_candidates(quantiles: DataFrame, points: int = K.GRID_POINTS) -> DataFrame:
     """The quantiles and evenly spaced points from the lowest to the highest, without repeats."""
@@ -111,7 +116,8 @@ def cross_fitted(
 
     ``fit`` gets the rows of the other folds and ``apply`` the model and the rows of its fold. A grid over the
     result has each candidate's confusion counts added over the folds. Rows whose fold is missing or not in
-    0 .. folds - 1 have no such model and are an error. Give a written table: it is read twice per fold.
+    0 .. folds - 1 have no such model and are an error. Give a written table: it is read twice per fold. Up to
+    ``FITS_AT_ONCE`` models are fitted at the same time.
     """
     if folds < 2:
         raise ValueError("cross-fitting needs two folds or more")
@@ -119,5 +125,10 @@ def cross_fitted(
     stray = df.where(f.isNull() | (f < 0) | (f >= folds)).limit(1).count()
     if stray:
         raise ValueError(f"rows whose {fold} is not in 0 .. {folds - 1}")
-    parts = [apply(fit(df.where(f != i)), df.where(f == i)) for i in range(folds)]
+
+    def part(i: int) -> DataFrame:
+        return apply(fit(df.where(f != i)), df.where(f == i))
+
+    with ThreadPool(min(folds, FITS_AT_ONCE)) as pool:
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(part), range(folds), chunksize=1)
     return reduce(DataFrame.unionByName, parts)

@@ -32,6 +32,7 @@ from flowlens.operators.search import refit_kmeans, search_kmeans, select_model
 from flowlens.plans.layout import Layout
 from flowlens.sources.documents import read_values, write_values
 from flowlens.sources.tables import load_model, read_table, save_model, write_table
+from flowlens.workspace import discard, materialize
 
 STORED = [*K.CLUSTER_SCORE_COLUMNS, K.LABEL]
 
@@ -75,11 +76,12 @@ def train_clusters(
 ) -> dict:
     """Fit on the benign training rows, save the model and its clustering metrics."""
     params = {**K.CLUSTERS, **params}
-    rows = benign_rows(spark, layout, benign or benign_label(layout))
+    rows = materialize(benign_rows(spark, layout, benign or benign_label(layout)), "benign")
     start = time.time()
     model = fit_kmeans(rows, **params)
     seconds = time.time() - start
     report = fit_report(model, rows, seconds, params)
+    discard(rows)
     save_model(model, layout("models", name))
     write_values(spark, report, layout("reports", f"{name}_train"))
     return report
@@ -100,21 +102,27 @@ def calibrate_clusters(
     The scores are written once and ranked once; threshold grid and AUC are sums over the ranking.
     The model has seen the benign training rows, whose distances are thus a little short. With ``folds``, each
     row is scored by clusters fitted, with the stored model's parameters, on the benign rows of the other folds.
+    Benign and other rows of each fold are written to folders of their own, so that a fit reads no more than its rows.
     """
-    benign = benign or benign_label(layout)
+    benign, parts = benign or benign_label(layout), None
     train = read_table(spark, layout("processed", "train"))
     if folds is None:
         scores = score(load_model(layout("models", name)), train, benign)
     else:
         trained = read_values(spark, layout("reports", f"{name}_train"))
         params = {p: trained.get(p, default) for p, default in K.CLUSTERS.items()}
+        is_benign = F.coalesce(F.col(K.LABEL) == benign, F.lit(False)).cast("int").alias("benign")
+        fold = fold_of([K.SCALED_VECTOR], folds).alias("fold")
+        parts = materialize(train.select(K.LABEL, K.SCALED_VECTOR, is_benign, fold), "folds", by=["fold", "benign"])
         scores = cross_fitted(
-            train.select(K.LABEL, K.SCALED_VECTOR, fold_of([K.SCALED_VECTOR], folds).alias("fold")),
-            lambda rows: fit_kmeans(rows.where(F.col(K.LABEL) == benign), **params),
+            parts,
+            lambda rows: fit_kmeans(rows.where(F.col("benign") == 1), **params),
             lambda model, rows: score(model, rows, benign),
             folds,
         )
     write_table(scores.select(K.SCORE, K.TRUTH), layout("scores", f"{name}_calibration"))
+    if parts is not None:
+        discard(parts)
     scored = read_table(spark, layout("scores", f"{name}_calibration"))
     quantiles = score_quantiles(scored.where(F.col(K.TRUTH) == 0), K.SCORE, probabilities, rel_err)
     found = {r["probability"]: r["quantile"] for r in quantiles.collect()}

@@ -1,4 +1,5 @@
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from flowlens.operators.calibration import (
 )
 from flowlens.operators.evaluation import evaluate_at_threshold, report_at
 from flowlens.operators.ranking import score_quantiles
+from flowlens.workspace import materialize
 
 PROBS = [0.90, 0.95, 0.97, 0.99, 0.999]
 
@@ -135,3 +137,25 @@ def test_copies_share_a_fold(spark):
     df = spark.createDataFrame([(i % 50, None if i % 5 else 1.0) for i in range(200)], "a int, b double")
     folds = df.select("a", fold_of(["a", "b"], 4).alias("fold")).distinct()
     assert folds.count() == 50 and {r.fold for r in folds.collect()} == {0, 1, 2, 3}
+
+
+def test_folds_are_fitted_at_the_same_time(spark):
+    """No model waits for another: each fit goes on only once the others have begun."""
+    begun = threading.Barrier(3, timeout=30)
+    rows = spark.range(9).select("id", (F.col("id") % 3).cast("int").alias("fold"))
+
+    def fit(others):
+        begun.wait()
+        return others.count()
+
+    scored = cross_fitted(rows, fit, lambda n, own: own.withColumn("others", F.lit(n)), 3)
+    assert sorted((r.id, r.others) for r in scored.collect()) == [(i, 6) for i in range(9)]
+
+
+def test_a_filter_on_folder_columns_opens_their_folders_only(spark):
+    rows = spark.range(12).select("id", (F.col("id") % 3).cast("int").alias("fold"), (F.col("id") % 2).cast("int").alias("benign"))
+    written = materialize(rows, "folds", by=["fold", "benign"])
+    assert sorted(written.select("id", "fold", "benign").collect()) == rows.collect() and written.schema["fold"].dataType == rows.schema["fold"].dataType
+    some = written.where((F.col("fold") != 1) & (F.col("benign") == 1)).select("id", F.input_file_name().alias("file")).collect()
+    assert sorted(r.id for r in some) == [3, 5, 9, 11]
+    assert {tuple(r.file.split("/")[-3:-1]) for r in some} == {("fold=0", "benign=1"), ("fold=2", "benign=1")}
