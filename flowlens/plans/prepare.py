@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -80,7 +82,10 @@ def prepare(
     layout: Layout,
     encoding: str = "UTF-8",
 ) -> list[str]:
-    """Clean both splits, fit the preparation on train, write the processed tables; returns the features."""
+    """Clean both splits, fit the preparation on train, write the processed tables; returns the features.
+
+    The splits don't wait for each other: both are cleaned at the same time, and so are the processed tables written.
+    """
     train_raw = require_columns(read_raw_csv(spark, train_paths, encoding), [K.LABEL])
     test_raw = require_columns(read_raw_csv(spark, test_paths, encoding), [K.LABEL])
     features = feature_order(detect_numeric(train_raw))
@@ -88,13 +93,18 @@ def prepare(
         raise ValueError("no numeric column found")
     require_columns(test_raw, features)
 
-    train = clean_to_table(cast_features(train_raw, features), "train", features, layout)
-    test = clean_to_table(cast_features(test_raw, features), "test", features, layout)
+    def cleaned(split: str, raw: DataFrame) -> DataFrame:
+        return clean_to_table(cast_features(raw, features), split, features, layout)
+
+    def processed(split: str, rows: DataFrame, cols: Sequence[str]) -> None:
+        ready = fitted.transform(rows)
+        write_table(weighted_training_set(ready) if split == "train" else ready, layout("processed", split), cols)
 
-    fitted = Pipeline(stages=preparation_stages(features)).fit(train)
-    weighted = weighted_training_set(fitted.transform(train))
-    write_table(weighted, layout("processed", "train"), K.TRAIN_COLUMNS)
-    write_table(fitted.transform(test), layout("processed", "test"), K.TEST_COLUMNS)
+    with ThreadPool(2) as pool:
+        train, test = pool.starmap(inheritable_thread_target(spark)(cleaned), [("train", train_raw), ("test", test_raw)])
+        fitted = Pipeline(stages=preparation_stages(features)).fit(train)
+        tables = [("train", train, K.TRAIN_COLUMNS), ("test", test, K.TEST_COLUMNS)]
+        pool.starmap(inheritable_thread_target(spark)(processed), tables)
 
     save_model(fitted.stages[0], layout("models", "indexer"))
     save_model(fitted.stages[2], layout("models", "scaler"))

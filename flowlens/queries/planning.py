@@ -22,22 +22,22 @@ _PREPARED: dict[tuple[str, str], Layout] = {}
 def prepared(spark, sf) -> Layout:
     """The dirty rows as raw files of train and test days, prepared once per session and folder.
 
-    Text that is no number would make its column text, so it is missing here. All copies of a row lie in
+    One job writes both splits. Text that is no number would make its column text, so it is missing here. All copies of a row lie in
     one file, as a row's file is part of the row.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _PREPARED:
         day = F.dayofweek("l_shipdate")
+        split = F.when(day.isin(2, 4, 6), "train").when(day.isin(3, 5), "test")
         quantity = F.when(F.col("q_txt") != "abc", F.col("q_txt"))
         rows = dirty(spark, sf).select(
-            "l_orderkey", "l_linenumber", "l_partkey", quantity.alias("q"), F.col("p_txt").alias("p"), "label", day.alias("day")
+            "l_orderkey", "l_linenumber", "l_partkey", quantity.alias("q"), F.col("p_txt").alias("p"), "label", split.alias("split")
         )
         raw = shared_dir(spark, "raw")
-        for split, days in (("train", (2, 4, 6)), ("test", (3, 5))):
-            part = rows.where(F.col("day").isin(*days)).drop("day")
-            part.repartition(*part.columns).write.option("header", True).csv(f"{raw}/{split}")
+        known = rows.where(F.col("split").isNotNull())
+        known.repartition(*known.columns).write.partitionBy("split").option("header", True).csv(raw)
         layout = Layout(shared_dir(spark, "project"))
-        prepare(spark, f"{raw}/train", f"{raw}/test", layout)
+        prepare(spark, f"{raw}/split=train", f"{raw}/split=test", layout)
         _PREPARED[key] = layout
     return _PREPARED[key]
 

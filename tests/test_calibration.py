@@ -17,6 +17,7 @@ from flowlens.operators.calibration import (
 )
 from flowlens.operators.evaluation import evaluate_at_threshold, report_at
 from flowlens.operators.ranking import score_quantiles
+from flowlens.queries.registry import dirty
 from flowlens.workspace import materialize
 
 PROBS = [0.90, 0.95, 0.97, 0.99, 0.999]
@@ -159,3 +160,10 @@ def test_a_filter_on_folder_columns_opens_their_folders_only(spark):
     some = written.where((F.col("fold") != 1) & (F.col("benign") == 1)).select("id", F.input_file_name().alias("file")).collect()
     assert sorted(r.id for r in some) == [3, 5, 9, 11]
     assert {tuple(r.file.split("/")[-3:-1]) for r in some} == {("fold=0", "benign=1"), ("fold=2", "benign=1")}
+
+
+def test_dirty_rows_are_read_once(spark, sf):
+    rows = dirty(spark, sf)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    base = spark.read.parquet(f"{sf}/lineitem.parquet")
+    assert rows.count() == base.count() + base.where("l_partkey % 20 = 0").count()
