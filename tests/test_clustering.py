@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -248,6 +249,13 @@ def test_subsets_of_as_many_features_share_a_forest(flows, monkeypatch):
     assert {r.trees: r.avg_metric for r in alone} == {t: found[t, s] for t, s in found if s == "log2"} == {t: found[t, "sqrt"] for t in (2, 4)}
 
 
+def test_a_tree_on_few_cells_takes_one_task(flows, monkeypatch):
+    parts, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(forest_module, "CELLS_PER_FILE", 10)
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: parts.append(df.rdd.getNumPartitions()) or fit(self, df))
+    assert len(fit_on_cells(flows, trees=2, depth=2).trees) == 2 and parts == [1, 1]
+
+
 def test_kept_nodes_give_the_same_forest(flows):
     kept = fit_forest(flows, trees=6, depth=6).stages[0]
     plain = forest(6, 6).fit(flows)
