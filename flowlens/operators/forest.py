@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.functions.predicates import binary_label, levels_below
-from flowlens.workspace import discard, materialize
+from flowlens.operators import trees as grower
+from flowlens.workspace import discard, discard_path, materialize, shared_dir
 
 #: Bins of a feature that a tree tells apart (Spark's default).
 BINS = 32
@@ -24,6 +27,8 @@ BINS = 32
 MANY_ROWS, ROWS_PER_CELL = 2_000_000, 4
 #: Trees fitted at the same time; cells in a file; cells that a task of one tree's fit reads.
 TREES_AT_ONCE, CELLS_PER_FILE, CELLS_PER_TASK = 8, 50_000, 125_000
+#: From so many cells times trees on each tree is grown by one task, if a task can hold all cells.
+MANY_CELLS = 100_000
 
 
 def forest(
@@ -42,6 +47,17 @@ def forest(
     )
 
 
+def features_per_split(subset: str, features: int) -> int | str:
+    """How many features a split of a forest may choose from; a strategy that isn't known here stands for itself."""
+    counts = {
+        "all": features,
+        "sqrt": math.ceil(math.sqrt(features)),
+        "log2": max(1, math.ceil(math.log(features) / math.log(2))),
+        "onethird": math.ceil(features / 3),
+    }
+    return counts.get(subset, subset)
+
+
 def fit_forest(df: DataFrame, by_cells: bool | None = None, **params) -> PipelineModel:
     """A forest on all rows. Many rows that share few cells are fitted by ``fit_on_cells``; ``by_cells`` decides otherwise.
 
@@ -138,8 +154,8 @@ def fit_on_cells(
 
     A tree tells no more than ``BINS`` bins of a feature apart, so rows of one label and weight in one cell are the same to
     it. Every row counts, in a cell's number of rows. The cells are bounded by the bins, however many rows there are.
-    Each tree is fitted by itself on its own bootstrap weights, in few tasks, as others are fitted at the same time; the
-    trees are then put together.
+    Each tree is fitted by itself on its own bootstrap weights: of many cells that a task can hold by a task of its own
+    (``trees.grow``), else by Spark ML in few tasks, as others are fitted at the same time; the trees are then put together.
     """
     spark, values = df.sparkSession, bin_values(df, vec)
     if not values:
@@ -150,8 +166,14 @@ def fit_on_cells(
         discard(cells)
         return None
     given = df.schema[label].metadata
-    if "ml_attr" not in given:
+    if not {"num_vals", "vals"} & set(given.get("ml_attr", {})):
         given = {"ml_attr": {"type": "nominal", "num_vals": int(cells.agg(F.max("label")).first()[0]) + 1}}
+    per_split = features_per_split(subset, len(values))
+    if trees * number >= MANY_CELLS and isinstance(per_split, int) and grower.fits(number, len(values)):
+        like = forest(trees, depth, subset, weight_col, seed, vec, label)
+        model = _grown(cells, values, like, given["ml_attr"], per_split)
+        discard(cells)
+        return model
     drawn = materialize(with_draws(cells, trees, seed), "draws", rows_per_file=CELLS_PER_FILE)
     rows = drawn.withColumn(vec, array_to_vector("x")).withColumn(label, F.col("label").alias(label, metadata=given))
 
@@ -166,6 +188,48 @@ def fit_on_cells(
     return _made_of(spark, [m._java_obj.trees()[0] for m in fitted], fitted[0])
 
 
+def classes_of(attribute: dict) -> int:
+    """The number of classes that the metadata of a label tells of."""
+    return int(attribute["num_vals"]) if "num_vals" in attribute else len(attribute["vals"])
+
+
+def _grown(
+    cells: DataFrame, values: Sequence[Sequence[float]], like: RandomForestClassifier, attribute: dict, per_split: int
+) -> RandomForestClassificationModel:
+    """A forest as ``like`` fits it, its trees grown by tasks on all cells. Spark ML reads it in its own format of saved models."""
+    spark, trees, classes = cells.sparkSession, like.getNumTrees(), classes_of(attribute)
+    vec, label = like.getFeaturesCol(), like.getLabelCol()
+    own = grower.packed(cells, values, classes)
+    path, shape = shared_dir(spark, "grown"), shared_dir(spark, "shape")
+    marked = F.col(label).alias(label, metadata={"ml_attr": attribute})
+    one = spark.createDataFrame([(0.0, [0.0] * len(values), 1.0)], f"`{label}` double, x array<double>, w double")
+    small = like.copy({like.numTrees: 1, like.maxDepth: 0, like.featureSubsetStrategy: "all"})
+    if like.isSet(like.weightCol):
+        one = one.withColumnRenamed("w", like.getWeightCol())
+    template = small.fit(one.withColumn(vec, array_to_vector("x")).withColumn(label, marked))
+    template.write().save(shape)
+    given = json.loads(spark.read.text(f"{shape}/metadata").first()[0])
+    given["paramMap"] |= {"numTrees": trees, "maxDepth": like.getMaxDepth(), "featureSubsetStrategy": like.getFeatureSubsetStrategy()}
+    spark.createDataFrame([(json.dumps(given | {"numTrees": trees}),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    about = json.loads(spark.read.parquet(f"{shape}/treesMetadata").first()[1])
+    about["paramMap"] |= {"maxDepth": like.getMaxDepth()}
+    rows = [(i, json.dumps(about | {"uid": f"{about['uid']}_{i}"}), 1.0) for i in range(trees)]
+    spark.createDataFrame(rows, "_1 int, _2 string, _3 double").write.parquet(f"{path}/treesMetadata")
+    nodes = grower.grown_nodes(spark, own, trees, like.getMaxDepth(), per_split, like.getSeed(), classes)
+    inner = F.col("feature") >= 0
+    split = F.struct(
+        F.col("feature").alias("featureIndex"),
+        F.when(inner, F.array("threshold")).otherwise(F.array().cast("array<double>")).alias("leftCategoriesOrThreshold"),
+        F.lit(-1).alias("numCategories"),
+    )
+    data = F.struct(*(c for c in nodes.columns if c not in ("treeID", "feature", "threshold")), split.alias("split"))
+    nodes.select("treeID", data.alias("nodeData")).write.parquet(f"{path}/data")
+    model = RandomForestClassificationModel.load(path)
+    for folder in (path, shape):
+        discard_path(spark, folder)
+    return model
+
+
 def part_of(spark: SparkSession, model: RandomForestClassificationModel, low: int, high: int) -> RandomForestClassificationModel:
     """The forest of the trees from ``low`` up to ``high`` of a fitted one."""
     return _made_of(spark, model._java_obj.trees()[low:high], model)
