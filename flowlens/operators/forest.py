@@ -29,6 +29,8 @@ MANY_ROWS, ROWS_PER_CELL = 2_000_000, 4
 TREES_AT_ONCE, CELLS_PER_FILE, CELLS_PER_TASK = 8, 50_000, 125_000
 #: From so many cells times trees on each tree is grown by one task, if a task can hold all cells.
 MANY_CELLS = 100_000
+#: A forest whose splits make at most so many cells of all features is applied to many rows through a table of these.
+TABLE_CELLS = 250_000
 
 
 def forest(
@@ -265,9 +267,66 @@ def running_predictions(model: RandomForestClassificationModel, df: DataFrame, s
     return df.drop("__sum"), names
 
 
-def predict(model: PipelineModel, df: DataFrame, benign: float = 0.0) -> DataFrame:
-    """Predicted class, class probabilities and the 0/1 columns of truth and prediction."""
-    return model.transform(df).withColumns(
+def cell_table(spark: SparkSession, model: RandomForestClassificationModel) -> tuple[list[list[float]], DataFrame] | None:
+    """For each feature the ascending thresholds of all splits, and the forest's columns for each cell that these make.
+
+    None if there are more than ``TABLE_CELLS`` or a split goes by categories. Made once per model.
+    """
+    if not hasattr(model, "cell_table"):
+        path = shared_dir(spark, "splits")
+        model.write().save(path)
+        split = F.col("nodeData.split")
+        inner = spark.read.parquet(f"{path}/data").where(F.col("nodeData.leftChild") >= 0)
+        cut = F.when(split["numCategories"] == -1, split["leftCategoriesOrThreshold"][0])
+        found = inner.groupBy(split["featureIndex"].alias("f")).agg(F.sort_array(F.collect_set(cut)).alias("cuts"), F.count_if(cut.isNull()).alias("no"))
+        rows = found.collect()  # a row per feature, with no more thresholds than it has bins
+        discard_path(spark, path)
+        cuts = {r["f"]: r["cuts"] for r in rows}
+        cuts = [cuts.get(i, []) for i in range(model.numFeatures)]
+        known = not any(r["no"] for r in rows) and math.prod(len(c) + 1 for c in cuts) <= TABLE_CELLS
+        model.cell_table = (cuts, _by_cell(spark, model, cuts)) if known else None
+    return model.cell_table
+
+
+def _by_cell(spark: SparkSession, model: RandomForestClassificationModel, cuts: Sequence[Sequence[float]]) -> DataFrame:
+    at, stride = [], 1
+    for own in cuts:
+        ends = F.array(*(F.lit(float(c)) for c in [*own, math.inf]))
+        at.append(F.element_at(ends, (F.floor(F.col("__cell") / stride) % (len(own) + 1) + 1).cast("int")))
+        stride *= len(own) + 1
+    cells = spark.range(0, stride, 1, 4 * spark.sparkContext.defaultParallelism).withColumnRenamed("id", "__cell")
+    applied = model.transform(cells.withColumn(model.getFeaturesCol(), array_to_vector(F.array(*at))))
+    return materialize(applied.drop(model.getFeaturesCol()), "cells")
+
+
+def transform_by_cells(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
+    """What ``model.transform(df)`` gives, through a table of the forest's cells if they are few.
+
+    Rows between the same thresholds of every feature go the same way through every tree. The cells
+    follow from the forest alone, whatever the rows.
+    """
+    known = cell_table(df.sparkSession, model)
+    if known is None:
+        return model.transform(df)
+    cell, stride = F.lit(0).cast("long"), 1
+    for i, cuts in enumerate(known[0]):
+        cell += levels_below(F.col("__x")[i], cuts) * F.lit(stride).cast("long")
+        stride *= len(cuts) + 1
+    rows = df.withColumn("__x", vector_to_array(model.getFeaturesCol()))
+    rows = rows.withColumn("__cell", F.when(F.col("__x").isNotNull(), cell)).drop("__x")
+    return rows.join(F.broadcast(known[1]), "__cell", "left").drop("__cell")
+
+
+def predict(model: PipelineModel, df: DataFrame, benign: float = 0.0, by_cells: bool | None = None) -> DataFrame:
+    """Predicted class, class probabilities and the 0/1 columns of truth and prediction.
+
+    Many rows go through ``transform_by_cells``, with the same result; ``by_cells`` decides otherwise. Read them from a written table.
+    """
+    if by_cells or by_cells is None and len(model.stages) == 1 and df.count() >= MANY_ROWS:
+        applied = transform_by_cells(model.stages[-1], df)
+    else:
+        applied = model.transform(df)
+    return applied.withColumns(
         {
             K.FLAG: binary_label(F.col(K.PREDICTION), benign),
             K.TRUTH: binary_label(F.col(K.LABEL_INDEX), benign),

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from flowlens import conventions as K
 from flowlens.operators import forest as forest_module
 from flowlens.operators import trees as grower
-from flowlens.operators.forest import classes_of, fit_on_cells, forest, part_of
+from flowlens.operators.forest import cell_table, classes_of, fit_forest, fit_on_cells, forest, part_of, predict
 from flowlens.sources.tables import load_model, save_model
+from harness import plan_text
 
 
 def noisy(spark, n=4000):
@@ -90,3 +91,28 @@ def test_forest_of_many_cells_is_grown_by_tasks(spark, rows, monkeypatch, tmp_pa
     right = [m.transform(rows).where(F.col("prediction") == F.col(K.LABEL_INDEX)).count() for m in (model, again)]
     plain = forest(12, 7).fit(rows).transform(rows).where(F.col("prediction") == F.col(K.LABEL_INDEX)).count()
     assert right[0] == right[1] and abs(right[0] - plain) < 200
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_rows_are_applied_through_cells(spark, rows, monkeypatch, many):
+    """The table gives every row what the forest gives it, at thresholds, beyond all values and for NaN, too."""
+    monkeypatch.setattr(forest_module, "MANY_CELLS", 1 if many else 10**9)
+    model = fit_forest(rows, by_cells=many, trees=6, depth=6)
+    cuts, table = cell_table(spark, model.stages[0])
+    assert table.count() == np.prod([len(c) + 1 for c in cuts]) and all(c == sorted(set(c)) for c in cuts)
+    odd = [[a, b, 3.0, 1.0] for a in [*cuts[0], -1e9, 1e9, float("nan"), float("inf"), -0.0] for b in [*cuts[1], float("-inf")]]
+    odd = spark.createDataFrame([(0.0, x) for x in odd], f"{K.LABEL_INDEX} double, x array<double>").withColumn(K.SCALED_VECTOR, array_to_vector("x"))
+    for df in (rows, odd):
+        plain, own = predict(model, df, by_cells=False), predict(model, df, by_cells=True)
+        assert own.dtypes == plain.dtypes
+        assert own.exceptAll(plain).count() == plain.exceptAll(own).count() == 0
+
+
+def test_many_rows_go_through_cells(spark, rows, monkeypatch):
+    model = fit_forest(rows, trees=2, depth=2)
+    assert "__cell" not in plan_text(predict(model, rows))
+    monkeypatch.setattr(forest_module, "MANY_ROWS", 4_000)
+    assert "__cell" in plan_text(predict(model, rows))
+    monkeypatch.setattr(forest_module, "TABLE_CELLS", 3)
+    other = fit_forest(rows, trees=2, depth=3, by_cells=False)
+    assert cell_table(spark, other.stages[0]) is None and "__cell" not in plan_text(predict(other, rows))
