@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
@@ -104,21 +104,27 @@ def bin_values(df: DataFrame, vec: str = K.SCALED_VECTOR) -> list[list[float]]:
     return found
 
 
-def forest_cells(df: DataFrame, values: Sequence[Sequence[float]], vec: str, label: str, weight_col: str | None) -> DataFrame:
+def forest_cells(
+    df: DataFrame, values: Sequence[Sequence[float]], vec: str, label: str, weight_col: str | None, held: Column | None = None
+) -> DataFrame:
     """Rows per cell: label, weight, the vector of the bins' values as an array, and the number of rows ``n``.
 
     A value belongs to the nearest bin value, of two as near to the lower. That is the side on which a tree puts it
     that splits halfway between neighbouring bin values, as trees fitted on the cells do.
+    ``held`` is NULL at rows to fit on and the weight of the others, which ``n`` leaves out and the column ``held`` adds up.
     """
     weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    x = df.select(F.col(label).cast("double").alias("label"), weight.alias("weight"), vector_to_array(vec).alias("x"))
+    out = F.lit(None).cast("double") if held is None else held
+    x = df.select(
+        F.col(label).cast("double").alias("label"), weight.alias("weight"), vector_to_array(vec).alias("x"), out.alias("held")
+    )
     borders = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in values]
     bins = [levels_below(F.col("x")[i], cuts).alias(f"b{i}") for i, cuts in enumerate(borders)]
-    counted = x.select("label", "weight", *bins).groupBy("label", "weight", *(f"b{i}" for i in range(len(bins)))).agg(
-        F.count("*").alias("n")
+    counted = x.select("label", "weight", "held", *bins).groupBy("label", "weight", *(f"b{i}" for i in range(len(bins)))).agg(
+        F.count_if(F.col("held").isNull()).alias("n"), F.coalesce(F.sum("held"), F.lit(0.0)).alias("held")
     )
     at = [F.element_at(F.array(*map(F.lit, v)), F.col(f"b{i}") + 1) for i, v in enumerate(values)]
-    return counted.select("label", "weight", F.array(*at).alias("x"), "n")
+    return counted.select("label", "weight", F.array(*at).alias("x"), "n", *(["held"] if held is not None else []))
 
 
 def with_draws(cells: DataFrame, trees: int, seed: int) -> DataFrame:

@@ -258,8 +258,9 @@ def held_out_votes(
                     total = tree.stats.sum(axis=1, keepdims=True)
                     votes += np.divide(tree.stats, total, out=np.zeros_like(tree.stats), where=total != 0)[tree.leaf_of[at]]
                 for part, start in enumerate(range(0, len(at), CELLS_PER_PART)):
-                    some = votes[start : start + CELLS_PER_PART].tobytes()
-                    yield pa.RecordBatch.from_pydict({"job": [job], "part": [part], "high": [high], "votes": [some]})
+                    numbers = [pa.array([i], pa.int32()) for i in (job, part, high)]
+                    some = pa.array([votes[start : start + CELLS_PER_PART].tobytes()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*numbers, some], ["job", "part", "high", "votes"])
 
     def judge(table: pa.Table) -> pa.Table:
         own, rows = sent.value, sorted(table.to_pylist(), key=lambda r: r["high"])

@@ -3,14 +3,19 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowlens import conventions as K
 from flowlens.operators import forest as forest_module
+from flowlens.operators import search as search_module
 from flowlens.operators import trees as grower
 from flowlens.operators.forest import cell_table, classes_of, fit_forest, fit_on_cells, forest, part_of, predict
+from flowlens.operators.sampling import stratified_sample
+from flowlens.operators.search import search_forest
 from flowlens.sources.tables import load_model, save_model
+from flowlens.workspace import materialize
 from harness import plan_text
 
 
@@ -116,3 +121,34 @@ def test_many_rows_go_through_cells(spark, rows, monkeypatch):
     monkeypatch.setattr(forest_module, "TABLE_CELLS", 3)
     other = fit_forest(rows, trees=2, depth=3, by_cells=False)
     assert cell_table(spark, other.stages[0]) is None and "__cell" not in plan_text(predict(other, rows))
+
+
+def test_every_searched_combination_is_a_forest_of_its_own(spark, rows, monkeypatch):
+    """Grown by tasks, each score of the search is that of a forest fitted for the combination alone, on the fold's other rows."""
+    monkeypatch.setattr(search_module, "MANY_NODES", 1)
+    monkeypatch.setattr(forest_module, "MANY_CELLS", 1)
+    monkeypatch.setattr(grower, "TREES_PER_TASK", 3)
+    monkeypatch.setattr(grower, "CELLS_PER_PART", 50)
+    table = materialize(rows, "rows")
+    grid = {"trees": [2, 5, 8], "depth": [3, 7], "subset": ["sqrt", "all"]}
+    for weighted in (False, True):
+        found = search_forest(table, grid, folds=2, fraction=1.0, weighted_metric=weighted)
+        found = {(r.trees, r.depth, r.subset): r.avg_metric for r in found.collect()}
+        assert list(found) == [(t, d, s) for t in grid["trees"] for d in grid["depth"] for s in grid["subset"]]
+        split = stratified_sample(table, K.LABEL_INDEX, 1.0, K.SEED).withColumn("f", F.least(F.floor(F.rand(K.SEED) * 2), F.lit(1)))
+        split = materialize(split, "split")
+        judge = MulticlassClassificationEvaluator(labelCol=K.LABEL_INDEX, metricName="f1")
+        if weighted:
+            judge = judge.setWeightCol(K.CLASS_WEIGHT)
+        for t, d, s in [(2, 7, "all"), (5, 3, "sqrt"), (5, 7, "sqrt"), (8, 7, "sqrt")]:
+            models = [fit_forest(split.where(F.col("f") != n), by_cells=True, trees=t, depth=d, subset=s) for n in (0, 1)]
+            scores = [judge.evaluate(m.transform(split.where(F.col("f") == n))) for n, m in enumerate(models)]
+            assert found[t, d, s] == pytest.approx(sum(scores) / 2, abs=1e-9)
+
+
+def test_search_without_room_for_the_cells_is_the_plain_one(rows, monkeypatch):
+    rows, grid = materialize(rows.coalesce(1), "rows"), {"trees": [2], "depth": [3], "subset": ["sqrt"]}
+    plain = search_forest(rows, grid, folds=2, fraction=1.0).first().avg_metric
+    monkeypatch.setattr(search_module, "MANY_NODES", 1)
+    monkeypatch.setattr(grower, "PACKED_BYTES", 1_000)
+    assert search_forest(rows, grid, folds=2, fraction=1.0).first().avg_metric == pytest.approx(plain)
