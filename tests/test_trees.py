@@ -152,3 +152,9 @@ def test_search_without_room_for_the_cells_is_the_plain_one(rows, monkeypatch):
     monkeypatch.setattr(search_module, "MANY_NODES", 1)
     monkeypatch.setattr(grower, "PACKED_BYTES", 1_000)
     assert search_forest(rows, grid, folds=2, fraction=1.0).first().avg_metric == pytest.approx(plain)
+
+
+def test_whole_published_grid_is_registered():
+    from flowlens.queries import ORACLES
+
+    assert [(t, d) for t in (50, 100, 200) for d in (5, 10, 15) if f"{t}, {d}, 'sqrt'), " not in ORACLES["rf_search"]] == []
