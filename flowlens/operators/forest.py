@@ -273,8 +273,9 @@ def running_predictions(model: RandomForestClassificationModel, df: DataFrame, s
     return df.drop("__sum"), names
 
 
-def cell_table(spark: SparkSession, model: RandomForestClassificationModel) -> tuple[list[list[float]], DataFrame] | None:
-    """For each feature the ascending thresholds of all splits, and the forest's columns for each cell that these make.
+def cell_table(spark: SparkSession, model: RandomForestClassificationModel) -> tuple[list[list[float]], DataFrame, Column] | None:
+    """For each feature the ascending thresholds of all splits, the forest's columns for each cell that these make, and the
+    cell of an array ``__x``.
 
     None if there are more than ``TABLE_CELLS`` or a split goes by categories. Made once per model.
     """
@@ -290,7 +291,7 @@ def cell_table(spark: SparkSession, model: RandomForestClassificationModel) -> t
         cuts = {r["f"]: r["cuts"] for r in rows}
         cuts = [cuts.get(i, []) for i in range(model.numFeatures)]
         known = not any(r["no"] for r in rows) and math.prod(len(c) + 1 for c in cuts) <= TABLE_CELLS
-        model.cell_table = (cuts, _by_cell(spark, model, cuts)) if known else None
+        model.cell_table = (cuts, _by_cell(spark, model, cuts), _cell(cuts)) if known else None
     return model.cell_table
 
 
@@ -305,6 +306,14 @@ def _by_cell(spark: SparkSession, model: RandomForestClassificationModel, cuts:
     return materialize(applied.drop(model.getFeaturesCol()), "cells")
 
 
+def _cell(cuts: Sequence[Sequence[float]]) -> Column:
+    cell, stride = F.lit(0).cast("long"), 1
+    for i, own in enumerate(cuts):
+        cell += levels_below(F.col("__x")[i], own) * F.lit(stride).cast("long")
+        stride *= len(own) + 1
+    return F.when(F.col("__x").isNotNull(), cell)
+
+
 def transform_by_cells(model: RandomForestClassificationModel, df: DataFrame) -> DataFrame:
     """What ``model.transform(df)`` gives, through a table of the forest's cells if they are few.
 
@@ -314,12 +323,7 @@ def transform_by_cells(model: RandomForestClassificationModel, df: DataFrame) ->
     known = cell_table(df.sparkSession, model)
     if known is None:
         return model.transform(df)
-    cell, stride = F.lit(0).cast("long"), 1
-    for i, cuts in enumerate(known[0]):
-        cell += levels_below(F.col("__x")[i], cuts) * F.lit(stride).cast("long")
-        stride *= len(cuts) + 1
-    rows = df.withColumn("__x", vector_to_array(model.getFeaturesCol()))
-    rows = rows.withColumn("__cell", F.when(F.col("__x").isNotNull(), cell)).drop("__x")
+    rows = df.withColumn("__x", vector_to_array(model.getFeaturesCol())).withColumn("__cell", known[2]).drop("__x")
     return rows.join(F.broadcast(known[1]), "__cell", "left").drop("__cell")
 
 

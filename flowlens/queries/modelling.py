@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Observation
@@ -22,7 +22,7 @@ from flowlens.operators.clustering import (
 )
 from flowlens.operators.evaluation import run_metrics
 from flowlens.operators.features import weighted_training_set
-from flowlens.operators.forest import attack_probability, feature_importance, fit_forest, predict
+from flowlens.operators.forest import MANY_ROWS, attack_probability, feature_importance, fit_forest, predict
 from flowlens.operators.ranking import auc
 from flowlens.operators.search import best_forest, search_forest, search_kmeans, select_model
 from flowlens.plans.prepare import for_streams, preparation_stages
@@ -204,14 +204,19 @@ def select_model_query(spark, sf):
 ROWS_PER_FILE = 20_000
 
 
-def fitted_preparation(rows):
-    """The stages the plans fit: label index, feature vector, scaling."""
-    return Pipeline(stages=preparation_stages(FLOW_FEATURES)).fit(rows)
+_PREPARATIONS: dict[tuple[str, str], PipelineModel] = {}
+
+
+def fitted_preparation(spark, sf):
+    """The stages the plans fit, label index, feature vector and scaling, on all flows; fitted once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PREPARATIONS:
+        _PREPARATIONS[key] = Pipeline(stages=preparation_stages(FLOW_FEATURES)).fit(flows(spark, sf))
+    return _PREPARATIONS[key]
 
 
 def prepared_flows(spark, sf):
-    rows = flows(spark, sf)
-    ready = fitted_preparation(rows).transform(rows).select(K.LABEL, K.LABEL_INDEX, K.SCALED_VECTOR)
+    ready = fitted_preparation(spark, sf).transform(flows(spark, sf)).select(K.LABEL, K.LABEL_INDEX, K.SCALED_VECTOR)
     return materialize(weighted_training_set(ready), "flows", rows_per_file=ROWS_PER_FILE)
 
 
@@ -317,8 +322,8 @@ def fitted_scorer(spark, sf, threshold: float = 2.0) -> Scorer:
     if key not in _SCORERS:
         model, ready = fitted_forest(spark, sf)
         benign = ready.where(F.col(K.LABEL) == BENIGN_FLOW)
-        prepared = for_streams(fitted_preparation(flows(spark, sf)), FLOW_FEATURES)
-        _SCORERS[key] = Scorer(prepared, model, fit_kmeans(benign), threshold)
+        prepared = for_streams(fitted_preparation(spark, sf), FLOW_FEATURES)
+        _SCORERS[key] = Scorer(prepared, model, fit_kmeans(benign), threshold, by_cells=ready.count() >= MANY_ROWS)
     return _SCORERS[key]
 
 

@@ -273,12 +273,10 @@ def stream_score(spark, sf):
     run(start_scoring(stream, batch_writer(scorer.score, {sink: out}), shared_dir(spark, "checkpoint"), trigger=None))
     streamed = read_table(spark, sink).select(*out)
     batch = scorer.score(rows.select(*[F.col(c).cast("double").alias(c) for c in [*keys, *FLOW_FEATURES]], "label"))
-    # equal rows may repeat: both sides are counted per distinct row before they are compared
-    counted = [df.select(*out).groupBy(*out).agg(F.count("*").alias(n)) for df, n in ((streamed, "s"), (batch, "b"))]
-    matched = counted[0].join(counted[1], out, "full")
-    return matched.groupBy("label").agg(
-        F.sum("b").alias("n"), F.sum(F.least(F.coalesce("s", F.lit(0)), F.coalesce("b", F.lit(0)))).alias("same")
-    )
+    # equal rows may repeat: both sides are counted per distinct row, in one shuffle, and missing values equal each other
+    both = streamed.withColumn("by_batch", F.lit(False)).unionByName(batch.select(*out, F.lit(True).alias("by_batch")))
+    counted = both.groupBy(*out).agg(F.count_if(~F.col("by_batch")).alias("s"), F.count_if("by_batch").alias("b"))
+    return counted.groupBy("label").agg(F.sum("b").alias("n"), F.sum(F.least("s", "b")).alias("same"))
 
 
 @query(

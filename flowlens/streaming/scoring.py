@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowlens import conventions as K
 from flowlens.functions.predicates import all_finite, flag_anomaly
 from flowlens.operators.clustering import centroid_side, centroid_table, distance_to_side
+from flowlens.operators.forest import transform_by_cells
 from flowlens.sources.tables import write_batch
 from flowlens.sources.wire import CORRUPT
 from flowlens.streaming.commits import commit, is_committed
@@ -30,13 +31,17 @@ CLUSTER_SINK = [K.CLUSTER, DISTANCE, "is_anomaly", K.LABEL]
 
 @dataclass
 class Scorer:
-    """The fitted stages a stream is scored with: preparation, forest, clusters, threshold."""
+    """The fitted stages a stream is scored with: preparation, forest, clusters, threshold.
+
+    For many rows to come ``by_cells`` applies the forest through a table of its cells, with the same result.
+    """
 
     preparation: PipelineModel
     forest: PipelineModel
     clusters: PipelineModel
     threshold: float = K.STREAM_THRESHOLD
     side: DataFrame | None = None
+    by_cells: bool = False
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Both models on the same prepared rows, in one plan.
@@ -48,7 +53,8 @@ class Scorer:
         features = next(s for s in self.preparation.stages if isinstance(s, VectorAssembler)).getInputCols()
         usable = F.coalesce(all_finite(features), F.lit(False))
         zeros = array_to_vector(F.array_repeat(F.lit(0.0), len(features)))
-        classified = self.forest.transform(self.preparation.transform(rows))
+        prepared = self.preparation.transform(rows)
+        classified = transform_by_cells(self.forest.stages[-1], prepared) if self.by_cells else self.forest.transform(prepared)
         guarded = classified.withColumns({"__usable": usable, "__scaled": F.col(K.SCALED_VECTOR)}).withColumn(
             K.SCALED_VECTOR, F.when(F.col("__usable"), F.col(K.SCALED_VECTOR)).otherwise(zeros)
         )
@@ -126,8 +132,8 @@ def batch_writer(
     """The function a stream calls per micro-batch: score once, write each sink, write a summary row.
 
     ``sinks`` maps a path to its columns. Each batch owns one partition of every sink, so a batch
-    that is run again after a failure replaces its own rows. The cache is filled first, so that no row
-    is scored twice; then the sinks, which do not depend on each other, are written at the same
+    that is run again after a failure replaces its own rows. The cache is filled first, with the columns of the sinks if there
+    is no summary, so that no row is scored twice; then the sinks, which do not depend on each other, are written at the same
     time; any failure fails the batch. The summary follows with ``proc_ms``, the time all this took.
 
     With ``commit_path`` the batch gets a commit record after all else; ``read_committed`` shows it from then on, and a batch
@@ -145,7 +151,10 @@ def batch_writer(
             bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
             tasks.append(partial(write_batch, bad, bad_path, batch_id))
             batch = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        scored = score(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        scored = score(batch)
+        if sinks and not summary_path:
+            scored = scored.select(*dict.fromkeys(c for cols in sinks.values() for c in cols))
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = scored.count()
             tasks += [partial(write_batch, scored, path, batch_id, cols) for path, cols in sinks.items() if rows]

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -12,9 +13,13 @@ from flowlens.operators import forest as forest_module
 from flowlens.operators import search as search_module
 from flowlens.operators import trees as grower
 from flowlens.operators.forest import cell_table, classes_of, fit_forest, fit_on_cells, forest, part_of, predict
+from flowlens.operators.clustering import fit_kmeans
 from flowlens.operators.sampling import stratified_sample
 from flowlens.operators.search import search_forest
+from flowlens.plans.prepare import for_streams, preparation_stages
+from flowlens.queries import QUERIES
 from flowlens.sources.tables import load_model, save_model
+from flowlens.streaming.scoring import Scorer
 from flowlens.workspace import materialize
 from harness import plan_text
 
@@ -103,7 +108,7 @@ def test_rows_are_applied_through_cells(spark, rows, monkeypatch, many):
     """The table gives every row what the forest gives it, at thresholds, beyond all values and for NaN, too."""
     monkeypatch.setattr(forest_module, "MANY_CELLS", 1 if many else 10**9)
     model = fit_forest(rows, by_cells=many, trees=6, depth=6)
-    cuts, table = cell_table(spark, model.stages[0])
+    cuts, table, _ = cell_table(spark, model.stages[0])
     assert table.count() == np.prod([len(c) + 1 for c in cuts]) and all(c == sorted(set(c)) for c in cuts)
     odd = [[a, b, 3.0, 1.0] for a in [*cuts[0], -1e9, 1e9, float("nan"), float("inf"), -0.0] for b in [*cuts[1], float("-inf")]]
     odd = spark.createDataFrame([(0.0, x) for x in odd], f"{K.LABEL_INDEX} double, x array<double>").withColumn(K.SCALED_VECTOR, array_to_vector("x"))
@@ -158,3 +163,24 @@ def test_whole_published_grid_is_registered():
     from flowlens.queries import ORACLES
 
     assert [(t, d) for t in (50, 100, 200) for d in (5, 10, 15) if f"{t}, {d}, 'sqrt'), " not in ORACLES["rf_search"]] == []
+
+
+def test_scoring_through_cells_is_scoring(spark):
+    """Both models on the same rows, one without a feature: the table of cells changes no column."""
+    data = [(float(i % 9), float(i % 13), "x" if i % 9 > 5 else "y") for i in range(400)] + [(None, 1.0, "x"), (2.0, float("inf"), "z")]
+    df = materialize(spark.createDataFrame(data, "a double, b double, label string").coalesce(1), "rows")
+    good = df.where("a is not null and b < 100")
+    prepared = Pipeline(stages=preparation_stages(["a", "b"])).fit(good)
+    ready = prepared.transform(good)
+    fitted = fit_forest(ready, by_cells=True, trees=3, depth=4, weight_col=None), fit_kmeans(ready, k=3, max_iter=5)
+    plain, own = (Scorer(for_streams(prepared, ["a", "b"]), *fitted, 1.0, by_cells=c).score(df) for c in (False, True))
+    assert "__cell" in plan_text(own) and "__cell" not in plan_text(plain) and own.dtypes == plain.dtypes
+    assert own.count() == 402 and own.exceptAll(plain).count() == plain.exceptAll(own).count() == 0
+
+
+def test_stream_score_counts_rows_without_a_label(spark, tmp_path):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(300)
+    flag = F.when(F.col("l_linenumber") > 1, F.col("l_returnflag"))
+    lines.withColumn("l_returnflag", flag).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = {r.label: (r.n, r.same) for r in QUERIES["stream_score"](spark, str(tmp_path)).collect()}
+    assert None in found and sum(n for n, _ in found.values()) == 300 and all(n == same for n, same in found.values())
