@@ -86,21 +86,22 @@ def bin_values(df: DataFrame, vec: str = K.SCALED_VECTOR) -> list[list[float]]:
         return []
     at = [F.col("x")[i] for i in range(len(first.x))]
     between = [i / (BINS - 1) for i in range(1, BINS - 1)]
-    ends = x.agg(
-        *[
-            F.struct(
-                F.approx_count_distinct(c).alias("n"),
-                F.concat(F.array(F.min(c)), F.percentile_approx(c, between), F.array(F.max(c))).alias("quantiles"),
-            ).alias(str(i))
-            for i, c in enumerate(at)
-        ]
-    ).first()
+
+    def quantiles(i: int) -> Column:
+        return F.percentile_approx(at[i], between)
+
+    # quantiles cost most: only of features that may have more values than bins; the approximate number is off by some percent
+    ends = x.agg(*[F.struct(F.approx_count_distinct(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")) for c in at]).first()
     few = [i for i in range(len(at)) if ends[i].n <= 2 * BINS]
-    all_values = x.agg(F.lit(0), *[F.collect_set(at[i]) for i in few]).first()[1:]  # some 2 * BINS values a feature
-    found = [sorted(set(e.quantiles)) for e in ends]
-    for i, values in zip(few, all_values):
-        if len(values) <= BINS:
-            found[i] = sorted(values)
+    many = [i for i in range(len(at)) if ends[i].n > BINS * 3 // 4]
+    read = x.agg(F.lit(0), *[F.collect_set(at[i]) for i in few], *map(quantiles, many)).first()[1:]  # some 2 * BINS values a feature
+    values, inner = dict(zip(few, map(sorted, read))), dict(zip(many, read[len(few) :]))
+    late = [i for i in few if len(values[i]) > BINS and i not in inner]
+    inner |= dict(zip(late, x.agg(F.lit(0), *map(quantiles, late)).first()[1:])) if late else {}
+    found = []
+    for i, end in enumerate(ends):
+        whole = i in values and len(values[i]) <= BINS
+        found.append(values[i] if whole else sorted({end.low, *inner[i], end.high}))
     return found
 
 

@@ -8,14 +8,19 @@ weights and all features the tree is Spark's.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# the functions below travel with the tasks, so that executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: An impurity below this is none (Spark's ``Utils.EPSILON``); sums that a task holds at once per temporary.
 EPSILON, SUMS = 2.0**-52, 1 << 21
 #: Bytes of a packed cell beside its bins; what all cells may take, as every task and the driver hold them.
@@ -200,10 +205,10 @@ NODES = (
 
 def grown_nodes(spark: SparkSession, cells: Cells, trees: int, depth: int, per_split: int, seed: int, classes: int) -> DataFrame:
     """The nodes of ``trees`` trees as rows, ``classes`` sums each. Each task grows trees of its own."""
-    sent = spark.sparkContext.broadcast(cells)
+    sent = spark.sparkContext.broadcast(tuple(vars(cells).values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Cells(*sent.value)
         borders = [(v[:-1] + v[1:]) / 2 for v in own.values]
         for batch in batches:
             for number in batch.column(0).to_pylist():
@@ -238,14 +243,14 @@ def held_out_votes(
     first trees are the forest a fit of so many gives. Every tree votes with the shares of its leaf's classes, of classes
     with equal votes the first wins, as in Spark ML.
     """
-    sent = spark.sparkContext.broadcast(cells)
+    sent = spark.sparkContext.broadcast(tuple(vars(cells).values()))
     judged = np.flatnonzero(cells.held > 0)
     ends = sorted({*sizes, *range(TREES_PER_TASK, sizes[-1], TREES_PER_TASK)})
     blocks = [(j, low, high) for j in range(len(jobs)) for low, high in zip([0, *ends], ends)]
     blocks.sort(key=lambda b: -jobs[b[0]][0])  # deep trees take longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Cells(*sent.value)
         at = np.flatnonzero(own.held > 0)
         for batch in batches:
             for b in batch.column(0).to_pylist():
@@ -263,7 +268,7 @@ def held_out_votes(
                     yield pa.RecordBatch.from_arrays([*numbers, some], ["job", "part", "high", "votes"])
 
     def judge(table: pa.Table) -> pa.Table:
-        own, rows = sent.value, sorted(table.to_pylist(), key=lambda r: r["high"])
+        own, rows = Cells(*sent.value), sorted(table.to_pylist(), key=lambda r: r["high"])
         job, start = rows[0]["job"], rows[0]["part"] * CELLS_PER_PART
         at = np.flatnonzero(own.held > 0)[start : start + CELLS_PER_PART]
         votes, found = np.zeros((len(at), own.classes)), []

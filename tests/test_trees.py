@@ -184,3 +184,17 @@ def test_stream_score_counts_rows_without_a_label(spark, tmp_path):
     lines.withColumn("l_returnflag", flag).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
     found = {r.label: (r.n, r.same) for r in QUERIES["stream_score"](spark, str(tmp_path)).collect()}
     assert None in found and sum(n for n, _ in found.values()) == 300 and all(n == same for n, same in found.values())
+
+
+def test_quantiles_are_taken_of_features_with_more_values_than_bins(spark, monkeypatch):
+    """Bins as before, with an exact list of up to 32 values; a wrong estimate of their number changes nothing."""
+    x = F.array(*((F.col("id") % n).cast("double") for n in (31, 32, 33, 64, 1000)))
+    df = spark.range(4_000).select(array_to_vector(x).alias(K.SCALED_VECTOR))
+    asked, real = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda *a, **k: asked.append(a[0]) or real(*a, **k))
+    values = forest_module.bin_values(df)
+    assert values[:2] == [[float(i) for i in range(n)] for n in (31, 32)] and len(asked) == 5
+    assert [(v[0], v[-1], len(v) <= 32) for v in values[2:]] == [(0.0, n - 1.0, True) for n in (33, 64, 1000)]
+    monkeypatch.setattr(F, "approx_count_distinct", lambda c: F.lit(20))
+    del asked[:]
+    assert [(v[0], v[-1], len(v) <= 32) for v in forest_module.bin_values(df)] == [(v[0], v[-1], True) for v in values] and len(asked) == 3
